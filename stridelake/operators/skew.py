@@ -1,0 +1,122 @@
+"""Building blocks that keep a hot key from landing in one task.
+
+Aggregations need nothing special: they are reduced map-side before the shuffle. Two things do:
+
+* joins of many rows against one key, which are salted (:func:`salted_join`);
+* ordered logic per key, which is cut into time chunks that only pass a small carry on to the next
+  (:func:`chunk_column`, :func:`carry_forward`).
+
+Both act on hot keys only, found by an exact count. The list of hot keys has a fixed upper size,
+so it may be broadcast.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+MIN_HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 50_000
+SALTS = 256
+CHUNK_SECONDS = 60
+
+
+def hot_keys(
+    df: DataFrame, keys: list[str], min_rows: int = MIN_HOT_ROWS, limit: int = MAX_HOT_KEYS
+) -> DataFrame:
+    """The keys with at least ``min_rows`` rows, largest first, never more than ``limit``.
+
+    A key beyond the limit holds less than one part in ``limit`` of all rows, which is an ordinary
+    task size.
+    """
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    return (
+        df.where(present).groupBy(*keys).agg(F.count("*").alias("_rows"))
+        .where(F.col("_rows") >= min_rows)
+        .orderBy(F.desc("_rows"), *keys).limit(limit)
+        .select(*keys, F.lit(True).alias("_hot"))
+    )
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str = "left",
+    spread: list[str] | None = None,
+    min_rows: int = MIN_HOT_ROWS,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Equi-join whose left side may hold any number of rows per key.
+
+    Left rows of a hot key are dealt to ``salts`` groups by a hash of the ``spread`` columns
+    (default: all columns outside the key) and the matching right rows are repeated once per
+    group. Left rows with a null key match nothing and are dealt out the same way. ``how`` is
+    ``inner``, ``left``, ``left_semi`` or ``left_anti``. ``right`` should hold few rows per key.
+    """
+    spread = spread or [c for c in left.columns if c not in on]
+    # Salts come from a hash of the row, not from a random number: a retried task must send each
+    # row to the same place again.
+    dealt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    incomplete = F.lit(False)
+    for k in on:
+        incomplete = incomplete | F.col(k).isNull()
+    hot = F.broadcast(hot_keys(left, on, min_rows))
+    salted_left = (
+        left.join(hot, on, "left")
+        .withColumn("_salt", F.when(F.col("_hot") | incomplete, dealt).otherwise(F.lit(0)))
+        .drop("_hot")
+    )
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    salted_right = (
+        right.join(hot, on, "left")
+        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
+        .drop("_hot")
+    )
+    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+
+
+def chunk_column(
+    df: DataFrame, by: list[str], ts: str, min_rows: int = MIN_HOT_ROWS,
+    chunk_s: int = CHUNK_SECONDS,
+) -> DataFrame:
+    """Add ``_chunk``: 0 for ordinary keys, the ``chunk_s`` long time slot of ``ts`` for hot ones.
+
+    With distinct instants per key a chunk holds at most ``chunk_s`` million rows, and a key has
+    at most as many chunks as its time span has slots. Both are bounded whatever the row count.
+    """
+    if not by:
+        return df.withColumn("_chunk", F.floor(F.unix_seconds(F.col(ts)) / F.lit(chunk_s)))
+    hot = F.broadcast(hot_keys(df, by, min_rows))
+    slot = F.floor(F.unix_seconds(F.col(ts)) / F.lit(chunk_s))
+    return (
+        df.join(hot, by, "left")
+        .withColumn("_chunk", F.when(F.col("_hot"), slot).otherwise(F.lit(0).cast("long")))
+        .drop("_hot")
+    )
+
+
+def carry_forward(
+    points: DataFrame, by: list[str], ts: str, value: str, out: str,
+    min_rows: int = MIN_HOT_ROWS, chunk_s: int = CHUNK_SECONDS,
+) -> DataFrame:
+    """Add ``out``: the latest non-null ``value`` at or before ``ts`` within ``by``.
+
+    ``points`` must be unique on ``by`` and ``ts``.
+    """
+    chunked = chunk_column(points, by, ts, min_rows, chunk_s)
+    within = (
+        W.partitionBy(*by, "_chunk").orderBy(ts)
+        .rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
+    local = chunked.withColumn("_local", F.last(value, ignorenulls=True).over(within))
+    ends = local.groupBy(*by, "_chunk").agg(F.max_by("_local", ts).alias("_end"))
+    before = (
+        W.partitionBy(*by).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    )
+    carried = ends.select(
+        *by, "_chunk", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+    joined = local.join(carried, [*by, "_chunk"], "left")
+    carry: Column = F.coalesce("_local", "_carry")
+    return joined.withColumn(out, carry).drop("_local", "_carry", "_chunk")
