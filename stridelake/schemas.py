@@ -64,6 +64,8 @@ TCX = _struct(
     _corrupt_record=S,
 )
 
+XML_TEXT = _struct(xml=S, error=S)
+
 ACTIVITY_INDEX = ["Filename", "Activity Name", "Activity Type", "Activity Date", "Elapsed Time"]
 
 WEIGHT_STREAM = T.StructType([T.StructField("Data Points", T.ArrayType(_struct(

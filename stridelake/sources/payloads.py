@@ -29,7 +29,7 @@ class RawPayloads(NamedTuple):
     records: DataFrame
 
 
-@F.pandas_udf("xml string, error string")
+@F.pandas_udf(schemas.XML_TEXT)
 def _gunzip(content: pd.Series) -> pd.DataFrame:
     rows = []
     for blob in content:
