@@ -25,13 +25,14 @@ def _bundles(s, d):
     return reports.class_bundles(A.activities(s, d), START, GAP_S)
 
 
-def _matches(s, d):
+def _matches(s, d, bundles=None):
     strength = A.strength(s, d).where(F.col("date") >= START)
-    return reports.match_strength(_bundles(s, d), strength, TOLERANCE_S)
+    return reports.match_strength(bundles or _bundles(s, d), strength, TOLERANCE_S)
 
 
 def _sessions(s, d, orphans: bool):
-    return reports.class_sessions(_bundles(s, d), _matches(s, d))[int(orphans)]
+    bundles = _bundles(s, d)
+    return reports.class_sessions(bundles, _matches(s, d, bundles))[int(orphans)]
 
 
 def _rows(condition: str) -> str:

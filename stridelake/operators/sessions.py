@@ -7,7 +7,8 @@ not the latest end so far.
 Rows that start at the same instant always share a bundle, so all ordering work happens on
 *instants*: rows aggregated by athlete and start. The aggregation runs map-side, and what is left
 has distinct timestamps, which bounds the size of a time chunk. A hot athlete is cut into chunks;
-between chunks travel only the last end and the last bundle start.
+between chunks travel only the last end and the last bundle start. The placed instants are needed
+several times and are written once to the shared folder.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from stridelake.functions import numeric as N, text as X, times
 from stridelake.operators import skew
+from stridelake.session import materialize
 
 GAP_S = 600  # fixed value
 KEY = ["athlete_id", "bundle_start"]
@@ -46,46 +48,58 @@ def _main_candidate() -> Column:
     return F.min(rank)
 
 
+def _opens(previous_end: Column, start: Column, gap_s: float) -> Column:
+    return previous_end.isNull() | (times.seconds_between(previous_end, start) > gap_s)
+
+
 def bundle_instants(
-    instants: DataFrame, gap_s: float = GAP_S, min_rows: int = skew.MIN_HOT_ROWS,
-    chunk_s: int = skew.CHUNK_SECONDS,
+    instants: DataFrame, gap_s: float = GAP_S, chunk_s: int = skew.CHUNK_SECONDS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``bundle_start`` to a frame unique on ``athlete_id`` and ``start`` with ``last_end``,
-    the end of the instant's last row."""
-    chunked = skew.chunk_column(instants, ["athlete_id"], "start", min_rows, chunk_s)
+    the end of the instant's last row. ``hot`` lists the athletes to cut into chunks."""
+    start = F.col("start")
+
+    def place(df: DataFrame, *partition: str) -> DataFrame:
+        """``_local``: start of the latest bundle opened so far, seen from this partition alone."""
+        ordered = W.partitionBy(*partition).orderBy("start")
+        so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
+        opened = F.when(F.col("_open"), start)
+        return (
+            df.withColumn("_previous", F.lag("last_end").over(ordered))
+            .withColumn("_open", _opens(F.col("_previous"), start, gap_s))
+            .withColumn("_local", F.last(opened, ignorenulls=True).over(so_far))
+            .drop("_previous", "_open")
+        )
+
+    if hot is None:
+        return place(instants, "athlete_id").withColumnRenamed("_local", "bundle_start")
+
     chunk = ["athlete_id", "_chunk"]
-    ordered = W.partitionBy(*chunk).orderBy("start")
-    so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
-    previous = F.lag("last_end").over(ordered)
-    opens = times.seconds_between(previous, F.col("start")) > gap_s
-    local = (
-        chunked.withColumn("_opens", opens)
-        .withColumn(
-            "_local", F.last(F.when(F.col("_opens"), F.col("start")), ignorenulls=True)
-            .over(so_far))
-    )
-    # Per chunk: where it begins and ends, and the last bundle opened inside it. Whether the
-    # chunk's first instant opens a bundle is known once the chunk before has been seen.
+    local = place(skew.with_chunks(instants, ["athlete_id"], "start", hot, chunk_s), *chunk)
+    # That the first instant of a chunk opens a bundle is provisional: it depends on the end of the
+    # chunk before. Bundles opened later in the chunk are settled.
     summary = local.groupBy(*chunk).agg(
         F.min("start").alias("_first"),
         F.max_by("last_end", "start").alias("_end"),
-        F.max("_local").alias("_inner"),
+        F.max("_local").alias("_last_open"),
     )
     across = W.partitionBy("athlete_id").orderBy("_chunk")
-    before = across.rowsBetween(W.unboundedPreceding, -1)
-    incoming = F.lag("_end").over(across)
-    first_opens = incoming.isNull() | (times.seconds_between(incoming, F.col("_first")) > gap_s)
+    opens_here = _opens(F.lag("_end").over(across), F.col("_first"), gap_s)
+    inner = F.when(F.col("_last_open") > F.col("_first"), F.col("_last_open"))
     starts = (
-        summary.withColumn("_head", F.when(first_opens, F.col("_first")))
+        summary.withColumn("_head", F.when(opens_here, F.col("_first")))
+        .withColumn("_tail", F.coalesce(inner, F.col("_head")))
         .withColumn(
-            "_from_before",
-            F.last(F.coalesce("_inner", "_head"), ignorenulls=True).over(before))
-        .select(*chunk, F.coalesce("_head", "_from_before").alias("_carry"))
+            "_before", F.last("_tail", ignorenulls=True)
+            .over(across.rowsBetween(W.unboundedPreceding, -1)))
+        .select(*chunk, "_first", F.coalesce("_head", "_before").alias("_carry"))
     )
+    settled = F.when(F.col("_local") > F.col("_first"), F.col("_local"))
     return (
         local.join(starts, chunk, "left")
-        .withColumn("bundle_start", F.coalesce("_local", "_carry"))
-        .drop("_opens", "_local", "_carry", "_chunk")
+        .withColumn("bundle_start", F.coalesce(settled, F.col("_carry")))
+        .drop("_local", "_first", "_carry", "_chunk")
     )
 
 
@@ -96,7 +110,8 @@ def bundle_by_gap(
     """Every activity with ``bundle_start``; together with the athlete it names the bundle."""
     rows = _prepare(acts)
     instants = rows.groupBy("athlete_id", "start").agg(F.max_by("end", "id").alias("last_end"))
-    bundles = bundle_instants(instants, gap_s, min_rows, chunk_s).drop("last_end")
+    hot = skew.hot_keys(rows, ["athlete_id"], min_rows)
+    bundles = bundle_instants(instants, gap_s, chunk_s, hot).drop("last_end")
     return skew.salted_join(
         rows, bundles, ["athlete_id", "start"], "inner", spread=["id"], min_rows=min_rows)
 
@@ -107,7 +122,7 @@ def mark_main(
 ) -> DataFrame:
     """Every activity with its bundle, ``role`` (main, warmup, cooldown, same_start) and
     ``is_orphan``."""
-    rows = bundle_by_gap(acts, gap_s, min_rows, chunk_s)
+    rows = materialize(bundle_by_gap(acts, gap_s, min_rows, chunk_s), "bundled")
     mains = (
         rows.groupBy(*KEY).agg(_main_candidate().alias("main"), F.count("*").alias("n_rows"))
         .select(
@@ -140,7 +155,8 @@ def bundle_records(
     Works on instants from start to end; single rows are not joined back.
     """
     hr, kj = F.col("hr"), N.zero_to_null(F.col("kj"))
-    instants = _prepare(acts).groupBy("athlete_id", "start").agg(
+    rows = _prepare(acts)
+    instants = rows.groupBy("athlete_id", "start").agg(
         F.max_by("end", "id").alias("last_end"),
         F.max("end").alias("end"),
         F.count("*").alias("n_rows"),
@@ -150,7 +166,8 @@ def bundle_records(
         F.count(hr).alias("hr_n"),
         _main_candidate().alias("main"),
     )
-    placed = bundle_instants(instants, gap_s, min_rows, chunk_s)
+    hot = skew.hot_keys(rows, ["athlete_id"], min_rows)
+    placed = materialize(bundle_instants(instants, gap_s, chunk_s, hot), "placed")
     bundles = placed.groupBy(*KEY).agg(
         F.min("main").alias("main"),
         F.max("end").alias("bundle_end"),

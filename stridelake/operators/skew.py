@@ -4,10 +4,11 @@ Aggregations need nothing special: they are reduced map-side before the shuffle.
 
 * joins of many rows against one key, which are salted (:func:`salted_join`);
 * ordered logic per key, which is cut into time chunks that only pass a small carry on to the next
-  (:func:`chunk_column`, :func:`carry_forward`).
+  (:func:`with_chunks`, :func:`carry_forward`).
 
-Both act on hot keys only, found by an exact count. The list of hot keys has a fixed upper size,
-so it may be broadcast.
+Both look for hot keys first, with one exact count per key over the key columns alone. Without any
+the plan is the plain join or window. The list of hot keys has a fixed upper size, so it may be
+broadcast.
 """
 
 from __future__ import annotations
@@ -22,19 +23,17 @@ CHUNK_SECONDS = 60
 
 def hot_keys(
     df: DataFrame, keys: list[str], min_rows: int = MIN_HOT_ROWS, limit: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """The keys with at least ``min_rows`` rows, largest first, never more than ``limit``.
+) -> DataFrame | None:
+    """The keys with at least ``min_rows`` rows, marked ``_hot``; ``None`` when there are none.
 
-    A key beyond the limit holds less than one part in ``limit`` of all rows, which is an ordinary
-    task size.
+    The largest ``limit`` keys at most. A key beyond the limit holds less than one part in
+    ``limit`` of all rows, which is an ordinary task size. Runs one job.
     """
-    present = F.lit(True)
-    for k in keys:
-        present = present & F.col(k).isNotNull()
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") >= min_rows)
+    if counts.isEmpty():
+        return None
     return (
-        df.where(present).groupBy(*keys).agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") >= min_rows)
-        .orderBy(F.desc("_rows"), *keys).limit(limit)
+        counts.orderBy(F.desc("_rows"), *keys).limit(limit)
         .select(*keys, F.lit(True).alias("_hot"))
     )
 
@@ -55,6 +54,10 @@ def salted_join(
     group. Left rows with a null key match nothing and are dealt out the same way. ``how`` is
     ``inner``, ``left``, ``left_semi`` or ``left_anti``. ``right`` should hold few rows per key.
     """
+    hot = hot_keys(left, on, min_rows)
+    if hot is None:
+        return left.join(right, on, how)
+    hot = F.broadcast(hot)
     spread = spread or [c for c in left.columns if c not in on]
     # Salts come from a hash of the row, not from a random number: a retried task must send each
     # row to the same place again.
@@ -62,7 +65,6 @@ def salted_join(
     incomplete = F.lit(False)
     for k in on:
         incomplete = incomplete | F.col(k).isNull()
-    hot = F.broadcast(hot_keys(left, on, min_rows))
     salted_left = (
         left.join(hot, on, "left")
         .withColumn("_salt", F.when(F.col("_hot") | incomplete, dealt).otherwise(F.lit(0)))
@@ -77,21 +79,17 @@ def salted_join(
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
-def chunk_column(
-    df: DataFrame, by: list[str], ts: str, min_rows: int = MIN_HOT_ROWS,
-    chunk_s: int = CHUNK_SECONDS,
+def with_chunks(
+    df: DataFrame, by: list[str], ts: str, hot: DataFrame, chunk_s: int = CHUNK_SECONDS
 ) -> DataFrame:
-    """Add ``_chunk``: 0 for ordinary keys, the ``chunk_s`` long time slot of ``ts`` for hot ones.
+    """Add ``_chunk``: the ``chunk_s`` long time slot of ``ts`` for hot keys, 0 for the others.
 
     With distinct instants per key a chunk holds at most ``chunk_s`` million rows, and a key has
     at most as many chunks as its time span has slots. Both are bounded whatever the row count.
     """
-    if not by:
-        return df.withColumn("_chunk", F.floor(F.unix_seconds(F.col(ts)) / F.lit(chunk_s)))
-    hot = F.broadcast(hot_keys(df, by, min_rows))
     slot = F.floor(F.unix_seconds(F.col(ts)) / F.lit(chunk_s))
     return (
-        df.join(hot, by, "left")
+        df.join(F.broadcast(hot), by, "left")
         .withColumn("_chunk", F.when(F.col("_hot"), slot).otherwise(F.lit(0).cast("long")))
         .drop("_hot")
     )
@@ -105,18 +103,23 @@ def carry_forward(
 
     ``points`` must be unique on ``by`` and ``ts``.
     """
-    chunked = chunk_column(points, by, ts, min_rows, chunk_s)
-    within = (
-        W.partitionBy(*by, "_chunk").orderBy(ts)
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    local = chunked.withColumn("_local", F.last(value, ignorenulls=True).over(within))
+    def latest(*partition: str) -> Column:
+        so_far = (
+            W.partitionBy(*partition).orderBy(ts)
+            .rowsBetween(W.unboundedPreceding, W.currentRow)
+        )
+        return F.last(value, ignorenulls=True).over(so_far)
+
+    hot = hot_keys(points, by, min_rows)
+    if hot is None:
+        return points.withColumn(out, latest(*by))
+    local = with_chunks(points, by, ts, hot, chunk_s).withColumn("_local", latest(*by, "_chunk"))
     ends = local.groupBy(*by, "_chunk").agg(F.max_by("_local", ts).alias("_end"))
-    before = (
-        W.partitionBy(*by).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
-    )
+    before = W.partitionBy(*by).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     carried = ends.select(
         *by, "_chunk", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
-    joined = local.join(carried, [*by, "_chunk"], "left")
-    carry: Column = F.coalesce("_local", "_carry")
-    return joined.withColumn(out, carry).drop("_local", "_carry", "_chunk")
+    return (
+        local.join(carried, [*by, "_chunk"], "left")
+        .withColumn(out, F.coalesce("_local", "_carry"))
+        .drop("_local", "_carry", "_chunk")
+    )

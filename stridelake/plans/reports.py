@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stridelake.functions import text as X, times
 from stridelake.operators import asof, calendars, intervals, rollups, sessions, skew
+from stridelake.session import materialize
 
 
 def dashboard(
@@ -30,10 +31,11 @@ def class_bundles(
     acts: DataFrame, start: date | str = rollups.WINDOW_START, gap_s: float = sessions.GAP_S,
     min_rows: int = skew.MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Bundled class rides since ``start``."""
+    """Bundled class rides since ``start``, written once: sessions, orphans and the strength match
+    all start from them."""
     rides = acts.where(X.is_class(F.col("original_source")) & times.since(
         F.col("start_time"), start))
-    return sessions.bundle_records(rides, gap_s, min_rows)
+    return materialize(sessions.bundle_records(rides, gap_s, min_rows), "bundles")
 
 
 def match_strength(

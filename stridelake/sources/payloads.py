@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stridelake import schemas
 from stridelake.functions import numeric as N, text as X, times
+from stridelake.session import materialize
 from stridelake.sources.listing import relative_path
 
 NO_ACTIVITY = "no activity element found"
@@ -73,6 +74,8 @@ def parse_tcx(files: DataFrame) -> DataFrame:
     """Parse XML lap files to ``payload``, ``sport``, ``creator``, ``start``, ``lap``, ``error``.
 
     Blanks before the declaration are dropped. Only the first activity and its first lap count.
+    Parsing is the expensive step and several outputs need it, so its result is written once to
+    the shared folder; a filter on it can then not repeat the parse.
     """
     text = F.regexp_replace(F.col("xml"), r"\A\s+", "")
     parsed = decode_xml(files).withColumn("doc", F.from_xml(text, schemas.TCX.simpleString()))
@@ -80,7 +83,7 @@ def parse_tcx(files: DataFrame) -> DataFrame:
     lap = F.try_element_at(F.col("activity.Lap"), F.lit(1))
     broken = F.col("doc").isNull() | F.col("doc._corrupt_record").isNotNull()
     started = F.coalesce(F.nullif(F.col("lap._StartTime"), F.lit("")), F.col("activity.Id"))
-    return (
+    laps = (
         parsed.withColumn("activity", first).withColumn("lap", lap)
         .select(
             "payload",
@@ -94,6 +97,7 @@ def parse_tcx(files: DataFrame) -> DataFrame:
             .when(F.col("lap").isNull(), F.lit(NO_LAP)).alias("error"),
         )
     )
+    return materialize(laps, "laps")
 
 
 def tcx_points(parsed: DataFrame) -> DataFrame:
