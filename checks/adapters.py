@@ -348,6 +348,8 @@ def xml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 3 == 0, F.lit("Other Bike")).otherwise(F.lit("Peloton Bike+")),
         "</Name></Creator></Activity></Activities>",
         F.when(k % 17 != 0, F.lit("</TrainingCenterDatabase>")).otherwise(F.lit("")))
-    return events(spark, sf_dir).select(
+    # Stands for a folder of files, which would be read by all cores.
+    spread = events(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "event_id")
+    return spread.select(
         F.concat(F.col("event_id").cast("string"), F.lit(".tcx")).alias("payload"),
         F.encode(doc, "UTF-8").alias("content"))
