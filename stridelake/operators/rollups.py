@@ -265,27 +265,24 @@ def window_headline(
     acts: DataFrame, strength: DataFrame, start: date | str = WINDOW_START
 ) -> DataFrame:
     """One row of totals since ``start`` over the three kinds of activity."""
-    out, cls = _outdoor(), _class()
-    elapsed = F.col("elapsed_time_s")
-    rides = acts.where(times.since(_start(), start)).agg(
-        F.count_if(out).alias("outdoor_n"),
+    rides = acts.where(times.since(_start(), start)).select(
+        F.lit(False).alias("strength"), "original_source", "elapsed_time_s", _distance().alias("distance_m"))
+    lifts = strength.where(F.col("date") >= F.lit(str(start)).cast("date")).select(
+        F.lit(True).alias("strength"), "minutes")
+    lifted, elapsed = F.col("strength"), F.col("elapsed_time_s")
+    minutes = _when(lifted, F.coalesce("minutes", F.lit(0.0)))
+    return rides.unionByName(lifts, allowMissingColumns=True).agg(
+        F.count_if(_outdoor()).alias("outdoor_n"),
         N.round_half_up(
-            N.s_to_min(N.exact_sum(_when(out, elapsed))), 0).alias("outdoor_min"),
+            N.s_to_min(N.exact_sum(_when(_outdoor(), elapsed))), 0).alias("outdoor_min"),
         N.round_half_up(
-            N.m_to_km(N.exact_sum(_when(out, _distance()))), 0).alias("outdoor_km"),
-        F.count_if(cls).alias("class_n"),
-        N.round_half_up(N.s_to_min(N.exact_sum(_when(cls, elapsed))), 0).alias("class_min"),
-    )
-    sessions = strength.where(F.col("date") >= F.lit(str(start)).cast("date")).agg(
-        F.count("*").alias("strength_n"),
-        F.coalesce(
-            N.round_half_even(N.exact_sum(F.coalesce("minutes", F.lit(0.0))), 1), F.lit(0.0)
-        ).alias("strength_min"),
-    )
-    # Two one-row aggregates, put side by side through a constant key.
-    one = F.lit(1).alias("_one")
-    return (
-        rides.select(one, "*").join(F.broadcast(sessions.select(one, "*")), "_one").drop("_one")
+            N.m_to_km(N.exact_sum(_when(_outdoor(), F.col("distance_m")))), 0)
+        .alias("outdoor_km"),
+        F.count_if(_class()).alias("class_n"),
+        N.round_half_up(
+            N.s_to_min(N.exact_sum(_when(_class(), elapsed))), 0).alias("class_min"),
+        F.count_if(lifted).alias("strength_n"),
+        F.coalesce(N.round_half_even(N.exact_sum(minutes), 1), F.lit(0.0)).alias("strength_min"),
     )
 
 

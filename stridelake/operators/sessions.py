@@ -4,11 +4,12 @@ Rows of one athlete, in order of start, belong to the same bundle while each beg
 ``gap_s`` seconds after the end of the row before it. What counts is the previous row's own end,
 not the latest end so far.
 
-Rows that start at the same instant always share a bundle, so all ordering work happens on
-*instants*: rows aggregated by athlete and start. The aggregation runs map-side, and what is left
-has distinct timestamps, which bounds the size of a time chunk. A hot athlete is cut into chunks;
-between chunks travel only the last end and the last bundle start. The placed instants are needed
-several times and are written once to the shared folder.
+Ordinary athletes take one shuffle by athlete: everything after it, from the previous row to the
+bundle's summary, happens inside the partition. A hot athlete would overload that partition and
+takes another way with the same result. Rows that start at the same instant always share a bundle,
+so ordering works on *instants*, rows aggregated by athlete and start, which shrink map-side and
+have distinct timestamps. Instants are cut into time chunks; between chunks travel only the last
+end and the last bundle start.
 """
 
 from __future__ import annotations
@@ -52,36 +53,34 @@ def _opens(previous_end: Column, start: Column, gap_s: float) -> Column:
     return previous_end.isNull() | (times.seconds_between(previous_end, start) > gap_s)
 
 
-def bundle_instants(
-    instants: DataFrame, gap_s: float = GAP_S, chunk_s: int = skew.CHUNK_SECONDS,
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Add ``bundle_start`` to a frame unique on ``athlete_id`` and ``start`` with ``last_end``,
-    the end of the instant's last row. ``hot`` lists the athletes to cut into chunks."""
-    start = F.col("start")
-
-    def place(df: DataFrame, *partition: str) -> DataFrame:
-        """``_local``: start of the latest bundle opened so far, seen from this partition alone."""
-        ordered = W.partitionBy(*partition).orderBy("start")
-        so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
-        opened = F.when(F.col("_open"), start)
-        return (
-            df.withColumn("_previous", F.lag("last_end").over(ordered))
-            .withColumn("_open", _opens(F.col("_previous"), start, gap_s))
-            .withColumn("_local", F.last(opened, ignorenulls=True).over(so_far))
-            .drop("_previous", "_open")
-        )
+def _place(df: DataFrame, partition: list[str], order: list[str], gap_s: float) -> DataFrame:
+    """Add ``bundle_start``: start of the latest bundle opened so far in the partition."""
+    ordered = W.partitionBy(*partition).orderBy(*order)
+    so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
+    opened = F.when(F.col("_open"), F.col("start"))
+    return (
+        df.withColumn("_previous", F.lag("end").over(ordered))
+        .withColumn("_open", _opens(F.col("_previous"), F.col("start"), gap_s))
+        .withColumn("bundle_start", F.last(opened, ignorenulls=True).over(so_far))
+        .drop("_previous", "_open")
+    )
 
-    if hot is None:
-        return place(instants, "athlete_id").withColumnRenamed("_local", "bundle_start")
 
+def _place_rows(rows: DataFrame, gap_s: float) -> DataFrame:
+    return _place(rows, ["athlete_id"], ["start", "id"], gap_s)
+
+
+def _place_instants(instants: DataFrame, gap_s: float, chunk_s: int) -> DataFrame:
+    """Add ``bundle_start`` to a frame unique on ``athlete_id`` and ``start``, where ``end`` is
+    the end of the instant's last row."""
     chunk = ["athlete_id", "_chunk"]
-    local = place(skew.with_chunks(instants, ["athlete_id"], "start", hot, chunk_s), *chunk)
+    chunked = instants.withColumn("_chunk", skew.time_chunk("start", chunk_s))
+    local = _place(chunked, chunk, ["start"], gap_s).withColumnRenamed("bundle_start", "_local")
     # That the first instant of a chunk opens a bundle is provisional: it depends on the end of the
     # chunk before. Bundles opened later in the chunk are settled.
     summary = local.groupBy(*chunk).agg(
         F.min("start").alias("_first"),
-        F.max_by("last_end", "start").alias("_end"),
+        F.max_by("end", "start").alias("_end"),
         F.max("_local").alias("_last_open"),
     )
     across = W.partitionBy("athlete_id").orderBy("_chunk")
@@ -103,17 +102,25 @@ def bundle_instants(
     )
 
 
+def _bundle_hot_rows(
+    rows: DataFrame, gap_s: float, min_rows: int, chunk_s: int
+) -> DataFrame:
+    instants = rows.groupBy("athlete_id", "start").agg(F.max_by("end", "id").alias("end"))
+    placed = _place_instants(instants, gap_s, chunk_s).drop("end")
+    return skew.salted_join(
+        rows, placed, ["athlete_id", "start"], "inner", spread=["id"], min_rows=min_rows)
+
+
 def bundle_by_gap(
     acts: DataFrame, gap_s: float = GAP_S, min_rows: int = skew.MIN_HOT_ROWS,
     chunk_s: int = skew.CHUNK_SECONDS,
 ) -> DataFrame:
     """Every activity with ``bundle_start``; together with the athlete it names the bundle."""
-    rows = _prepare(acts)
-    instants = rows.groupBy("athlete_id", "start").agg(F.max_by("end", "id").alias("last_end"))
-    hot = skew.hot_keys(rows, ["athlete_id"], min_rows)
-    bundles = bundle_instants(instants, gap_s, chunk_s, hot).drop("last_end")
-    return skew.salted_join(
-        rows, bundles, ["athlete_id", "start"], "inner", spread=["id"], min_rows=min_rows)
+    rows, hot = skew.split_hot(_prepare(acts), ["athlete_id"], min_rows)
+    placed = _place_rows(rows, gap_s)
+    if hot is None:
+        return placed
+    return placed.unionByName(_bundle_hot_rows(hot, gap_s, min_rows, chunk_s))
 
 
 def mark_main(
@@ -122,23 +129,28 @@ def mark_main(
 ) -> DataFrame:
     """Every activity with its bundle, ``role`` (main, warmup, cooldown, same_start) and
     ``is_orphan``."""
-    rows = materialize(bundle_by_gap(acts, gap_s, min_rows, chunk_s), "bundled")
-    mains = (
-        rows.groupBy(*KEY).agg(_main_candidate().alias("main"), F.count("*").alias("n_rows"))
-        .select(
-            *KEY, "n_rows", F.col("main.id").alias("main_id"),
-            F.col("main.start").alias("main_start"),
-            _is_orphan(F.col("n_rows"), F.col("main.name")).alias("is_orphan"),
-        )
+    rows, hot = skew.split_hot(_prepare(acts), ["athlete_id"], min_rows)
+    bundle = W.partitionBy(*KEY)
+    marked = (
+        _place_rows(rows, gap_s)
+        .withColumn("main", _main_candidate().over(bundle))
+        .withColumn("n_rows", F.count("*").over(bundle))
     )
-    joined = skew.salted_join(rows, mains, KEY, "inner", spread=["id"], min_rows=min_rows)
+    if hot is not None:
+        placed = materialize(_bundle_hot_rows(hot, gap_s, min_rows, chunk_s), "bundled")
+        mains = placed.groupBy(*KEY).agg(
+            _main_candidate().alias("main"), F.count("*").alias("n_rows"))
+        marked = marked.unionByName(skew.salted_join(
+            placed, mains, KEY, "inner", spread=["id"], min_rows=min_rows))
+    start, main_start = F.col("start"), F.col("main.start")
     role = (
-        F.when(F.col("id") == F.col("main_id"), "main")
-        .when(F.col("start") < F.col("main_start"), "warmup")
-        .when(F.col("start") > F.col("main_start"), "cooldown")
+        F.when(F.col("id") == F.col("main.id"), "main")
+        .when(start < main_start, "warmup")
+        .when(start > main_start, "cooldown")
         .otherwise("same_start")
     )
-    return joined.withColumn("role", role).drop("main_id", "main_start")
+    orphan = _is_orphan(F.col("n_rows"), F.col("main.name"))
+    return marked.withColumn("role", role).withColumn("is_orphan", orphan).drop("main", "n_rows")
 
 
 def _is_orphan(n_rows: Column, name: Column) -> Column:
@@ -150,15 +162,43 @@ def bundle_records(
     acts: DataFrame, gap_s: float = GAP_S, min_rows: int = skew.MIN_HOT_ROWS,
     chunk_s: int = skew.CHUNK_SECONDS,
 ) -> DataFrame:
-    """One row per bundle with its main segment, totals and the heart rates around the main.
+    """One row per bundle: ``main``, ``bundle_end``, ``n_rows``, ``elapsed_sum``, ``kj_sum``, and
+    the mean heart rates before and after the main segment."""
+    rows, hot = skew.split_hot(_prepare(acts), ["athlete_id"], min_rows)
+    kj = N.zero_to_null(F.col("kj"))
+    bundles = (
+        _place_rows(rows, gap_s)
+        .withColumn("main", _main_candidate().over(W.partitionBy(*KEY)))
+        .groupBy(*KEY)
+        .agg(
+            F.first("main").alias("main"),
+            F.max("end").alias("bundle_end"),
+            F.count("*").alias("n_rows"),
+            N.exact_sum(F.col("elapsed_s")).alias("elapsed_sum"),
+            N.exact_sum(kj).alias("kj_sum"),
+            *[N.round_half_even(N.exact_avg(F.when(side, F.col("hr"))), 1).alias(name)
+              for name, side in _sides().items()],
+        )
+    )
+    if hot is None:
+        return bundles
+    return bundles.unionByName(_hot_records(hot, gap_s, min_rows, chunk_s))
 
-    Works on instants from start to end; single rows are not joined back.
-    """
+
+def _sides() -> dict[str, Column]:
+    """Rows that start with the main segment are on neither side."""
+    return {
+        "warmup_hr": F.col("start") < F.col("main.start"),
+        "cooldown_hr": F.col("start") > F.col("main.start"),
+    }
+
+
+def _hot_records(rows: DataFrame, gap_s: float, min_rows: int, chunk_s: int) -> DataFrame:
+    """:func:`bundle_records` of hot athletes, on instants from start to end."""
     hr, kj = F.col("hr"), N.zero_to_null(F.col("kj"))
-    rows = _prepare(acts)
     instants = rows.groupBy("athlete_id", "start").agg(
-        F.max_by("end", "id").alias("last_end"),
-        F.max("end").alias("end"),
+        F.max_by("end", "id").alias("end"),
+        F.max("end").alias("latest_end"),
         F.count("*").alias("n_rows"),
         N.exact_sum(F.col("elapsed_s")).cast("decimal(20,6)").alias("elapsed_sum"),
         N.exact_sum(kj).cast("decimal(20,6)").alias("kj_sum"),
@@ -166,33 +206,25 @@ def bundle_records(
         F.count(hr).alias("hr_n"),
         _main_candidate().alias("main"),
     )
-    hot = skew.hot_keys(rows, ["athlete_id"], min_rows)
-    placed = materialize(bundle_instants(instants, gap_s, chunk_s, hot), "placed")
+    placed = materialize(_place_instants(instants, gap_s, chunk_s), "placed")
     bundles = placed.groupBy(*KEY).agg(
         F.min("main").alias("main"),
-        F.max("end").alias("bundle_end"),
+        F.max("latest_end").alias("bundle_end"),
         F.sum("n_rows").alias("n_rows"),
         F.sum("elapsed_sum").cast("double").alias("elapsed_sum"),
         F.sum("kj_sum").cast("double").alias("kj_sum"),
     )
-    around = (
-        skew.salted_join(
-            placed.select(*KEY, "start", "hr_sum", "hr_n"),
-            bundles.select(*KEY, F.col("main.start").alias("main_start")),
-            KEY, "inner", spread=["start"], min_rows=min_rows)
-        .where(F.col("start") != F.col("main_start"))
-        .groupBy(*KEY)
-        .agg(
-            _mean_hr(F.col("start") < F.col("main_start")).alias("warmup_hr"),
-            _mean_hr(F.col("start") > F.col("main_start")).alias("cooldown_hr"),
-        )
-    )
-    return bundles.join(around, KEY, "left")
+    beside = skew.salted_join(
+        placed.select(*KEY, "start", "hr_sum", "hr_n"), bundles.select(*KEY, "main"),
+        KEY, "inner", spread=["start"], min_rows=min_rows)
 
+    def mean_hr(side: Column) -> Column:
+        total = F.sum(F.when(side, F.col("hr_sum"))).cast("double")
+        return N.round_half_even(F.try_divide(total, F.sum(F.when(side, F.col("hr_n")))), 1)
 
-def _mean_hr(side: Column) -> Column:
-    total = F.sum(F.when(side, F.col("hr_sum"))).cast("double")
-    return N.round_half_even(F.try_divide(total, F.sum(F.when(side, F.col("hr_n")))), 1)
+    around = beside.groupBy(*KEY).agg(*[
+        mean_hr(side).alias(name) for name, side in _sides().items()])
+    return bundles.join(around, KEY, "left")
 
 
 def summarize_bundles(bundles: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -4,7 +4,7 @@ Aggregations need nothing special: they are reduced map-side before the shuffle.
 
 * joins of many rows against one key, which are salted (:func:`salted_join`);
 * ordered logic per key, which is cut into time chunks that only pass a small carry on to the next
-  (:func:`with_chunks`, :func:`carry_forward`).
+  (:func:`time_chunk`, :func:`carry_forward`).
 
 Both look for hot keys first, with one exact count per key over the key columns alone. Without any
 the plan is the plain join or window. The list of hot keys has a fixed upper size, so it may be
@@ -79,20 +79,24 @@ def salted_join(
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
-def with_chunks(
-    df: DataFrame, by: list[str], ts: str, hot: DataFrame, chunk_s: int = CHUNK_SECONDS
-) -> DataFrame:
-    """Add ``_chunk``: the ``chunk_s`` long time slot of ``ts`` for hot keys, 0 for the others.
+def split_hot(
+    df: DataFrame, keys: list[str], min_rows: int = MIN_HOT_ROWS
+) -> tuple[DataFrame, DataFrame | None]:
+    """``df`` without its hot keys, and the rows of the hot keys (``None`` without any)."""
+    hot = hot_keys(df, keys, min_rows)
+    if hot is None:
+        return df, None
+    hot = F.broadcast(hot.select(*keys))
+    return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
+
+
+def time_chunk(ts: str, chunk_s: int = CHUNK_SECONDS) -> Column:
+    """The ``chunk_s`` long time slot of ``ts``.
 
     With distinct instants per key a chunk holds at most ``chunk_s`` million rows, and a key has
     at most as many chunks as its time span has slots. Both are bounded whatever the row count.
     """
-    slot = F.floor(F.unix_seconds(F.col(ts)) / F.lit(chunk_s))
-    return (
-        df.join(F.broadcast(hot), by, "left")
-        .withColumn("_chunk", F.when(F.col("_hot"), slot).otherwise(F.lit(0).cast("long")))
-        .drop("_hot")
-    )
+    return F.floor(F.unix_seconds(F.col(ts)) / F.lit(chunk_s))
 
 
 def carry_forward(
@@ -110,16 +114,17 @@ def carry_forward(
         )
         return F.last(value, ignorenulls=True).over(so_far)
 
-    hot = hot_keys(points, by, min_rows)
+    ordinary, hot = split_hot(points, by, min_rows)
+    filled = ordinary.withColumn(out, latest(*by))
     if hot is None:
-        return points.withColumn(out, latest(*by))
-    local = with_chunks(points, by, ts, hot, chunk_s).withColumn("_local", latest(*by, "_chunk"))
-    ends = local.groupBy(*by, "_chunk").agg(F.max_by("_local", ts).alias("_end"))
+        return filled
+    chunk = [*by, "_chunk"]
+    local = hot.withColumn("_chunk", time_chunk(ts, chunk_s)).withColumn(
+        "_local", latest(*chunk))
+    ends = local.groupBy(*chunk).agg(F.max_by("_local", ts).alias("_end"))
     before = W.partitionBy(*by).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
-    carried = ends.select(
-        *by, "_chunk", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
-    return (
-        local.join(carried, [*by, "_chunk"], "left")
+    carried = ends.select(*chunk, F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+    return filled.unionByName(
+        local.join(carried, chunk, "left")
         .withColumn(out, F.coalesce("_local", "_carry"))
-        .drop("_local", "_carry", "_chunk")
-    )
+        .drop("_local", "_carry", "_chunk"))

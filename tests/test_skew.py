@@ -1,0 +1,89 @@
+"""Hot keys must change the plan, never the result."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from stridelake.operators import lookup, quality, skew
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.fixture
+def sides(spark):
+    left = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.lit(None))
+        .otherwise((F.col("id") % 100).cast("string")).alias("key"), "id")
+    right = spark.createDataFrame(
+        [("hot", "h1"), ("hot", "h2"), ("5", "five"), ("none", "unused")], "key string, v string")
+    return left, right
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_equals_plain_join(sides, how):
+    left, right = sides
+    salted = skew.salted_join(left, right, ["key"], how, ["id"], min_rows=500, salts=8)
+    assert rows(salted) == rows(left.join(right, "key", how))
+
+
+def test_hot_key_is_split_over_the_salts(sides):
+    left, right = sides
+    salted = skew.salted_join(left, right, ["key"], "left", ["id"], min_rows=500, salts=8)
+    plan = salted._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan
+    plain = skew.salted_join(left, right, ["key"], "left", ["id"], min_rows=10 ** 6)
+    assert "xxhash64" not in plain._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hot_key_list_is_bounded(spark):
+    df = spark.range(1000).select((F.col("id") % 50).alias("key"))
+    assert skew.hot_keys(df, ["key"], min_rows=21) is None
+    hot = skew.hot_keys(df, ["key"], min_rows=20, limit=7)
+    assert [r.key for r in hot.orderBy("key").collect()] == list(range(7))
+
+
+@pytest.mark.parametrize("min_rows", [10 ** 6, 1])
+def test_carry_forward(spark, min_rows):
+    df = spark.createDataFrame(
+        [("a", 0, 1), ("a", 50, None), ("a", 3600, None), ("a", 7200, 2), ("a", 7201, None),
+         ("b", 10, None), ("b", 4000, 3)], "k string, s bigint, v int").withColumn(
+        "ts", F.timestamp_seconds("s"))
+    got = skew.carry_forward(df, ["k"], "ts", "v", "latest", min_rows, 60)
+    assert [r.latest for r in got.orderBy("k", "ts").collect()] == [1, 1, 1, 2, 2, None, 3]
+
+
+@pytest.mark.parametrize("min_rows", [10 ** 6, 1])
+def test_lookup_with_missing_and_repeated_files(spark, min_rows):
+    acts = spark.createDataFrame(
+        [("1", None, "f"), ("2", "", "f"), ("3", "Own", "f"), ("4", None, None), ("5", None, "g")],
+        "id string, name string, raw_file_reference string")
+    index = spark.createDataFrame(
+        [("x/f", " First ", 1), ("f", "Last", 2), ("f", "  ", 3), ("g", "", 4), ("", "No", 5),
+         (None, "No", 6)], "Filename string, `Activity Name` string, position int")
+    names = lookup.enrich_names(acts, lookup.dedupe_lookup(index), min_rows)
+    assert [tuple(r) for r in names.orderBy("id").select("name", "name_status").collect()] == [
+        ("Last", "updated"), ("Last", "updated"), ("Own", "already_named"), (None, "no_match"),
+        (None, "no_match")]
+    assert tuple(lookup.name_counts(names).first()) == (2, 1, 2)
+
+
+@pytest.mark.parametrize("min_rows", [10 ** 6, 1])
+def test_duplicates_name_the_first_position(spark, min_rows):
+    df = spark.createDataFrame(
+        [("a", 0), ("b", 1), ("a", 2), ("a", 3), (None, 4), (None, 5)], "id string, entry int")
+    got = quality.duplicate_ids(df, "id", "entry", min_rows)
+    assert sorted((r.id, r.entry, r.first_position) for r in got.collect()) == [
+        ("a", 2, 0), ("a", 3, 0)]
+
+
+def test_reconciliation_verdict(spark):
+    ids = lambda *v: spark.createDataFrame([(x,) for x in v], "id string")
+    assert tuple(lookup.reconcile_ids(ids("1", "2", "3", "9"), ids("1", "2", "3"), "id").first()) \
+        == (4, 3, 1, "IDs match")
+    assert tuple(lookup.reconcile_ids(ids("1", "2"), ids("1", "2", "3"), "id").first()) == (
+        2, 2, 0, "IDs do not match")
+    assert tuple(lookup.reconcile_ids(ids(), ids("1"), "id").first()) == (
+        0, 0, 0, "IDs do not match")
+    sides = lookup.match_ids(ids("1", "1", "2"), ids("2", "3"), "id")
+    assert sorted(map(tuple, sides.collect())) == [("1", "left"), ("2", "both"), ("3", "right")]
