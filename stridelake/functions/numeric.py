@@ -49,19 +49,27 @@ def round_to_int(c: Column) -> Column:
     return F.rint(c.cast("double")).cast("int")
 
 
+def exact_parts(c: Column) -> tuple[Column, Column]:
+    """A double as whole units and millionths, both long; sums of these are exact."""
+    c = c.cast("double")
+    whole = F.floor(c)
+    return whole, F.rint((c - whole) * F.lit(float(_MICRO))).cast("long")
+
+
+def exact_total(whole: Column, micros: Column) -> Column:
+    """The double that summed :func:`exact_parts` stand for."""
+    micro = F.lit(0.000001).cast("decimal(7,6)")
+    return (whole.cast("decimal(20,0)") + micros.cast("decimal(20,0)") * micro).cast("double")
+
+
 def exact_sum(c: Column) -> Column:
     """Sum of doubles to six decimals, the same whatever the order in which tasks add.
 
-    Whole units and millionths are added as two longs, which stay in generated code, cannot
-    overflow before 9e18 whole units or 9e12 rows, and are joined as decimals once per group.
+    Two longs are added, which stay in generated code and cannot overflow before 9e18 whole units
+    or 9e12 rows; they are joined as decimals once per group.
     """
-    c = c.cast("double")
-    whole = F.floor(c)
-    micros = F.rint((c - whole) * F.lit(float(_MICRO))).cast("long")
-    return (
-        F.sum(whole).cast("decimal(20,0)")
-        + F.sum(micros).cast("decimal(20,0)") * F.lit(0.000001).cast("decimal(7,6)")
-    ).cast("double")
+    whole, micros = exact_parts(c)
+    return exact_total(F.sum(whole), F.sum(micros))
 
 
 def exact_avg(c: Column) -> Column:

@@ -83,28 +83,27 @@ def moving_averages_by_year(tracks: DataFrame, acts: DataFrame) -> DataFrame:
     The points shrink to sums per activity and year before they meet the activities, so the join
     moves activities, not points, and an activity with a huge track is no heavier than another.
     """
-    cadence, speed = F.col("cadence").cast("double"), F.col("speed_mps")
-    moving, pedalling = speed > 0, cadence > 0
+    cadence, speed = F.col("cadence"), F.col("speed_mps")
+    pedalling, moving = cadence > 0, speed > 0
+    whole, micros = N.exact_parts(_when(moving, speed))
     partial = (
         tracks.groupBy("activity_id", F.year("timestamp").alias("yr"))
         .agg(
-            N.exact_sum(_when(pedalling, cadence)).cast("decimal(20,6)").alias("cadence_sum"),
+            F.sum(_when(pedalling, cadence)).alias("cadence"),
             F.count_if(pedalling).alias("cadence_n"),
-            N.exact_sum(_when(moving, speed)).cast("decimal(20,6)").alias("speed_sum"),
+            F.sum(whole).alias("whole"), F.sum(micros).alias("micros"),
             F.count_if(moving).alias("speed_n"),
         )
     )
     outdoor = acts.where(_outdoor()).select(F.col("id").alias("activity_id"))
-
-    def mean(name: str) -> Column:
-        total = F.sum(f"{name}_sum").cast("double")
-        return F.try_divide(total, F.sum(f"{name}_n"))
-
+    speed_sum = N.exact_total(F.sum("whole"), F.sum("micros"))
     return (
         partial.join(outdoor, "activity_id").groupBy("yr")
         .agg(
-            N.round_half_up(mean("cadence"), 1).alias("avg_cadence"),
-            N.round_half_up(N.mps_to_kmh(mean("speed")), 1).alias("avg_speed_kmh"),
+            N.round_half_up(F.try_divide(F.sum("cadence"), F.sum("cadence_n")), 1)
+            .alias("avg_cadence"),
+            N.round_half_up(N.mps_to_kmh(F.try_divide(speed_sum, F.sum("speed_n"))), 1)
+            .alias("avg_speed_kmh"),
         )
         .orderBy("yr")
     )

@@ -195,32 +195,43 @@ def _sides() -> dict[str, Column]:
 
 def _hot_records(rows: DataFrame, gap_s: float, min_rows: int, chunk_s: int) -> DataFrame:
     """:func:`bundle_records` of hot athletes, on instants from start to end."""
-    hr, kj = F.col("hr"), N.zero_to_null(F.col("kj"))
+    hr = F.col("hr")
+    parts = {"elapsed": F.col("elapsed_s"), "kj": N.zero_to_null(F.col("kj")), "hr": hr}
+    sums = []
+    for name, value in parts.items():
+        whole, micros = N.exact_parts(value)
+        sums += [F.sum(whole).alias(f"{name}_whole"), F.sum(micros).alias(f"{name}_micros")]
     instants = rows.groupBy("athlete_id", "start").agg(
         F.max_by("end", "id").alias("end"),
         F.max("end").alias("latest_end"),
         F.count("*").alias("n_rows"),
-        N.exact_sum(F.col("elapsed_s")).cast("decimal(20,6)").alias("elapsed_sum"),
-        N.exact_sum(kj).cast("decimal(20,6)").alias("kj_sum"),
-        N.exact_sum(hr).cast("decimal(20,6)").alias("hr_sum"),
         F.count(hr).alias("hr_n"),
         _main_candidate().alias("main"),
+        *sums,
     )
     placed = materialize(_place_instants(instants, gap_s, chunk_s), "placed")
+
+    def total(name: str, side: Column | None = None) -> Column:
+        whole, micros = F.col(f"{name}_whole"), F.col(f"{name}_micros")
+        if side is not None:
+            whole, micros = F.when(side, whole), F.when(side, micros)
+        return N.exact_total(F.sum(whole), F.sum(micros))
+
     bundles = placed.groupBy(*KEY).agg(
         F.min("main").alias("main"),
         F.max("latest_end").alias("bundle_end"),
         F.sum("n_rows").alias("n_rows"),
-        F.sum("elapsed_sum").cast("double").alias("elapsed_sum"),
-        F.sum("kj_sum").cast("double").alias("kj_sum"),
+        total("elapsed").alias("elapsed_sum"),
+        total("kj").alias("kj_sum"),
     )
     beside = skew.salted_join(
-        placed.select(*KEY, "start", "hr_sum", "hr_n"), bundles.select(*KEY, "main"),
+        placed.select(*KEY, "start", "hr_whole", "hr_micros", "hr_n"),
+        bundles.select(*KEY, "main"),
         KEY, "inner", spread=["start"], min_rows=min_rows)
 
     def mean_hr(side: Column) -> Column:
-        total = F.sum(F.when(side, F.col("hr_sum"))).cast("double")
-        return N.round_half_even(F.try_divide(total, F.sum(F.when(side, F.col("hr_n")))), 1)
+        count = F.sum(F.when(side, F.col("hr_n")))
+        return N.round_half_even(F.try_divide(total("hr", side), count), 1)
 
     around = beside.groupBy(*KEY).agg(*[
         mean_hr(side).alias(name) for name, side in _sides().items()])

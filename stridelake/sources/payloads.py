@@ -152,19 +152,25 @@ def tcx_to_raw(parsed: DataFrame) -> RawPayloads:
 def collapse_messages(messages: DataFrame) -> RawPayloads:
     """Collapse decoded messages (``schemas.MESSAGE``) to the common raw shape.
 
-    Field by field, the last message that carries a value wins. Everything is a mergeable
-    aggregate, so a payload with a third of all messages is reduced before the shuffle.
+    Field by field, the last message that carries a value wins. Samples, which are nearly all
+    messages, only answer whether there is a position; they shrink to one row per payload before
+    the summary messages join them. Everything is a mergeable aggregate, so a payload with a third
+    of all messages is reduced before the shuffle.
     """
-    latest = [
-        _latest_fields("file_id", schemas.FILE_ID),
-        _latest_fields("session", schemas.SESSION),
-    ]
+    is_sample = F.col("msg_type") == "record"
+    records = messages.where(is_sample).select("payload", "record")
+    positions = records.groupBy("payload").agg(has_position("record").alias("has_position"))
     files = (
-        messages.groupBy("payload")
-        .agg(*latest, has_position("record").alias("has_position"))
+        messages.where(~is_sample).select("payload", "seq", "file_id", "session")
+        .unionByName(positions, allowMissingColumns=True)
+        .groupBy("payload")
+        .agg(
+            _latest_fields("file_id", schemas.FILE_ID),
+            _latest_fields("session", schemas.SESSION),
+            F.coalesce(F.bool_or("has_position"), F.lit(False)).alias("has_position"),
+        )
         .withColumn("error", F.lit(None).cast("string"))
     )
-    records = messages.where(F.col("msg_type") == "record").select("payload", "record")
     return RawPayloads(files, records)
 
 
