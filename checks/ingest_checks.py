@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from checks import adapters as A
-from checks.sql import ACTS, E, RIDE_NAME, half_even, with_
+from checks.sql import ACTS, E, RIDE_NAME, STRENGTH, half_even, with_
 from pyspark.sql import functions as F
+from stridelake import schemas, session
 from stridelake.operators import lookup, normalize, quality
-from stridelake.sources import listing, payloads
+from stridelake.sinks import sections, tables
+from stridelake.sources import files, listing, payloads
 from stridelake.streaming import ingest
 
 
@@ -147,7 +149,54 @@ _NAMED = """named AS (
               WHEN n.title IS NOT NULL THEN 'updated' ELSE 'no_match' END AS name_status
   FROM acts a LEFT JOIN names n ON n.file = a.ref AND event_id % 7 <> 0)"""
 
+def _upserted(s, d):
+    """Store all activities, then store some of them again with another source and name."""
+    path = session.fresh_path(s, "upserted")
+    first = A.activities(s, d)
+    again = first.where(F.col("calories").isNull()).withColumn("name", F.lit("Again")).withColumn(
+        "original_source", F.lit("peloton"))
+    for batch in (first, again):
+        tables.replace_by_key(batch, path, "id", tables.activity_partitions())
+    return files.read_activity_table(s, path).select(
+        "id", "original_source", "name", "start_time", "elapsed_time_s")
+
+
+def _json_activities(s, d):
+    path = session.fresh_path(s, "json")
+    sections.write_section(A.activities(s, d).drop("athlete_id"), path)
+    return files.read_activities(s, path, multi_line=False).select(
+        "athlete_id", "id", "original_source", "name", "start_time", "elapsed_time_s",
+        F.col("endurance_metrics.distance_m").alias("distance_m"),
+        F.col("class_metrics.output_kj").alias("output_kj"))
+
+
+def _csv_strength(s, d):
+    path = session.fresh_path(s, "index")
+    A.index(s, d).select(*schemas.ACTIVITY_INDEX).write.option("header", True).option(
+        "escape", '"').option("ignoreTrailingWhiteSpace", False).csv(path)
+    return normalize.strength_sessions(files.read_activity_index(s, path)).select(
+        "start", "date", "name", "minutes", "logged_minutes", "trainer_led")
+
+
 CHECKS = {
+    "stored_activities_replaced_by_id": (
+        _upserted,
+        with_(ACTS) + """
+SELECT id, CASE WHEN calories IS NULL THEN 'peloton' ELSE src END AS original_source,
+       CASE WHEN calories IS NULL THEN 'Again' ELSE name END AS name, start_time,
+       elapsed_s AS elapsed_time_s
+FROM acts"""),
+    "activities_from_json": (
+        _json_activities,
+        with_(ACTS) + """
+SELECT 0::BIGINT AS athlete_id, id, src AS original_source, name, start_time,
+       elapsed_s AS elapsed_time_s, distance_m, kj AS output_kj
+FROM acts"""),
+    "strength_sessions_from_csv": (
+        _csv_strength,
+        with_(ACTS, STRENGTH) + """
+SELECT start_ts AS start, day AS date, name, minutes, logged_minutes, trainer_led
+FROM strength"""),
     "device_messages_collapsed": (
         lambda s, d: _device_raw(s, d).files.select(
             "payload", "file_id.manufacturer", "file_id.garmin_product", "file_id.product",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stridelake.functions import text as X
 from stridelake.operators import skew
@@ -22,6 +22,15 @@ def dedupe_lookup(index: DataFrame) -> DataFrame:
     )
 
 
+def find_titles(
+    df: DataFrame, lookup: DataFrame, file: Column, spread: list[str],
+    min_rows: int = skew.MIN_HOT_ROWS,
+) -> DataFrame:
+    """``df`` with ``title``, the lookup's entry for ``file``, or null."""
+    return skew.salted_join(
+        df.withColumn("file", file), lookup, ["file"], "left", spread, min_rows).drop("file")
+
+
 def enrich_names(
     acts: DataFrame, lookup: DataFrame, min_rows: int = skew.MIN_HOT_ROWS
 ) -> DataFrame:
@@ -30,8 +39,8 @@ def enrich_names(
     Named activities are left alone and do not take part in the lookup at all.
     """
     unnamed = F.coalesce(F.col("name"), F.lit("")) == ""
-    keyed = acts.withColumn("file", F.when(unnamed, F.col("raw_file_reference")))
-    joined = skew.salted_join(keyed, lookup, ["file"], "left", spread=["id"], min_rows=min_rows)
+    file = F.when(unnamed, F.col("raw_file_reference"))
+    joined = find_titles(acts, lookup, file, ["id"], min_rows)
     status = (
         F.when(~unnamed, F.lit(ALREADY_NAMED))
         .when(F.col("title").isNotNull(), F.lit(UPDATED))

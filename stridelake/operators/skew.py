@@ -6,36 +6,45 @@ Aggregations need nothing special: they are reduced map-side before the shuffle.
 * ordered logic per key, which is cut into time chunks that only pass a small carry on to the next
   (:func:`time_chunk`, :func:`carry_forward`).
 
-Both look for hot keys first, with one exact count per key over the key columns alone. Without any
-the plan is the plain join or window. The list of hot keys has a fixed upper size, so it may be
-broadcast.
+Both look for hot keys first, by counting a sample of the key columns. The sample only chooses the
+plan: without hot keys it is the plain join or window, and the result is the same either way. The
+list of hot keys has a fixed upper size, so it may be broadcast.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from stridelake.session import materialize
+
 MIN_HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 50_000
 SALTS = 256
 CHUNK_SECONDS = 60
+SAMPLE_ROWS = 1_000  # expected sample of the smallest hot key
 
 
 def hot_keys(
     df: DataFrame, keys: list[str], min_rows: int = MIN_HOT_ROWS, limit: int = MAX_HOT_KEYS
 ) -> DataFrame | None:
-    """The keys with at least ``min_rows`` rows, marked ``_hot``; ``None`` when there are none.
+    """The keys with about ``min_rows`` rows or more, marked ``_hot``; ``None`` without any.
 
     The largest ``limit`` keys at most. A key beyond the limit holds less than one part in
-    ``limit`` of all rows, which is an ordinary task size. Runs one job.
+    ``limit`` of all rows, which is an ordinary task size. A hot key is expected ``SAMPLE_ROWS``
+    times in the sample, so half as many are enough to tell and it cannot slip through. The list
+    is written once, because both sides of a join must see the same one.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") >= min_rows)
+    fraction = min(1.0, SAMPLE_ROWS / min_rows)
+    sampled = df.select(*keys)
+    if fraction < 1.0:
+        sampled = sampled.sample(fraction, seed=1)
+    enough = min_rows if fraction == 1.0 else SAMPLE_ROWS // 2
+    counts = sampled.groupBy(*keys).agg(F.count("*").alias("_rows")).where(
+        F.col("_rows") >= enough)
     if counts.isEmpty():
         return None
-    return (
-        counts.orderBy(F.desc("_rows"), *keys).limit(limit)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
+    top = counts.orderBy(F.desc("_rows"), *keys).limit(limit)
+    return materialize(top.select(*keys, F.lit(True).alias("_hot")), "hot-keys")
 
 
 def salted_join(

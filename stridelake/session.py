@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Payload files go to Python whole; batches are bounded by bytes, not by rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 

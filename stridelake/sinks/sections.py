@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# The default format would cut instants to milliseconds.
+TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def write_section(df: DataFrame, path: str, order_by: list[str] | None = None) -> None:
     """Write one report section as JSON lines.
@@ -13,7 +16,7 @@ def write_section(df: DataFrame, path: str, order_by: list[str] | None = None) -
     """
     if order_by:
         df = df.orderBy(*order_by)
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").option("timestampFormat", TIMESTAMP).json(path)
 
 
 def write_bundle(sections: dict[str, DataFrame], path: str) -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from stridelake import schemas
 
@@ -15,13 +17,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return matches is not None and len(matches) > 0
 
 
-def read_activities(spark: SparkSession, path: str, athlete_id: int | None = 0) -> DataFrame:
-    """Activity records, one JSON object per file.
+def read_activities(
+    spark: SparkSession, path: str, athlete_id: int | None = 0, multi_line: bool = True
+) -> DataFrame:
+    """Activity records, one JSON object per file, or per line without ``multi_line``.
 
     The records carry no athlete; ``athlete_id`` names the one they belong to, and ``None`` keeps
     an ``athlete_id`` field that is present in the files.
     """
-    df = spark.read.schema(schemas.ACTIVITY).option("multiLine", True).json(path)
+    df = spark.read.schema(schemas.ACTIVITY).option("multiLine", multi_line).json(path)
     if athlete_id is not None:
         df = df.withColumn("athlete_id", F.lit(athlete_id).cast("long"))
     return df
@@ -48,7 +52,7 @@ def read_activity_index(spark: SparkSession, path: str, missing_ok: bool = True)
     """The activity index CSV: the five used columns plus ``position``, the order of its rows.
 
     A missing file gives an empty index, so that names degrade to null instead of failing the run.
-    Only the used columns are selected, since a header may repeat others.
+    A header may lack a used column, which is then null, or repeat it; then the last one counts.
     """
     columns = schemas.ACTIVITY_INDEX
     if missing_ok and not path_exists(spark, path):
@@ -57,11 +61,17 @@ def read_activity_index(spark: SparkSession, path: str, missing_ok: bool = True)
     df = (
         spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     )
+
+    def used(name: str) -> Column:
+        # The reader numbers repeated names: "Elapsed Time5", "Elapsed Time16".
+        found = [c for c in df.columns if re.fullmatch(re.escape(name) + r"\d*", c)]
+        return (F.col(f"`{found[-1]}`") if found else F.lit(None).cast("string")).alias(name)
+
     position = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return df.select(*columns, position.alias("position"))
+    return df.select(*map(used, columns), position.alias("position"))
 
 
 def index_position_type() -> T.StructType:

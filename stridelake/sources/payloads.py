@@ -41,12 +41,20 @@ def _gunzip(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["xml", "error"])
 
 
-def read_payload_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """``payload`` (path below ``path``) and ``content`` of the files that match ``glob``."""
+def read_payload_files(
+    spark: SparkSession, root: str, glob: str, only: list[str] | None = None
+) -> DataFrame:
+    """``payload`` (path below ``root``) and ``content`` of the files that match ``glob``.
+
+    ``only`` names the payloads to read; without it all files of the folder are read.
+    """
+    if only is not None and not only:
+        return spark.createDataFrame([], "payload string, content binary")
+    paths = root if only is None else [f"{root.rstrip('/')}/{name}" for name in only]
     return (
         spark.read.format("binaryFile").option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True).load(path)
-        .select(relative_path(spark, path).alias("payload"), "content")
+        .option("recursiveFileLookup", True).load(paths)
+        .select(relative_path(spark, root).alias("payload"), "content")
     )
 
 

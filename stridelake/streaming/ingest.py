@@ -21,6 +21,7 @@ from stridelake.sinks import tables
 from stridelake.sources import files, listing, payloads
 
 NOT_DECODED = "payload could not be decoded"
+XML_GLOB = "*.[tT][cC][xX]*"
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -71,11 +72,12 @@ def ingest(
     A bad entry is a row with a reason, never an exception, so it cannot harm the others.
     """
     todo = triaged.where(F.col("status") == listing.PARSE).select("entry", "payload")
-    found = todo.join(raw.files.withColumn("_found", F.lit(True)), "payload", "left")
+    titled = lookup.find_titles(todo, names, X.basename(F.col("payload")), ["entry"], min_rows)
+    found = titled.join(raw.files.withColumn("_found", F.lit(True)), "payload", "left")
     error = F.when(F.col("_found").isNull(), F.lit(NOT_DECODED)).otherwise(F.col("error"))
-    mapped = normalize.to_activity(found.withColumn("error", error))
-    named = lookup.enrich_names(mapped, names, min_rows).drop("name_status")
-    checked = materialize(quality.apply_rules(named, normalize.activity_rules()), "checked")
+    mapped = normalize.to_activity(found.withColumn("error", error)).withColumn(
+        "name", F.col("title"))
+    checked = materialize(quality.apply_rules(mapped, normalize.activity_rules()), "checked")
 
     reason = F.coalesce(
         "error", F.nullif(F.array_join("violations", "; "), F.lit("")))
@@ -127,13 +129,20 @@ def _names(spark: SparkSession, store: Store) -> DataFrame:
 def run_batch(
     spark: SparkSession, store: Store, batch_size: int | None = None, batch_id: str | None = None
 ) -> DataFrame:
-    """One resumable batch over the input folder; returns its summary."""
+    """One resumable batch over the input folder; returns its summary.
+
+    With ``batch_size`` only the files of this batch are opened.
+    """
     entries = listing.list_files(spark, store.inputs).unionByName(
         listing.list_folders(spark, store.inputs))
     triaged = listing.triage_entries(entries)
     todo = materialize(
         pending_entries(triaged, read_ledger(spark, store.ledger), batch_size), "todo")
-    binary = payloads.read_payload_files(spark, store.inputs, "*.[tT][cC][xX]*")
+    only = None
+    if batch_size is not None:
+        xml = todo.where(X.has_suffix(F.col("payload"), X.TCX_SUFFIXES))
+        only = [row.payload for row in xml.select("payload").limit(batch_size).collect()]
+    binary = payloads.read_payload_files(spark, store.inputs, XML_GLOB, only)
     result = ingest(
         todo, _raw(spark, store, binary, todo), _names(spark, store), batch_id or batch_name())
     store_result(result, store)

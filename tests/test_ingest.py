@@ -145,26 +145,28 @@ def test_weight_stream(spark, tmp_path):
 
 INDEX = (
     'Activity Date,Activity Name,Activity Type,Elapsed Time,Filename,Elapsed Time\n'
-    '"Jun 1, 2026, 6:15:00 AM","""A"" Trainer Session 3 ❤",Weight Training,300,,1\n'
-    '"Jun 2, 2026, 6:15:00 PM","Week 1\nDay 2",Weight Training,3603,,1\n'
-    '"May 2, 2026, 6:15:00 PM",Old,Weight Training,,,1\n'
+    '"Jun 1, 2026, 6:15:00 AM","""A"" Trainer Session 3 ❤",Weight Training,9,,300\n'
+    '"Jun 2, 2026, 6:15:00 PM","Week 1\nDay 2",Weight Training,9,,3603\n'
+    '"May 2, 2026, 6:15:00 PM",Old,Weight Training,,,\n'
+    'soon,Odd,Weight Training,,,\n'
     '"Jun 3, 2026, 6:15:00 PM",Morning,Ride,10,activities/1.fit.gz,1\n'
     '"Jun 3, 2026, 6:15:00 PM",Evening,Ride,10,activities/1.fit.gz,1\n')
 
 
 def test_index_csv(spark, tmp_path):
-    # A header that repeats a name is read by its first use; the rows are told apart by order.
     path = tmp_path / "activities.csv"
-    path.write_text(INDEX.replace(",Filename,Elapsed Time", ",Filename,Other"), encoding="utf-8")
+    path.write_text(INDEX, encoding="utf-8")
     index = files.read_activity_index(spark, str(path))
     lifts = normalize.strength_sessions(index, "2026-06-01").orderBy("start")
     assert records(lifts, "name", "minutes", "logged_minutes", "trainer_led") == [
-        ('"A" Trainer Session 3', 60.0, 5.0, True), ("Week 1\nDay 2", 60.0, None, False)]
+        ('"A" Trainer Session 3', 60.0, 5.0, True), ("Week 1\nDay 2", 60.0, None, False)]  # 60.05 lies below the tie
     assert normalize.strength_sessions(index).count() == 3
     names = ingest.lookup.dedupe_lookup(index)
     assert records(names) == [("1.fit.gz", "Evening")]
     missing = files.read_activity_index(spark, str(tmp_path / "none.csv"))
     assert missing.isEmpty() and missing.columns == index.columns
+    path.write_text("Filename,Activity Name\n1.fit,Short\n")
+    assert files.read_activity_index(spark, str(path)).first()["Activity Type"] is None
 
 
 def test_activity_records_are_read_by_schema(spark, tmp_path):
