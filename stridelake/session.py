@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,19 +26,29 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"stridelake-{application}-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir`` when the cluster names one.
+    """This application's folder below ``spark.checkpoint.dir``, which all executors can reach.
 
     Only a local session without that setting falls back to a fresh temporary folder.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="stridelake-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        root = _local_dir(context.applicationId)
+    return f"{root.rstrip('/')}/stridelake-{context.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove everything this application wrote to the shared folder, at the end of its work."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
