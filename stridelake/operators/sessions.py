@@ -25,9 +25,12 @@ KEY = ["athlete_id", "bundle_start"]
 
 
 def _prepare(acts: DataFrame) -> DataFrame:
-    """The columns the session logic needs, under short names."""
+    """The columns the session logic needs, under short names.
+
+    An activity without a start has no place in the order and is left out.
+    """
     elapsed = F.coalesce("elapsed_time_s", F.lit(0.0))
-    return acts.select(
+    return acts.where(F.col("start_time").isNotNull()).select(
         "athlete_id", "id",
         F.col("start_time").alias("start"),
         times.end_time(F.col("start_time"), elapsed).alias("end"),

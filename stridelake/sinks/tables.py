@@ -19,13 +19,6 @@ def track_partitions() -> dict[str, Column]:
     return {"track_year": F.coalesce(F.year("timestamp"), F.lit(0))}
 
 
-def latest_by_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per key, the one with the largest ``order``."""
-    return (
-        df.groupBy(key).agg(F.max_by(F.struct(*df.columns), order).alias("row")).select("row.*")
-    )
-
-
 def replace_by_key(
     df: DataFrame, path: str, key: str, partition_by: dict[str, Column]
 ) -> None:

@@ -81,11 +81,11 @@ def decode_xml(files: DataFrame) -> DataFrame:
 def parse_tcx(files: DataFrame) -> DataFrame:
     """Parse XML lap files to ``payload``, ``sport``, ``creator``, ``start``, ``lap``, ``error``.
 
-    Blanks before the declaration are dropped. Only the first activity and its first lap count.
+    Blanks and a byte order mark before the declaration are dropped. Only the first activity and its first lap count.
     Parsing is the expensive step and several outputs need it, so its result is written once to
     the shared folder; a filter on it can then not repeat the parse.
     """
-    text = F.regexp_replace(F.col("xml"), r"\A\s+", "")
+    text = F.regexp_replace(F.col("xml"), r"\A[\s\x{FEFF}]+", "")
     parsed = decode_xml(files).withColumn("doc", F.from_xml(text, schemas.TCX.simpleString()))
     first = F.try_element_at(F.col("doc.Activities.Activity"), F.lit(1))
     lap = F.try_element_at(F.col("activity.Lap"), F.lit(1))

@@ -89,7 +89,10 @@ def ingest(
     ).unionByName(
         triaged.where(F.col("status") != listing.PARSE)
         .select("entry", "payload", "status", "reason"))
-    good = checked.where(reason.isNull())
+    # Several entries may have the same id, e.g. one ride in two formats. The last by name stays.
+    valid = checked.where(reason.isNull())
+    last = valid.groupBy("id").agg(F.max("entry").alias("entry"))
+    good = valid.join(last, ["id", "entry"], "left_semi")
     records = skew.salted_join(
         raw.records, good.select("payload", F.col("id").alias("activity_id")), ["payload"],
         "inner", spread=["record"], min_rows=min_rows)
@@ -103,8 +106,8 @@ def ingest(
 def store_result(result: IngestResult, store: Store) -> None:
     """Track points first, then activities, then the ledger."""
     tables.replace_by_key(result.tracks, store.tracks, "activity_id", tables.track_partitions())
-    activities = tables.latest_by_key(result.activities, "id", "ingested_at")
-    tables.replace_by_key(activities, store.activities, "id", tables.activity_partitions())
+    tables.replace_by_key(
+        result.activities, store.activities, "id", tables.activity_partitions())
     tables.replace_batch(result.outcomes, store.ledger)
 
 

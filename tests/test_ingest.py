@@ -38,7 +38,7 @@ def parse(spark, **contents):
 
 def test_xml_variants(spark):
     parsed = parse(
-        spark, plain__tcx=xml(), blanks__tcx=xml(blanks="    \n"),
+        spark, plain__tcx=xml(), blanks__tcx=xml(blanks="    \n"), mark__tcx=xml(blanks="\ufeff"),
         zipped__tcx__gz=gzip.compress(xml(blanks="  ").encode()), broken__tcx__gz=b"not gzip",
         UPPER__TCX__GZ=gzip.compress(xml().encode()), cut__tcx=xml()[:-40],
         no_lap__tcx=xml(inner=""), no_start__tcx=xml(LAP.replace(
@@ -46,7 +46,7 @@ def test_xml_variants(spark):
         no_activity__tcx="<TrainingCenterDatabase><Activities/></TrainingCenterDatabase>",
         bad_number__tcx=xml(LAP.replace("600.0", "abc")), empty__tcx="")
     rows = {r.payload: r for r in parsed.collect()}
-    good = {"plain.tcx", "blanks.tcx", "zipped.tcx.gz", "no_start.tcx"}
+    good = {"plain.tcx", "blanks.tcx", "mark.tcx", "zipped.tcx.gz", "no_start.tcx"}
     assert {k for k, r in rows.items() if r.error is None} == good
     assert rows["no_lap.tcx"].error == payloads.NO_LAP
     assert rows["no_activity.tcx"].error == payloads.NO_ACTIVITY
@@ -263,6 +263,16 @@ def test_batch_isolates_bad_entries_and_resumes(spark, store):
     assert ingest.run_batch(spark, store, batch_id="third").isEmpty()
 
 
+def test_two_entries_with_one_id(spark, store, tmp_path):
+    (tmp_path / "in" / "100.tcx").write_text(xml())
+    summary = ingest.run_batch(spark, store, batch_id="both").first()
+    assert summary.succeeded == 3
+    kept = files.read_activity_table(spark, store.activities).where("id = '100'").collect()
+    assert [r.raw_file_reference for r in kept] == ["100.tcx"]
+    points = files.read_tracks(spark, store.tracks).where("activity_id = '100'").collect()
+    assert sorted(p.cadence for p in points) == [0, 88]
+
+
 def test_batch_size_and_missing_index(spark, store, tmp_path):
     bare = ingest.Store(**{**vars(store), "index": str(tmp_path / "none.csv")})
     summary = ingest.run_batch(spark, bare, batch_size=3, batch_id="b1").first()
