@@ -89,7 +89,17 @@ def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def long_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Activities over several years, one per order."""
-    o = table(spark, sf_dir, "orders")
+    return order_activities(table(spark, sf_dir, "orders"))
+
+
+def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders file as a stream."""
+    schema = table(spark, sf_dir, "orders").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(
+        sf_dir)
+
+
+def order_activities(o: DataFrame) -> DataFrame:
     source = _case(F.col("o_orderpriority"), {"1-URGENT": "peloton", "2-HIGH": "hevy"}, "garmin")
     key = F.col("o_orderkey")
     return normalize.conform_activity(o.select(

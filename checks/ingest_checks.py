@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks import adapters as A
-from checks.sql import ACTS, E, RIDE_NAME, STRENGTH, half_even, with_
+from checks.sql import ACTS, E, LONG_ACTS, RIDE_NAME, STRENGTH, half_even, with_
 from pyspark.sql import functions as F
 from stridelake import schemas, session
 from stridelake.operators import lookup, normalize, quality
@@ -161,6 +161,17 @@ def _upserted(s, d):
         "id", "original_source", "name", "start_time", "elapsed_time_s")
 
 
+def _streamed(s, d):
+    """Stream all activities into a table, then once more from the start of the stream."""
+    path = session.fresh_path(s, "streamed")
+    for _ in range(2):
+        stream = A.order_activities(A.order_stream(s, d))
+        ingest.upsert_available_now(
+            stream, path, "id", tables.activity_partitions(), session.fresh_path(s, "progress"))
+    return files.read_activity_table(s, path).select(
+        "athlete_id", "id", "original_source", "start_time", "elapsed_time_s")
+
+
 def _json_activities(s, d):
     path = session.fresh_path(s, "json")
     sections.write_section(A.activities(s, d).drop("athlete_id"), path)
@@ -185,6 +196,11 @@ CHECKS = {
 SELECT id, CASE WHEN calories IS NULL THEN 'peloton' ELSE src END AS original_source,
        CASE WHEN calories IS NULL THEN 'Again' ELSE name END AS name, start_time,
        elapsed_s AS elapsed_time_s
+FROM acts"""),
+    "streamed_activities": (
+        _streamed,
+        with_(LONG_ACTS) + """
+SELECT athlete_id, id, src AS original_source, start_time, elapsed_s AS elapsed_time_s
 FROM acts"""),
     "activities_from_json": (
         _json_activities,

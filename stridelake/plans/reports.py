@@ -83,7 +83,7 @@ def training_report(
     """All sections of the training report."""
     recent = strength.where(F.col("date") >= F.lit(str(start)).cast("date"))
     bundles = class_bundles(acts, start, gap_s)
-    matches = match_strength(bundles, recent, tolerance_s)
+    matches = materialize(match_strength(bundles, recent, tolerance_s), "matches")
     main, orphans = class_sessions(bundles, matches)
     latest = acts.agg(F.max("start_time").alias("latest"))
     return {

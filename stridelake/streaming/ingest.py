@@ -7,11 +7,12 @@ last, so a run that dies half-way is simply repeated.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stridelake import schemas
 from stridelake.functions import text as X
@@ -172,8 +173,27 @@ def run_available_now(spark: SparkSession, store: Store, max_files: int = 10_000
         result = ingest(todo, raw, _names(batch.sparkSession, store), f"stream-{number}")
         store_result(result, store)
 
+    _run_once(stream, process_batch, store.checkpoint)
+
+
+def upsert_available_now(
+    stream: DataFrame, path: str, key: str, partition_by: dict[str, Column], checkpoint: str
+) -> None:
+    """Bring a table up to date with all rows that arrived since the last run, then stop.
+
+    Rows replace stored ones with the same key, so a repeated micro-batch changes nothing.
+    """
+    def process_batch(batch: DataFrame, number: int) -> None:
+        tables.replace_by_key(batch, path, key, partition_by)
+
+    _run_once(stream, process_batch, checkpoint)
+
+
+def _run_once(
+    stream: DataFrame, process_batch: Callable[[DataFrame, int], None], checkpoint: str
+) -> None:
     query = (
         stream.writeStream.foreachBatch(process_batch)
-        .option("checkpointLocation", store.checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
