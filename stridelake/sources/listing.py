@@ -8,6 +8,7 @@ from stridelake.functions import text as X
 
 PARSE, SKIPPED, FAILED, SUCCEEDED = "parse", "skipped", "failed", "succeeded"
 
+# Reasons shown in summaries.
 EMPTY_FOLDER = "directory contains no supported payload (not an activity archive)"
 UNSUPPORTED = "unsupported file type"
 NO_PAYLOAD = "no supported payload found in this entry"
