@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +22,36 @@ RUNTIME_SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators rely on to an existing session."""
+    """Apply the runtime settings the operators rely on to an existing session.
+
+    Also hands this package to the executors, whose Python workers import it by name.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    archive = _archive(spark.sparkContext.applicationId)
+    if archive not in _sent:
+        _sent.add(archive)
+        spark.sparkContext.addPyFile(archive)
     return spark
 
 
+_sent: set[str] = set()
+
+
+@cache
+def _archive(application: str) -> str:
+    """A zip of this package, which Spark serves from the driver like any ``--py-files``."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix=f"{application}-"), "stridelake_package.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    out.write(file, os.path.relpath(file, os.path.dirname(here)))
+    return path
+
+
 @cache
 def _local_dir(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"stridelake-{application}-")
