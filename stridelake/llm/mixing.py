@@ -146,8 +146,8 @@ def sample(
     made = _cells_of(docs, doc_id, text, source, lang, topic)
     rows = docs.select(*[made[c].alias(c) for c in (*MARGINS, "tokens")])
     shares = probabilities(rows, keep, flatness, aims, sweeps)
-    renamed = shares.withColumnsRenamed({m: f"_mix_{m}" for m in MARGINS})
+    renamed = shares.withColumnsRenamed({m: f"_mix_{m}" for m in (*MARGINS, "p")})
     marked = docs.withColumns({f"_mix_{m}": made[m] for m in MARGINS} | {"_mix_draw": made["draw"]})
     kept = marked.join(renamed, [f"_mix_{m}" for m in MARGINS]).where(
-        F.col("_mix_draw") < F.round("p", 9))
+        F.col("_mix_draw") < F.round("_mix_p", 9))
     return kept.select(*[marked[c] for c in docs.columns])
