@@ -44,8 +44,8 @@ from stridelake.session import materialize
 
 WORDS = 5
 PERCENT = 80
-SKETCH = 16  # min-hashes of a set
-KEYS = 4  # of them, those that make buckets
+SKETCH = 16  # min-hashes of a set; eight bits of each are kept
+KEYS = 4  # of them, those that also make buckets
 AGREE = 6  # equal min-hashes for a leader to be tried
 NEAR = 50  # least similarity to a leader, in percent; without effect on the result
 BLOCK = 1024  # sets of one group that a task compares with as many others
@@ -111,7 +111,7 @@ def _linked(overlap: str | Column, n_a: str | Column, n_b: str | Column, percent
 
 
 def describe_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id``, ``n``, ``sig`` and ``sketch`` (null for an empty set) of each document.
+    """``doc_id``, ``n``, ``sig``, ``keys`` and ``sketch`` (null for an empty set) of each document.
 
     Each batch also adds rows with a ``bucket`` and the number of ``hits``, its shingles there.
     """
@@ -121,16 +121,20 @@ def describe_sets(docs: DataFrame, words: int) -> DataFrame:
             (np.concatenate(sets) & np.uint64(BUCKETS - 1)).view(np.int64), minlength=BUCKETS)
         used = np.flatnonzero(counts)
         blank = [None] * len(used)
+        least = [sketch(s) if len(s) else None for s in sets]
         return {
             "doc_id": columns["doc_id"].to_pylist() + blank,
             "n": [len(s) for s in sets] + blank,
             "sig": [digest(s) for s in sets] + blank,
-            "sketch": [sketch(s).view(np.int64) if len(s) else None for s in sets] + blank,
+            "keys": [m if m is None else m[:KEYS].view(np.int64) for m in least] + blank,
+            "sketch": [m if m is None else (m >> np.uint64(20)).astype(np.int8) for m in least]
+            + blank,
             "bucket": [None] * len(sets) + used.tolist(),
             "hits": [None] * len(sets) + counts[used].tolist()}
 
     return map_batches(
-        docs, run, "doc_id long, n long, sig binary, sketch array<long>, bucket int, hits long")
+        docs, run, "doc_id long, n long, sig binary, keys array<long>, sketch array<tinyint>, "
+                   "bucket int, hits long")
 
 
 def bucket_counts(described: DataFrame) -> np.ndarray:
@@ -188,27 +192,29 @@ def lead(
     with the most central one of them all. Linear in the nodes: each is compared with at most
     ``KEYS + 1`` others.
     """
-    marks = nodes.select("node", F.posexplode("sketch").alias("nth", "key"))
-    common = marks.groupBy("nth", "key").agg(F.count("*").alias("rows")).where("rows > 1")
-    score = marks.join(common, ["nth", "key"]).groupBy("node").agg(F.sum("rows").alias("score"))
-    keyed = nodes.join(score, "node").select(
-        "node", "n", "sketch", "score",
-        F.posexplode(F.slice("sketch", 1, KEYS)).alias("nth", "key"))
-    leaders = (
-        keyed.groupBy("nth", "key")
-        .agg(F.max(F.struct("score", -F.col("node"), "node", "n", "sketch")).alias("leader"),
-             F.min("node").alias("first"), F.max("node").alias("last"))
-        .where("first <> last"))
+    bucket = ["nth", "key"]
+    marks = nodes.select("node", F.posexplode("keys").alias(*bucket))
+    shared = marks.groupBy(*bucket).agg(F.count("*").alias("rows")).where("rows > 1")
+    marks = materialize(marks.join(shared, bucket), "bucket-marks")
+    score = marks.groupBy("node").agg(F.sum("rows").alias("score"))
+    central = marks.join(score, "node").groupBy(*bucket).agg(
+        F.max(F.struct("score", -F.col("node"), "node"))["node"].alias("b"))
+    pairs = marks.join(central, bucket).select(F.col("node").alias("a"), "b").where(
+        "a <> b").distinct()
+
+    def side(name: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"),
+                            F.col("sketch").alias(f"sketch_{name}"))
+
     agree = F.aggregate(
-        F.zip_with("sketch", "leader.sketch", lambda x, y: (x == y).cast("int")),
+        F.zip_with("sketch_a", "sketch_b", lambda x, y: (x == y).cast("int")),
         F.lit(0), lambda s, x: s + x)
     close = (
-        (agree >= AGREE) & (F.col("n") * 100 >= F.col("leader.n") * NEAR)
-        & (F.col("leader.n") * 100 >= F.col("n") * NEAR))
+        (agree >= AGREE) & (F.col("n_a") * 100 >= F.col("n_b") * NEAR)
+        & (F.col("n_b") * 100 >= F.col("n_a") * NEAR))
     tried = materialize(
-        keyed.join(leaders, ["nth", "key"]).where("node <> leader.node").where(close)
-        .select(F.col("node").alias("a"), F.col("leader.node").alias("b"),
-                F.col("n").alias("n_a"), F.col("leader.n").alias("n_b")).distinct(), "tried")
+        pairs.join(side("a"), "a").join(side("b"), "b").where(close)
+        .select("a", "b", "n_a", "n_b"), "tried")
     wanted = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
     sets = materialize(
         sets_of(docs, nodes.select("node", "rep", "sig").join(wanted, "node"), words), "tried-sets")
@@ -252,35 +258,49 @@ def _central(first: DataFrame, sets: DataFrame) -> DataFrame:
                 F.col("n").alias("n_a"), F.col("center.n").alias("n_b")))
 
 
+def short(sig: Column) -> Column:
+    """The first 64 bits of a digest."""
+    return F.conv(F.hex(F.substring(sig, 1, 8)), 16, -10).cast("long")
+
+
 def postings(
     docs: DataFrame, members: DataFrame, order: np.ndarray, words: int, percent: int
 ) -> DataFrame:
-    """``token, grp, n, rest`` of the prefix of every node, without lists of one group alone."""
+    """``token, grp, n, rest`` of the prefix of every node, without lists of one set alone.
+
+    A batch posts each set once, so copies cannot make a list long.
+    """
     table = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(columns):
-        tokens, size, sig = [], [], []
+        tokens, size, name, rest = [], [], [], []
+        seen = set()
         for text in columns["text"].to_pylist():
             items = shingles(text, words)
+            short_name = int.from_bytes(digest(items)[:8], "big", signed=True)
+            if not len(items) or short_name in seen:
+                continue
+            seen.add(short_name)
             seldom = np.lexsort((items, table.value[items & np.uint64(BUCKETS - 1)]))
-            take = prefix_length(len(items), percent) if len(items) else 0
-            tokens.append(items[seldom[:take]])
+            own = items[seldom[:prefix_length(len(items), percent)]]
+            tokens.append(own)
             size.append(len(items))
-            sig.append(digest(items))
-        ends = np.cumsum([0, *map(len, tokens)])
-        flat = np.concatenate([*tokens, np.empty(0, np.uint64)]).view(np.int64)
-        return {"rep": columns["doc_id"], "sig": sig, "n": size, "prefix": lists(ends, flat)}
-
-    prefixes = map_batches(
-        docs.select("doc_id", "text"), run, "rep long, sig binary, n long, prefix array<long>")
-    own = prefixes.where("n > 0").join(members.select("rep", "sig", "grp"), ["rep", "sig"])
-    flat = own.select(
-        "grp", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("at", "token")
-    ).select("token", "grp", "n", (F.col("n") - F.col("at")).alias("rest"))
+            name.append(short_name)
+            rest.append(len(items) - np.arange(len(own)))
+        each = [len(t) for t in tokens]
+        return {
+            "token": np.concatenate([*tokens, np.empty(0, np.uint64)]).view(np.int64),
+            "name": np.repeat(np.array(name, np.int64), each),
+            "n": np.repeat(np.array(size, np.int32), each),
+            "rest": np.concatenate([*rest, np.empty(0)]).astype(np.int32)}
+
+    flat = map_batches(docs.select("text"), run, "token long, name long, n int, rest int")
     whole = W.partitionBy("token")
-    return (
-        flat.withColumn("lo", F.min("grp").over(whole)).withColumn("hi", F.max("grp").over(whole))
+    live = (
+        flat.withColumn("lo", F.min("name").over(whole)).withColumn("hi", F.max("name").over(whole))
         .where("lo <> hi").drop("lo", "hi"))
+    names = members.select(short(F.col("sig")).alias("name"), "grp")
+    return live.join(names, "name").select("token", "grp", "n", "rest")
 
 
 def meetings(index: DataFrame, percent: int) -> DataFrame:
@@ -324,7 +344,8 @@ def components(
     known = source.where("doc_id IS NOT NULL")
     nodes = materialize(
         rows.where("doc_id IS NOT NULL AND n > 0").groupBy("sig", "n")
-        .agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
+        .agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"),
+             F.first("sketch").alias("sketch"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")  # written, so they stay
     led, links, tried_sets = lead(nodes, known, words, percent)
     own_leader = led.select(
@@ -426,8 +447,9 @@ def open_links(
         "beyond", F.array_except("items", "of_leader"))
     xs = deal(xs, "left", "right").select(
         *keys, "node", "n", "overlap", "component", "items", "beyond")
-    ys = each.withColumnRenamed("grp", "into").join(sets, "node")
-    ys = deal(ys, "right", "left").select(*keys, "node", "n", "component", "items")
+    asked = each.withColumnRenamed("grp", "into").join(blocks.select("into"), "into", "left_semi")
+    ys = deal(materialize(asked, "open-right").join(sets, "node"), "right", "left").select(
+        *keys, "node", "n", "component", "items")
     ys = ys.select(*[F.col(c).alias(c) for c in ys.columns])  # both sides stem from one table
 
     def compare(one: pa.Table, other: pa.Table) -> pa.Table:
