@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
 from checks import adapters as A
 from checks.sql import (
     ACTS, E, LONG_ACTS, READINGS, STRENGTH, TRACKS, half_even, mean, total, with_)
+from stridelake.functions import numeric as N
 from stridelake.operators import intervals, lookup, rollups
 
 START = "2024-01-08"
@@ -45,7 +48,39 @@ _WEEKLY_SQL = with_(ACTS, STRENGTH, f"""o AS (
   SELECT CAST(unnest(generate_series(DATE '{START}', max(start_time), INTERVAL 7 DAY)) AS DATE)
          AS week FROM acts)""")
 
+def _extreme_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of tiny, huge, infinite and undefined values, one kind per line number."""
+    kind, odd = F.col("l_linenumber"), F.col("l_orderkey")
+    value = (
+        F.when(kind == 1, F.col("l_quantity") * F.lit(1e-7))
+        .when(kind == 2, F.col("l_quantity") * F.lit(1e18))
+        .when((kind == 3) & (odd % 97 == 0), F.lit(float("inf")))
+        .when((kind == 4) & (odd % 89 == 0), F.lit(float("nan")))
+        .otherwise(F.col("l_tax")))
+    total = F.col("total")
+    finite = ~F.isnan(total) & (F.abs(total) < F.lit(float("inf")))
+    scaled = F.when(kind == 2, total / F.lit(1e18)).otherwise(total)
+    return (
+        spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy(kind.cast("long").alias("kind"))
+        .agg(N.exact_sum(value).alias("total"), F.max(kind).alias("l_linenumber"))
+        .select("kind", F.when(finite, F.round(scaled, 8)).alias("total"),
+                F.isnan(total).alias("undefined")))
+
+
+_EXTREME_SUMS = """
+SELECT kind, CASE WHEN isfinite(total)
+         THEN round(CASE WHEN kind = 2 THEN total / 1e18::DOUBLE ELSE total END, 8) END AS total,
+       isnan(total) AS undefined
+FROM (SELECT CAST(l_linenumber AS BIGINT) AS kind, sum(
+        CASE WHEN l_linenumber = 1 THEN l_quantity * 1e-7::DOUBLE
+             WHEN l_linenumber = 2 THEN l_quantity * 1e18::DOUBLE
+             WHEN l_linenumber = 3 AND l_orderkey % 97 = 0 THEN 'inf'::DOUBLE
+             WHEN l_linenumber = 4 AND l_orderkey % 89 = 0 THEN 'nan'::DOUBLE
+             ELSE l_tax END) AS total
+      FROM lineitem GROUP BY l_linenumber)"""
+
 CHECKS = {
+    "small_and_extreme_sums": (_extreme_sums, _EXTREME_SUMS),
     "header_stats": (
         lambda s, d: rollups.header_stats(A.activities(s, d)), _stats_sql(ACTS)),
     "header_stats_long_span": (

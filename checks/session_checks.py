@@ -6,7 +6,7 @@ The supplied events are spread thinly over a month, so the gap and the tolerance
 from __future__ import annotations
 
 from checks import adapters as A
-from checks.sql import ACTS, LIFE_EVENTS, STRENGTH, ascii_only, half_even, mean, with_
+from checks.sql import ACTS, LIFE_EVENTS, STRENGTH, ascii_only, half_even, mean, total, with_
 from pyspark.sql import functions as F
 from stridelake.functions import text as X
 from stridelake.operators import sessions
@@ -70,7 +70,7 @@ _RECENT = with_(ACTS, STRENGTH, _rows(f"src = 'peloton' AND start_time >= DATE '
 bundles AS (
   SELECT athlete_id, bundle_start, max(end_ts) AS bundle_end, any_value(is_orphan) AS is_orphan,
          sum(elapsed_s) AS elapsed_sum,
-         CAST(sum(CAST(kj AS DECIMAL(24,6))) FILTER (WHERE kj <> 0) AS DOUBLE) AS kj_sum,
+         {total('kj', 'kj <> 0')} AS kj_sum,
          {half_even(mean('hr', "role = 'warmup'"), 1)} AS warmup_hr,
          {half_even(mean('hr', "role = 'cooldown'"), 1)} AS cooldown_hr
   FROM role GROUP BY athlete_id, bundle_start),

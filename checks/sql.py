@@ -8,9 +8,10 @@ def with_(*ctes: str) -> str:
 
 
 def total(value: str, condition: str = "") -> str:
-    """Exact sum of a double expression."""
+    """Exact sum of a double expression, in binary digits down to 2**-60."""
     where = f" FILTER (WHERE {condition})" if condition else ""
-    return f"CAST(sum(CAST({value} AS DECIMAL(24,6))){where} AS DOUBLE)"
+    scale = "1152921504606846976.0::DOUBLE"
+    return f"(CAST(sum(CAST(CAST({value} AS DOUBLE) * {scale} AS HUGEINT)){where} AS DOUBLE) / {scale})"
 
 
 def mean(value: str, condition: str = "") -> str:

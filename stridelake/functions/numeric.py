@@ -10,7 +10,10 @@ KM_TO_MI = 0.621371
 SEMICIRCLES_PER_HALF_TURN = 2.0 ** 31
 
 _SPLIT = 134217729.0  # 2**27 + 1, splits a double into two halves
-_MICRO = 1_000_000
+_BILLION = 1e9
+_STEP = 2.0 ** 30
+_LARGE = 1e18
+LIMBS = ("high", "low", "bits", "fine")
 
 
 def round_half_up(c: Column, digits: int) -> Column:
@@ -49,27 +52,53 @@ def round_to_int(c: Column) -> Column:
     return F.rint(c.cast("double")).cast("int")
 
 
-def exact_parts(c: Column) -> tuple[Column, Column]:
-    """A double as whole units and millionths, both long; sums of these are exact."""
+def exact_parts(c: Column) -> dict[str, Column]:
+    """A double in parts whose sums do not depend on order.
+
+    ``high``, ``low`` and ``bits`` are longs: billions, units, and 30 binary digits behind the
+    point. ``fine`` is the double that is left, below 2**-30; its rounding is far below that of the
+    total. A value of 1e18 or more, infinite or NaN is all ``fine``.
+    """
     c = c.cast("double")
-    whole = F.floor(c)
-    return whole, F.rint((c - whole) * F.lit(float(_MICRO))).cast("long")
+    plain = F.abs(c) < F.lit(_LARGE)  # false for NaN
+    high = F.floor(c / F.lit(_BILLION))
+    below = c - high * F.lit(_BILLION)  # exact: the product has trailing zero bits
+    low = F.floor(below)
+    scaled = (below - low) * F.lit(_STEP)
+    bits = F.floor(scaled)
+    return {
+        "high": F.when(plain, high),
+        "low": F.when(plain, low),
+        "bits": F.when(plain, bits),
+        "fine": F.when(plain, (scaled - bits) / F.lit(_STEP)).otherwise(c),
+    }
+
+
+def sum_parts(parts: dict[str, Column]) -> dict[str, Column]:
+    return {name: F.sum(part) for name, part in parts.items()}
 
 
-def exact_total(whole: Column, micros: Column) -> Column:
+def exact_total(sums: dict[str, Column]) -> Column:
     """The double that summed :func:`exact_parts` stand for."""
-    micro = F.lit(0.000001).cast("decimal(7,6)")
-    return (whole.cast("decimal(20,0)") + micros.cast("decimal(20,0)") * micro).cast("double")
+    zero = F.lit(0).cast("long")
+    units = (
+        F.coalesce(sums["high"], zero).cast("decimal(20,0)") * F.lit(_BILLION).cast("decimal(10,0)")
+        + F.coalesce(sums["low"], zero).cast("decimal(20,0)")).cast("double")
+    fraction = F.coalesce(sums["bits"], zero).cast("double") / F.lit(_STEP)
+    # What rounding takes away from the sum of the large parts goes to the small one.
+    total = units + fraction
+    back = total - units
+    lost = (units - (total - back)) + (fraction - back)
+    return total + (lost + sums["fine"])
 
 
 def exact_sum(c: Column) -> Column:
-    """Sum of doubles to six decimals, the same whatever the order in which tasks add.
+    """Sum of doubles, the same whatever the order in which tasks add.
 
-    Two longs are added, which stay in generated code and cannot overflow before 9e18 whole units
-    or 9e12 rows; they are joined as decimals once per group.
+    Longs are added, which stay in generated code and cannot overflow before 9e9 rows of the
+    largest values; they are joined once per group. Only what lies below 2**-30 is added as doubles. Infinite, NaN and huge values make the sum what a plain sum would be.
     """
-    whole, micros = exact_parts(c)
-    return exact_total(F.sum(whole), F.sum(micros))
+    return exact_total(sum_parts(exact_parts(c)))
 
 
 def exact_avg(c: Column) -> Column:

@@ -44,7 +44,8 @@ def parse_iso_utc(text: Column) -> Column:
 
 
 def nanos_to_ts(nanos: Column) -> Column:
-    return F.timestamp_micros(F.call_function("div", nanos.cast("long"), F.lit(1000)))
+    """Text that is no whole number of nanoseconds gives null."""
+    return F.timestamp_micros(F.call_function("div", nanos.try_cast("long"), F.lit(1000)))
 
 
 def end_time(start: Column, seconds: Column) -> Column:

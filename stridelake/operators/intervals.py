@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stridelake.functions import numeric as N, times
 from stridelake.operators import skew
 
+LEVELS = 22  # 2 ** 22 days are more than the calendar has
+
 
 def interval_join(
     facts: DataFrame,
@@ -21,20 +23,45 @@ def interval_join(
 ) -> DataFrame:
     """Facts inside date intervals: ``start <= ts <= end``, both at midnight and inclusive.
 
-    A missing ``end`` means ``start`` plus ``default_days``. Intervals are spread over the days
-    they touch and met on key and day, so a fact is compared with the intervals of its own day
-    only, and the engine decides by measured size whether to broadcast them. An interval whose
-    end lies before its start holds nothing.
+    A missing ``end`` means ``start`` plus ``default_days``. An interval is covered by aligned
+    blocks of 1, 2, 4, 8 ... days, two of a size at most, so even one that ends in the year 9999
+    makes fewer than fifty rows. A fact names its block of every size that occurs, and meets an
+    interval in exactly one of them. An interval whose end lies before its start holds nothing.
     """
     last = F.coalesce(F.col(end), F.date_add(F.col(start), default_days))
-    days = (
+    covered = (
         intervals.withColumn("_last", last).where(F.col("_last") >= F.col(start))
-        .withColumn("_day", F.explode(F.sequence(F.col(start), F.col("_last"))))
-    )
-    dated = facts.withColumn("_day", F.to_date(ts))
-    met = skew.salted_join(dated, days, [*by, "_day"], "inner", spread, min_rows)
+        .withColumn("_block", F.explode(_blocks(F.unix_date(F.col(start)),
+                                                F.unix_date(F.col("_last")))))
+        .select("*", F.col("_block.level").alias("_level"), F.col("_block.nth").alias("_nth"))
+        .drop("_block"))
+    levels = [row["_level"] for row in covered.select("_level").distinct().collect()]  # few sizes
+    day = F.unix_date(F.to_date(F.col(ts)))
+    named = F.array(*[
+        F.struct(F.lit(k).alias("level"), F.shiftright(day, k).alias("nth"))
+        for k in sorted(levels) or [0]])
+    dated = (
+        facts.withColumn("_block", F.explode(named))
+        .select("*", F.col("_block.level").alias("_level"), F.col("_block.nth").alias("_nth"))
+        .drop("_block"))
+    met = skew.salted_join(dated, covered, [*by, "_level", "_nth"], "inner", spread, min_rows)
     inside = F.col(ts) <= F.col("_last").cast("timestamp")
-    return met.where(inside).drop("_day", "_last")
+    return met.where(inside).drop("_level", "_nth", "_last")
+
+
+def _blocks(first: Column, last: Column) -> Column:
+    """Disjoint aligned blocks (``level``, ``nth``; ``2 ** level`` days) from ``first`` to ``last``,
+    both day numbers."""
+    def at(level: Column) -> Column:
+        low = -F.call_function("shiftright", -first, level)  # rounded up
+        high = F.call_function("shiftright", last + 1, level)
+        left = F.when((low < high) & (F.pmod(low, F.lit(2)) == 1), low)
+        right = F.when((low < high) & (F.pmod(high, F.lit(2)) == 1), high - 1)
+        return F.transform(
+            F.array_compact(F.array(left, right)),
+            lambda nth: F.struct(level.alias("level"), nth.alias("nth")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), at))
 
 
 def bucket_average(

@@ -118,7 +118,8 @@ def to_track_points(records: DataFrame) -> DataFrame:
 def normalize_weight(
     raw: DataFrame, origins: dict[str, str] | None = None, strict: bool = False
 ) -> DataFrame:
-    """Weight readings from datastream files, with ``violations`` for unknown origins.
+    """Weight readings from datastream files, with ``violations`` for unknown origins and
+    malformed start times.
 
     With ``strict`` an unknown origin fails the job. Pounds derive from the unrounded kilograms.
     """
@@ -135,8 +136,11 @@ def normalize_weight(
         N.round_half_even(N.kg_to_lb(kg), 1).alias("weight_lb"),
         F.current_timestamp().alias("ingested_at"),
     )
-    known = [("unrecognized origin", F.col("original_source").isNotNull())]
-    return quality.apply_rules(readings, known)
+    rules = [
+        ("unrecognized origin", F.col("original_source").isNotNull()),
+        ("start time is no number", F.col("id").isNull() | F.col("recorded_at").isNotNull()),
+    ]
+    return quality.apply_rules(readings, rules)
 
 
 def strength_sessions(index: DataFrame, since: date | str | None = None) -> DataFrame:

@@ -85,18 +85,18 @@ def moving_averages_by_year(tracks: DataFrame, acts: DataFrame) -> DataFrame:
     """
     cadence, speed = F.col("cadence"), F.col("speed_mps")
     pedalling, moving = cadence > 0, speed > 0
-    whole, micros = N.exact_parts(_when(moving, speed))
+    parts = N.sum_parts(N.exact_parts(_when(moving, speed)))
     partial = (
         tracks.groupBy("activity_id", F.year("timestamp").alias("yr"))
         .agg(
             F.sum(_when(pedalling, cadence)).alias("cadence"),
             F.count_if(pedalling).alias("cadence_n"),
-            F.sum(whole).alias("whole"), F.sum(micros).alias("micros"),
+            *[part.alias(name) for name, part in parts.items()],
             F.count_if(moving).alias("speed_n"),
         )
     )
     outdoor = acts.where(_outdoor()).select(F.col("id").alias("activity_id"))
-    speed_sum = N.exact_total(F.sum("whole"), F.sum("micros"))
+    speed_sum = N.exact_total({name: F.sum(name) for name in parts})
     return (
         partial.join(outdoor, "activity_id").groupBy("yr")
         .agg(

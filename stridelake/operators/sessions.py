@@ -202,8 +202,8 @@ def _hot_records(rows: DataFrame, gap_s: float, min_rows: int, chunk_s: int) ->
     parts = {"elapsed": F.col("elapsed_s"), "kj": N.zero_to_null(F.col("kj")), "hr": hr}
     sums = []
     for name, value in parts.items():
-        whole, micros = N.exact_parts(value)
-        sums += [F.sum(whole).alias(f"{name}_whole"), F.sum(micros).alias(f"{name}_micros")]
+        sums += [part.alias(f"{name}_{limb}")
+                 for limb, part in N.sum_parts(N.exact_parts(value)).items()]
     instants = rows.groupBy("athlete_id", "start").agg(
         F.max_by("end", "id").alias("end"),
         F.max("end").alias("latest_end"),
@@ -215,10 +215,10 @@ def _hot_records(rows: DataFrame, gap_s: float, min_rows: int, chunk_s: int) ->
     placed = materialize(_place_instants(instants, gap_s, chunk_s), "placed")
 
     def total(name: str, side: Column | None = None) -> Column:
-        whole, micros = F.col(f"{name}_whole"), F.col(f"{name}_micros")
+        limbs = {limb: F.col(f"{name}_{limb}") for limb in N.LIMBS}
         if side is not None:
-            whole, micros = F.when(side, whole), F.when(side, micros)
-        return N.exact_total(F.sum(whole), F.sum(micros))
+            limbs = {limb: F.when(side, part) for limb, part in limbs.items()}
+        return N.exact_total(N.sum_parts(limbs))
 
     bundles = placed.groupBy(*KEY).agg(
         F.min("main").alias("main"),
@@ -228,7 +228,7 @@ def _hot_records(rows: DataFrame, gap_s: float, min_rows: int, chunk_s: int) ->
         total("kj").alias("kj_sum"),
     )
     beside = skew.salted_join(
-        placed.select(*KEY, "start", "hr_whole", "hr_micros", "hr_n"),
+        placed.select(*KEY, "start", "hr_n", *[f"hr_{limb}" for limb in N.LIMBS]),
         bundles.select(*KEY, "main"),
         KEY, "inner", spread=["start"], min_rows=min_rows)
 

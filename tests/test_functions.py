@@ -117,3 +117,33 @@ def test_times(spark):
     assert got == ["2026-07-05 06:15:00"] * 3
     got = column(spark, ["1700000000123456789"], lambda c: times.nanos_to_ts(c).cast("string"))
     assert got == ["2023-11-14 22:13:20.123456"]
+
+
+@pytest.mark.parametrize(("numbers", "expected"), [
+    ([1e-7] * 1000, 1e-4), ([1e19, 1.0], 1e19), ([5e18, 5e18], 1e19), ([9e17] * 30, 2.7e19),
+    ([float("inf"), 1.0], float("inf")), ([-1.5, -2.25, None], -3.75), ([123456789012345.675], 123456789012345.675),
+])
+def test_exact_sum_of_tiny_and_huge_values(spark, numbers, expected):
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    assert df.agg(N.exact_sum(F.col("x"))).first()[0] == pytest.approx(expected, rel=1e-15)
+
+
+@pytest.mark.parametrize("numbers", [[float("nan"), 1.0], [float("inf"), float("-inf")]])
+def test_exact_sum_without_a_value(spark, numbers):
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    assert str(df.agg(N.exact_sum(F.col("x"))).first()[0]) == "nan"
+
+
+def test_malformed_nanoseconds_give_null(spark):
+    assert column(spark, ["abc"], lambda c: times.nanos_to_ts(c).cast("string")) == [None]
+
+
+def test_an_interval_without_an_end_in_sight_makes_few_blocks(spark):
+    from stridelake.operators import intervals
+
+    df = spark.sql("SELECT 19000 AS a, 2932896 AS b UNION ALL SELECT -7, 5 UNION ALL SELECT 3, 3")
+    for row in df.select("a", "b", intervals._blocks(F.col("a"), F.col("b")).alias("x")).collect():
+        assert len(row.x) < 50
+        days = sorted((c.nth << c.level, (c.nth + 1) << c.level) for c in row.x)
+        assert days[0][0] == row.a and days[-1][1] == row.b + 1
+        assert all(p[1] == q[0] for p, q in zip(days, days[1:]))
