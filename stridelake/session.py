@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from functools import cache
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Payload files go to Python whole; batches are bounded by bytes, not by rows.
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
+    # A finished query's shuffle files are of no more use; else they stay until the driver's
+    # garbage collector happens to run. Where a frame runs again, its shuffles are written again.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
@@ -71,10 +75,14 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/stridelake-{context.applicationId}"
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove everything this application wrote to the shared folder, at the end of its work."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, shared_dir(spark))
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -89,4 +97,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _stored[stored] = path
+    return stored
+
+
+_stored: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the files of materialised frames.
+
+    Only for frames that nothing reads any more but what has been written itself.
+    """
+    for df in frames:
+        _delete(df.sparkSession, _stored.pop(df))
