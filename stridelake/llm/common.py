@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from stridelake.session import configure, materialize
+from stridelake.session import configure, discard, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 BITMAP_BITS = 1 << 23
@@ -114,9 +114,11 @@ def connected(edges: DataFrame) -> DataFrame:
         large = normal(large)
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a")
+        before = current
         current = materialize(
             normal(small.select("b", "m").withColumnsRenamed({"b": "a", "m": "b"})
                    .unionByName(down.select("a", F.col("m").alias("b")))), "edges")
+        discard(before)
         now = mark(current)
         if now == seen:
             break

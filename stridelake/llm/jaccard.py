@@ -40,7 +40,7 @@ from stridelake.llm.common import (
     bitmap_bit, connected, id_bitmap, in_bitmap, lists, map_batches,
 )
 from stridelake.llm.words import MIX, random_numbers, word_hashes
-from stridelake.session import materialize
+from stridelake.session import discard, materialize
 
 WORDS = 5
 PERCENT = 80
@@ -215,6 +215,7 @@ def lead(
     tried = materialize(
         pairs.join(side("a"), "a").join(side("b"), "b").where(close)
         .select("a", "b", "n_a", "n_b"), "tried")
+    discard(marks)
     wanted = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
     sets = materialize(
         sets_of(docs, nodes.select("node", "rep", "sig").join(wanted, "node"), words), "tried-sets")
@@ -223,6 +224,7 @@ def lead(
             "linked", _linked("overlap", "n_a", "n_b", percent))
 
     first = materialize(compared(tried), "first-leaders")
+    discard(tried)
     again = materialize(compared(_central(first, sets)), "second-leaders")
     best = (
         first.withColumn("second", F.lit(False))
@@ -252,10 +254,12 @@ def _central(first: DataFrame, sets: DataFrame) -> DataFrame:
     center = scored.groupBy("component").agg(
         F.max(F.struct("score", -F.col("node"), "node", "n")).alias("center"))
     sizes = sets.select("node", F.size("items").cast("long").alias("n"))
-    return (
+    pairs = materialize(
         cluster.join(center, "component").where("node <> center.node").join(sizes, "node")
         .select(F.col("node").alias("a"), F.col("center.node").alias("b"),
-                F.col("n").alias("n_a"), F.col("center.n").alias("n_b")))
+                F.col("n").alias("n_a"), F.col("center.n").alias("n_b")), "central-pairs")
+    discard(cluster, tokens)
+    return pairs
 
 
 def short(sig: Column) -> Column:
@@ -358,6 +362,7 @@ def components(
     index = materialize(
         postings(known, members, bucket_counts(described), words, percent), "postings")
     met = materialize(meetings(index, percent), "meetings")
+    discard(index)
 
     wanted = met.select(F.col("a").alias("node")).union(met.select("b")).distinct()
     missing = wanted.join(tried_sets, "node", "left_anti")
