@@ -13,7 +13,7 @@ has no cap and draws no sample.
    prefixes. Postings are (shingle, group, set size, what is left from the position on). A list with
    one group alone is skipped. In the others, entries fall into blocks by size; a block meets only
    the blocks of its own and the next size, and entries whose positions leave too little for the
-   needed overlap are skipped. Members of one group share an entry, so a list that holds thousands
+   needed overlap are skipped, as are pairs with too few entries in common. Members of one group share an entry, so a list that holds thousands
    of near copies is as short as the number of its groups.
 4. Answers. For each pair of groups that meet, the leaders' overlap is computed once. Answers for
    members x and y follow: their overlap is at most x's overlap with its leader plus the shingles
@@ -308,7 +308,11 @@ def postings(
 
 
 def meetings(index: DataFrame, percent: int) -> DataFrame:
-    """Pairs of groups ``a < b`` whose index entries may belong to linked sets."""
+    """Pairs of groups ``a < b`` whose index entries may belong to linked sets.
+
+    At least one common entry must leave enough behind its position, and the number of common
+    entries must make up for what two sets of these sizes lack beyond their prefixes.
+    """
     entries = index.groupBy("token", "grp").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("rest"))
 
@@ -322,12 +326,20 @@ def meetings(index: DataFrame, percent: int) -> DataFrame:
         "token", F.col("grp").alias("b"), F.col("low").alias("low_b"),
         F.col("high").alias("high_b"), F.col("rest").alias("rest_b"),
         F.explode(F.sequence(block("low") - 1, block("high") + 1)).alias("block"))
-    fits = (
+    sizes_fit = (
         (F.col("a") < F.col("b"))
         & (F.col("high") * 100 >= F.col("low_b") * percent)
-        & (F.col("high_b") * 100 >= F.col("low") * percent)
-        & _linked(F.least("rest", "rest_b").cast("long"), "low", "low_b", percent))
-    return left.join(right, ["token", "block"]).where(fits).select("a", "b").distinct()
+        & (F.col("high_b") * 100 >= F.col("low") * percent))
+    rest_fits = _linked(F.least("rest", "rest_b").cast("long"), "low", "low_b", percent)
+    least, most = F.least("low", "low_b").cast("long"), F.greatest("high", "high_b").cast("long")
+    # Beyond its prefix a set of n has less than n * percent / 100 shingles, so the overlap stays
+    # below that of the larger set plus the entries in common. ``gap`` is what those must make up.
+    gap = F.lit(percent) * (F.lit(100) * least - F.lit(percent) * most)
+    return (
+        left.join(right, ["token", "block"]).where(sizes_fit)
+        .select("a", "b", F.when(rest_fits, gap).alias("gap"))
+        .groupBy("a", "b").agg(F.count("*").alias("common"), F.min("gap").alias("gap"))
+        .where(F.lit(100 * (100 + percent)) * F.col("common") > F.col("gap")).select("a", "b"))
 
 
 def components(
