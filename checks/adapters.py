@@ -1,6 +1,8 @@
 """Shape the supplied tables like the engine's inputs.
 
-Each adapter reads a whole table. ``checks.oracles`` repeats the same derivations in SQL.
+Each adapter reads a whole table, but :func:`readings` and :func:`weight_stream` take only its
+``view`` events and :func:`life_events` only its ``error`` events, as their SQL does. ``checks.sql``
+repeats the same derivations in SQL.
 """
 
 from __future__ import annotations

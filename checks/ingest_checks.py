@@ -29,8 +29,11 @@ def _device_raw(s, d):
 
 
 def _device_activities(s, d):
-    files = _device_raw(s, d).files.where(F.col("session.start_time").isNotNull())
-    return _flat(normalize.to_activity(files.withColumn("entry", F.col("payload"))))
+    """All files go through the operators, whose rules turn away those without a start time."""
+    files = _device_raw(s, d).files
+    mapped = normalize.to_activity(files.withColumn("entry", F.col("payload")))
+    good, _ = quality.split_ok(quality.apply_rules(mapped, normalize.activity_rules()))
+    return _flat(good)
 
 
 def _device_points(s, d):

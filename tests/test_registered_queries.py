@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__
-from checks import compare, registry
+from checks import compare, ingest_checks, registry
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -22,3 +22,12 @@ def test_entry_and_registry_agree(spark):
 def test_query_matches_sql(spark, con, name):
     query, sql = registry.ALL[name]
     assert compare.difference(query(spark, SF_DIR), con, sql) == ""
+
+
+def test_files_without_a_start_reach_the_device_operator(spark, monkeypatch):
+    seen = []
+    to_activity = ingest_checks.normalize.to_activity
+    monkeypatch.setattr(
+        ingest_checks.normalize, "to_activity", lambda raw: seen.append(raw) or to_activity(raw))
+    ingest_checks._device_activities(spark, SF_DIR)
+    assert seen[0].where("session.start_time IS NULL").count() > 0
