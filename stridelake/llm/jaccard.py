@@ -111,10 +111,13 @@ def _linked(overlap: str | Column, n_a: str | Column, n_b: str | Column, percent
 
 
 def describe_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id``, ``n``, ``sig``, ``keys`` and ``sketch`` (null for an empty set) of each document.
+    """``doc_id``, ``n``, ``sig``, ``keys`` and ``sketch`` (null for an empty set) of each document,
+    and its ``mark`` if ``docs`` has one.
 
     Each batch also adds rows with a ``bucket`` and the number of ``hits``, its shingles there.
     """
+    marked = "mark" in docs.columns
+
     def run(columns):
         sets = [shingles(t, words) for t in columns["text"].to_pylist()]
         counts = np.bincount(
@@ -124,6 +127,7 @@ def describe_sets(docs: DataFrame, words: int) -> DataFrame:
         least = [sketch(s) if len(s) else None for s in sets]
         return {
             "doc_id": columns["doc_id"].to_pylist() + blank,
+            "mark": columns["mark"].to_pylist() + blank if marked else None,
             "n": [len(s) for s in sets] + blank,
             "sig": [digest(s) for s in sets] + blank,
             "keys": [m if m is None else m[:KEYS].view(np.int64) for m in least] + blank,
@@ -134,7 +138,7 @@ def describe_sets(docs: DataFrame, words: int) -> DataFrame:
 
     return map_batches(
         docs, run, "doc_id long, n long, sig binary, keys array<long>, sketch array<tinyint>, "
-                   "bucket int, hits long")
+                   "bucket int, hits long" + (", mark binary" if marked else ""))
 
 
 def bucket_counts(described: DataFrame) -> np.ndarray:
@@ -355,6 +359,22 @@ def components(
     """
     source = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    rows, named = _classes(source, words, percent, join_repeated=True)
+    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    # Unlinked nodes, the bulk, need no second look-up.
+    of_class = named.join(least, "component").select("sig", "n", "component_id")
+    own = rows.select("doc_id", "n", "sig")
+    return own.join(of_class, ["sig", "n"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+        .alias("component_id"))
+
+
+def _classes(
+    source: DataFrame, words: int, percent: int, join_repeated: bool
+) -> tuple[DataFrame, DataFrame]:
+    """The described rows of ``source``, and ``sig, n, rep, component`` of every class of rows with
+    an id and one set. With ``join_repeated`` texts that repeat an id belong together."""
     described = materialize(describe_sets(source, words), "sets")
     rows = described.where("bucket IS NULL")
     known = source.where("doc_id IS NOT NULL")
@@ -388,24 +408,17 @@ def components(
         .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b"), "answers")
     same_rep = plain.groupBy("rep").agg(F.min("node").alias("b"), F.max("node").alias("last"))
     repeated = plain.join(same_rep.where("b <> last"), "rep").select(F.col("node").alias("a"), "b")
-    edges = links.union(repeated).union(
+    edges = links.union(
         answered.where(_linked("overlap", "n_a", "n_b", percent)).select("a", "b"))
+    if join_repeated:
+        edges = edges.union(repeated)
     found = materialize(connected(edges), "components")
     more = materialize(open_links(members, answered, found, sets, percent), "open-links")
     if not more.isEmpty():
         found = connected(edges.union(more))
 
-    named = (
-        plain.join(found, "node", "left")
-        .select("sig", "n", "rep", F.coalesce("component", "node").alias("component")))
-    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    # Unlinked nodes, the bulk, need no second look-up.
-    of_class = named.join(least, "component").select("sig", "n", "component_id")
-    own = rows.select("doc_id", "n", "sig")
-    return own.join(of_class, ["sig", "n"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-        .alias("component_id"))
+    return rows, plain.join(found, "node", "left").select(
+        "sig", "n", "rep", F.coalesce("component", "node").alias("component"))
 
 
 def open_links(
@@ -512,19 +525,54 @@ def _links(one: pa.Table, other: pa.Table, percent: int) -> list[tuple[int, int]
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each component: the one whose id names it.
+    """``docs`` with one row of each component of linked texts: one with its smallest id.
 
-    Of rows that repeat an id the first by text stays. Rows without an id, and without a shingle,
-    stay. Columns and their order are kept.
+    Rows are told apart by id and text, so an id that comes with different texts stays once for each
+    component that it leads. Of several such texts in one component the one with the least digest
+    stays, and of equal rows one. Rows without an id, and without a shingle, stay. Columns and their
+    order are kept.
     """
-    found = components(docs, doc_id, text, **options)
-    leave = found.where("doc_id <> component_id").select("doc_id").distinct()
-    by_id = W.partitionBy("_jaccard_id").orderBy(F.col(text))
-    kept = (
-        docs.withColumn("_jaccard_id", F.col(doc_id).cast("long"))
-        .join(leave.withColumnRenamed("doc_id", "_jaccard_id"), "_jaccard_id", "left_anti"))
-    numbered = kept.where("_jaccard_id IS NOT NULL").withColumn(
-        "_jaccard_nth", F.row_number().over(by_id))
-    return (
-        numbered.where("_jaccard_nth = 1").select(*docs.columns)
-        .unionByName(kept.where("_jaccard_id IS NULL").select(*docs.columns)))
+    mark = F.unhex(F.sha2(F.col(text).cast("binary"), 256))
+    marks = placed_texts(docs, doc_id, text, mark, **options)
+    best = marks.groupBy("component").agg(
+        F.min(F.struct("doc_id", "mark")).alias("best"), F.count("*").alias("texts"))
+    leave = materialize(
+        marks.join(best.where("texts > 1"), "component")
+        .where("doc_id <> best.doc_id OR mark <> best.mark").select("doc_id", "mark"), "leave")
+    again = marks.where("rows > 1").select("doc_id", "mark").join(
+        leave, ["doc_id", "mark"], "left_anti")
+
+    def without(df: DataFrame, texts: DataFrame) -> DataFrame:
+        return df.join(_named(texts), ["_jaccard_id", "_jaccard_mark"], "left_anti")
+
+    keyed = docs.withColumns({"_jaccard_id": F.col(doc_id).cast("long"), "_jaccard_mark": mark})
+    # Equal rows meet after each task has reduced its own to one.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = (
+        keyed.join(_named(again), ["_jaccard_id", "_jaccard_mark"], "left_semi")
+        .groupBy("_jaccard_id", "_jaccard_mark")
+        .agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("row")).select("row.*"))
+    single = without(keyed, leave.unionByName(again))
+    return single.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(one)
+
+
+def _named(texts: DataFrame) -> DataFrame:
+    return texts.select(F.col("doc_id").alias("_jaccard_id"), F.col("mark").alias("_jaccard_mark"))
+
+
+def placed_texts(
+    docs: DataFrame, doc_id: str, text: str, mark: Column, words: int = WORDS,
+    percent: int = PERCENT,
+) -> DataFrame:
+    """``doc_id, mark, rows, component`` of every distinct id and text that has a shingle.
+
+    Components are made by links alone: texts are not held together by an id.
+    """
+    source = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"),
+        mark.alias("mark"))
+    rows, named = _classes(source, words, percent, join_repeated=False)
+    texts = rows.where("doc_id IS NOT NULL AND n > 0").groupBy("doc_id", "mark", "sig", "n").agg(
+        F.count("*").alias("rows"))
+    return materialize(
+        texts.join(named, ["sig", "n"]).select("doc_id", "mark", "rows", "component"), "placed")

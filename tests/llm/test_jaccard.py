@@ -96,3 +96,25 @@ def test_keep_one(spark):
     ids = [r.doc_id for r in kept.collect()]
     assert 100 in ids and 101 not in ids and 104 not in ids
     assert ids.count(3) == 1 and ids.count(None) == 2 and {105, 106, 107} <= set(ids)
+
+
+def test_keep_one_goes_by_text_not_by_id(spark):
+    def words(seed):
+        rng = random.Random(seed)
+        return " ".join(f"v{rng.randint(0, 10_000)}" for _ in range(40))
+
+    many = [(50, words(i)) for i in range(30)]  # one id, thirty texts that resemble nothing
+    rows = many + [
+        (1, words(0)),                           # leads the first of them
+        (60, words(100)), (60, words(100)), (60, words(100).upper()), (60, words(101)),
+        (70, words(102)), (70, ""), (70, None), (70, None), (None, words(102))]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)],
+                                 "doc_id long, text string, other long")
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text.lower() if r.text else r.text) for r in kept.collect()), key=str)
+    assert got == sorted(many[1:] + [
+        (1, words(0)), (60, words(100)), (60, words(101)), (70, words(102)), (70, ""),
+        (70, None), (70, None), (None, words(102))], key=str)
+    ids = [r.doc_id for r in jaccard.keep_one(documents(spark)).collect()]
+    assert ids.count(110) == 2
