@@ -10,7 +10,9 @@ against the rest, is solved for coefficients ``a`` of the landmarks in
 with K between training texts and landmarks, W among landmarks. K'K and K'Y are sums over training
 texts, so tasks add them up. As presence vectors are 0/1 rows P, the kernel with all landmarks L is
 the product P L' over norms, and scores of a batch are P (L' a): one matrix product with a table of
-n-gram buckets by languages, which is all that the executors get.
+n-gram buckets by languages, which is all that the executors get. Languages are learned in blocks,
+each with landmarks of its own, some of other languages and all training texts, and texts are scored in passes of at most
+``LANGUAGES`` languages that hand on the best one so far, so no table grows with their number.
 """
 
 from __future__ import annotations
@@ -19,13 +21,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from stridelake.llm.common import lists, map_batches
-from stridelake.session import materialize
+from stridelake.session import discard, materialize
 
 LENGTHS = (1, 2, 3, 4)
 BUCKETS = 1 << 16
 LANDMARKS = 128
+LEAST_LANDMARKS = 4  # of a language, however many there are
 PER_LANGUAGE = 600  # expected number of training texts of a language
-LANGUAGES = 400  # the most frequent ones are learned
+LEARNED = 64  # languages that are solved for at once
+LANGUAGES = 400  # whose scores are computed in one pass over the texts
 RIDGE = 1e-4
 UNDETERMINED = "und"
 SLICE = 1 << 20
@@ -54,17 +58,13 @@ def is_training(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2
 
 
-def _learn(
-    docs: DataFrame, per_language: int, landmarks: int
-) -> tuple[list[str], np.ndarray] | None:
-    """The languages and the table of scores by n-gram bucket; nothing without labelled texts."""
+def _draw(docs: DataFrame, per_language: int) -> tuple[list[str], DataFrame | None]:
+    """All languages by name, and a sample of their training texts as sets of n-grams."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(
         is_training(F.col("doc_id")))
-    counts = (
-        labelled.groupBy("lang").agg(F.count("*").alias("rows"))
-        .orderBy(F.desc("rows"), "lang").limit(LANGUAGES).collect())
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("rows")).collect()
     if not counts:
-        return None
+        return [], None
     languages = sorted(row["lang"] for row in counts)
     shares = docs.sparkSession.createDataFrame(
         [(row["lang"], min(1.0, per_language / row["rows"])) for row in counts],
@@ -80,21 +80,33 @@ def _learn(
         return {"doc_id": columns["doc_id"], "lang": columns["lang"], "draw": columns["draw"],
                 "grams": lists(ends, np.concatenate([*found, np.empty(0, np.int64)]).astype("i4"))}
 
-    # The sample is bounded, so a fixed number of parts will do at every size.
+    # The sample is bounded for each language, so their number alone tells the parts.
     sample = materialize(
         map_batches(chosen, grams, "doc_id long, lang string, draw long, grams array<int>")
-        .repartition(8, "draw"), "language-sample")
+        .repartition(max(8, -(-len(languages) // 8)), "draw"), "language-sample")
+    return languages, sample
+
+
+def _learn(
+    sample: DataFrame, languages: list[str], each: int, others: int
+) -> np.ndarray | None:
+    """The table of scores by n-gram bucket of some of the languages, from ``each`` landmarks of
+    each, at most ``others`` of the other languages and all texts of the sample; nothing if none of
+    them has a text with an n-gram."""
     first = W.partitionBy("lang").orderBy("draw", "doc_id")
+    own = F.col("lang").isin(languages)
+    usable = sample.where(F.size("grams") > 0)
     marks = (
-        sample.where(F.size("grams") > 0).withColumn("nth", F.row_number().over(first))
-        .where(F.col("nth") <= max(1, landmarks // len(languages)))
-        .orderBy("lang", "nth").select("grams").collect())
+        usable.where(own).withColumn("nth", F.row_number().over(first))
+        .where(F.col("nth") <= each).orderBy("lang", "nth").select("grams").collect())
     if not marks:
         return None
+    # What a text of a language outside the block looks like must be told apart, too.
+    marks += usable.where(~own).orderBy("draw", "doc_id").limit(others).select("grams").collect()
     table = np.zeros((len(marks), BUCKETS), np.float32)
     for row, mark in zip(table, marks, strict=True):
         row[mark["grams"]] = 1 / np.sqrt(len(mark["grams"]))
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    shared = sample.sparkSession.sparkContext.broadcast(table)
 
     def sums(columns):
         by_gram, m = shared.value.T, len(shared.value)
@@ -105,7 +117,8 @@ def _learn(
             if len(own):
                 k = by_gram[own].sum(axis=0, dtype=np.float64) / np.sqrt(len(own))
                 y = np.full(len(languages), -1.0)
-                y[target[lang]] = 1
+                if lang in target:
+                    y[target[lang]] = 1
                 kk += np.outer(k, k)
                 ky += np.outer(k, y)
                 n += 1
@@ -118,7 +131,29 @@ def _learn(
     n = sum(p["n"] for p in parts)
     among = table.astype(np.float64) @ table.T.astype(np.float64)
     left = kk + RIDGE * max(1, n) * among + 1e-9 * np.trace(kk) / m * np.eye(m)
-    return languages, (table.T @ np.linalg.solve(left, ky)).astype(np.float32)
+    shared.unpersist()
+    return (table.T @ np.linalg.solve(left, ky)).astype(np.float32)
+
+
+def _better(rows: DataFrame, names: list[str], weights: np.ndarray, last: bool) -> DataFrame:
+    """``rows`` with ``lang_pred`` and ``score`` of the best of ``names`` where it beats them."""
+    table = rows.sparkSession.sparkContext.broadcast(weights)
+
+    def predict(columns):
+        langs, scores = columns["lang_pred"].to_pylist(), columns["score"].to_pylist()
+        for i, text in enumerate(columns["text"].to_pylist()):
+            if not text or not any(map(str.isalpha, text)):
+                continue
+            own = present(text)
+            score = table.value[own].sum(axis=0, dtype=np.float64) / np.sqrt(len(own))
+            at = int(score.argmax())
+            if scores[i] is None or score[at] > scores[i]:
+                langs[i], scores[i] = names[at], float(score[at])
+        return {**columns, "lang_pred": langs, "score": scores}
+
+    return map_batches(
+        rows, predict, "doc_id long, held_out boolean, lang_pred string, score double"
+                       + ("" if last else ", text string"))
 
 
 def identify(
@@ -127,8 +162,7 @@ def identify(
 ) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every row of ``docs``, from its whole text.
 
-    Learned from at most about ``per_language`` texts of each of the ``LANGUAGES`` most frequent
-    non-null values of ``lang``, drawn by a hash of the id among rows that :func:`is_training`.
+    Learned from at most about ``per_language`` texts of every non-null value of ``lang``, drawn by a hash of the id among rows that :func:`is_training`.
     A text that is null or has no letter is ``und`` with score 0, and so is every text if nothing
     could be learned. Ties go to the first language by name. ``held_out`` is false for a row
     without an id, from which nothing is learned either. Repeated rows are answered each; other
@@ -137,28 +171,33 @@ def identify(
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
         F.col(lang).alias("lang"))
-    learned = _learn(rows, per_language, landmarks)
-    languages, weights = learned or ([UNDETERMINED], np.zeros((BUCKETS, 1), np.float32))
-    table = docs.sparkSession.sparkContext.broadcast(weights)
-
-    def predict(columns):
-        texts = columns["text"].to_pylist()
-        found = [present(t) if t and any(map(str.isalpha, t)) else np.empty(0, np.int64)
-                 for t in texts]
-        names, scores = [], []
-        for own in found:
-            if not len(own) or not learned:
-                names.append(UNDETERMINED)
-                scores.append(0.0)
-                continue
-            score = table.value[own].sum(axis=0, dtype=np.float64) / np.sqrt(len(own))
-            at = int(score.argmax())
-            names.append(languages[at])
-            scores.append(float(np.clip((score[at] + 1) / 2, 0, 1)))
-        return {"doc_id": columns["doc_id"], "held_out": columns["held_out"],
-                "lang_pred": names, "score": scores}
-
+    languages, sample = _draw(rows, per_language)
+    each = max(LEAST_LANDMARKS, landmarks // max(1, len(languages)))
     held_out = F.coalesce(~is_training(F.col("doc_id")), F.lit(False)).alias("held_out")
-    return map_batches(
-        rows.select("doc_id", held_out, "text"), predict,
-        "doc_id long, held_out boolean, lang_pred string, score double")
+    best = rows.select(
+        "doc_id", held_out, F.lit(UNDETERMINED).alias("lang_pred"),
+        F.lit(None).cast("double").alias("score"), "text")
+    stored = None
+    for start in range(0, len(languages), LANGUAGES):
+        names, tables = [], []
+        for at in range(start, min(start + LANGUAGES, len(languages)), LEARNED):
+            block = languages[at:min(at + LEARNED, start + LANGUAGES)]
+            weights = _learn(sample, block, each, landmarks)
+            if weights is not None:
+                names += block
+                tables.append(weights)
+        if not names:
+            continue
+        last = start + LANGUAGES >= len(languages)
+        best = _better(best, names, np.hstack(tables), last)
+        if not last:
+            earlier, stored = stored, materialize(best, "languages-so-far")
+            best = stored
+            if earlier is not None:
+                discard(earlier)
+    # Scores lie about -1 and 1; a text without a letter, or with nothing learned, has none.
+    return best.select(
+        "doc_id", "held_out", "lang_pred",
+        F.when(F.col("score").isNull(), 0.0)
+        .otherwise(F.least(F.greatest((F.col("score") + 1) / 2, F.lit(0.0)), F.lit(1.0)))
+        .alias("score"))

@@ -92,3 +92,26 @@ def test_grams_do_not_depend_on_slices(monkeypatch):
     whole = language.present(text)
     monkeypatch.setattr(language, "SLICE", 50)
     assert (language.present(text) == whole).all()
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 3)
+    monkeypatch.setattr(language, "LEARNED", 2, raising=False)
+    docs = table(spark, SF, "documents").where("doc_id % 2 = 0")
+    found = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in found if r.held_out]
+    assert len(found) == docs.count()
+    assert {r.lang_pred for r in held} == {r.lang for r in held}
+    assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.95
+
+
+def test_more_languages_than_fit_one_pass(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(420):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+                 for _ in range(4)]
+        rows += [(i * 10 + j, f"l{i:03}", " ".join(words)) for j in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(8)
+    found = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert sum(r.lang == r.lang_pred for r in found) / len(found) > 0.98
