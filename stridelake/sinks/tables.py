@@ -20,9 +20,11 @@ def track_partitions() -> dict[str, Column]:
 
 
 def replace_by_key(
-    df: DataFrame, path: str, key: str, partition_by: dict[str, Column]
+    df: DataFrame, path: str, key: str, partition_by: dict[str, Column],
+    keys: DataFrame | None = None,
 ) -> None:
-    """Replace all stored rows whose ``key`` occurs in ``df`` by the rows of ``df``.
+    """Replace all stored rows whose ``key`` occurs in ``df``, or in ``keys`` if given, by the rows
+    of ``df``.
 
     New keys are appended. Only partitions that hold a replaced key are rewritten, so the usual
     batch of new files rewrites nothing. Running the same batch again gives the same table.
@@ -33,7 +35,7 @@ def replace_by_key(
         _write(incoming, path, parts, "append")
         return
     stored = df.sparkSession.read.schema(incoming.schema).parquet(path)
-    keys = incoming.select(key).distinct()
+    keys = (incoming if keys is None else keys).select(key).distinct()
     hit = materialize(
         stored.select(key, *parts).join(keys, key, "left_semi").select(*parts).distinct(),
         "touched")

@@ -16,17 +16,38 @@ PLACEHOLDER = ".gitkeep"  # fixed value: never a candidate
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """``path`` of every file below ``root``, relative to it. File contents are not read."""
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        .select(relative_path(spark, root).alias("path"))
-    )
+    """``path`` of every file below ``root``, relative to it. File contents are not read.
+
+    Listed by the file system itself, as a Spark scan hides names that begin with ``_`` or a dot.
+    """
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    cut = len(qualified_folder(spark, root))
+    found, folders = [], [top]
+    while folders:
+        for status in fs.listStatus(folders.pop()):
+            path = status.getPath()
+            if status.isDirectory():
+                folders.append(path)
+            else:
+                found.append((fs.makeQualified(path).toString()[cut:],))
+    return spark.createDataFrame(found, "path string")
+
+
+def hidden(path: Column) -> Column:
+    """Whether a Spark scan of the folder may leave out this relative path."""
+    return path.rlike(r"(^|/)[_.]|\._COPYING_(/|$)")
+
+
+def qualified_folder(spark: SparkSession, root: str) -> str:
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.makeQualified(path).toString().rstrip("/") + "/"
 
 
 def relative_path(spark: SparkSession, root: str) -> Column:
     """The scan's ``path`` column without the folder ``root``."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/") + "/"
-    return F.substring_index(F.col("path"), folder, -1)
+    return F.substring("path", len(qualified_folder(spark, root)) + 1, 1 << 30)
 
 
 def list_folders(spark: SparkSession, root: str) -> DataFrame:

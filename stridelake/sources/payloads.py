@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stridelake import schemas
 from stridelake.functions import numeric as N, text as X, times
-from stridelake.session import materialize
-from stridelake.sources.listing import relative_path
+from stridelake.session import fresh_path, materialize
+from stridelake.sources.listing import hidden, relative_path
 
 NO_ACTIVITY = "no activity element found"
 NO_LAP = "no lap element found"
@@ -55,6 +55,30 @@ def read_payload_files(
         spark.read.format("binaryFile").option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True).load(paths)
         .select(relative_path(spark, root).alias("payload"), "content")
+        .where(~hidden(F.col("payload")))
+    )
+
+
+def read_hidden_files(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
+    """``payload`` and ``content`` of files below ``root`` that a Spark scan hides.
+
+    They are copied to the shared folder under other names, which it shows.
+    """
+    if not names:
+        return spark.createDataFrame([], "payload string, content binary")
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    folder = fresh_path(spark, "hidden")
+    target = hadoop.Path(folder).getFileSystem(conf)
+    for nth, name in enumerate(names):
+        source = hadoop.Path(f"{root.rstrip('/')}/{name}")
+        hadoop.FileUtil.copy(
+            source.getFileSystem(conf), source, target, hadoop.Path(f"{folder}/{nth}"), False, conf)
+    known = spark.createDataFrame(
+        [(str(nth), name) for nth, name in enumerate(names)], "copy string, payload string")
+    return (
+        spark.read.format("binaryFile").load(folder)
+        .select(F.substring_index("path", "/", -1).alias("copy"), "content")
+        .join(known, "copy").select("payload", "content")
     )
 
 

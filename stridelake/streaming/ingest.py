@@ -106,7 +106,9 @@ def ingest(
 
 def store_result(result: IngestResult, store: Store) -> None:
     """Track points first, then activities, then the ledger."""
-    tables.replace_by_key(result.tracks, store.tracks, "activity_id", tables.track_partitions())
+    keys = result.activities.select(F.col("id").alias("activity_id"))  # also those without points
+    tables.replace_by_key(
+        result.tracks, store.tracks, "activity_id", tables.track_partitions(), keys)
     tables.replace_by_key(
         result.activities, store.activities, "id", tables.activity_partitions())
     tables.replace_batch(result.outcomes, store.ledger)
@@ -143,10 +145,13 @@ def run_batch(
     todo = materialize(
         pending_entries(triaged, read_ledger(spark, store.ledger), batch_size), "todo")
     only = None
+    xml = todo.where(X.has_suffix(F.col("payload"), X.TCX_SUFFIXES)).select("payload")
+    unseen = listing.hidden(F.col("payload"))
     if batch_size is not None:
-        xml = todo.where(X.has_suffix(F.col("payload"), X.TCX_SUFFIXES))
-        only = [row.payload for row in xml.select("payload").limit(batch_size).collect()]
-    binary = payloads.read_payload_files(spark, store.inputs, XML_GLOB, only)
+        only = [row.payload for row in xml.where(~unseen).limit(batch_size).collect()]
+    binary = payloads.read_payload_files(spark, store.inputs, XML_GLOB, only).unionByName(
+        payloads.read_hidden_files(
+            spark, store.inputs, [row.payload for row in xml.where(unseen).collect()]))
     result = ingest(
         todo, _raw(spark, store, binary, todo), _names(spark, store), batch_id or batch_name())
     store_result(result, store)

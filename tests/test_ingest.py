@@ -299,3 +299,36 @@ def test_stream_of_files(spark, store):
     assert ledger.select("batch_id").distinct().count() > 1
     ingest.run_available_now(spark, store)
     assert len(stored_names(spark, store)) == 2
+
+
+def test_names_that_a_scan_hides_are_ingested(spark, store, tmp_path):
+    for name in ("_7.tcx", ".8.tcx", "_folder/9.tcx"):
+        (tmp_path / "in" / name).parent.mkdir(exist_ok=True)
+        (tmp_path / "in" / name).write_text(xml())
+    (tmp_path / "in" / "_notes.txt").write_text("x")
+    summary = ingest.run_batch(spark, store, batch_id="hidden").first()
+    assert (summary.attempted, summary.succeeded, summary.failed) == (9, 5, 2)
+    ledger = {r.entry: r.status for r in ingest.read_ledger(spark, store.ledger).collect()}
+    assert {ledger[n] for n in ("_7.tcx", ".8.tcx", "_folder")} == {"succeeded"}
+    assert ledger["_notes.txt"] == "failed" and ".gitkeep" not in ledger
+
+
+def test_paths_are_cut_at_the_first_root(spark, tmp_path):
+    root = tmp_path / "in"
+    inner = root / "x" / str(root).lstrip("/")
+    inner.mkdir(parents=True)
+    (inner / "y.tcx").write_text(xml())
+    want = [f"x{root}/y.tcx"]
+    assert [r.path for r in listing.list_files(spark, str(root)).collect()] == want
+    read = payloads.read_payload_files(spark, str(root), ingest.XML_GLOB)
+    assert [r.payload for r in read.collect()] == want
+
+
+def test_an_activity_that_comes_back_without_samples_loses_its_track(spark, store, tmp_path):
+    ingest.run_batch(spark, store, batch_id="one")
+    second = ingest.Store(**{**vars(store), "ledger": store.ledger + "_lost"})
+    bare = xml('<Lap StartTime="2026-06-01T10:00:00Z"><TotalTimeSeconds>5</TotalTimeSeconds></Lap>')
+    (tmp_path / "in" / "102.tcx.gz").write_bytes(gzip.compress(bare.encode()))
+    ingest.run_batch(spark, second, batch_id="two")
+    points = files.read_tracks(spark, store.tracks).collect()
+    assert {p.activity_id for p in points} == {"100"}
