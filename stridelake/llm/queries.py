@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stridelake.llm import (
-    ann, bpe, jaccard, language, mixing, quality, secrets, sharding, sql, topk, urls,
+    ann, bpe, collocations, jaccard, language, mixing, packing, quality, resampling, secrets,
+    sharding, sql, topk, urls,
 )
 from stridelake.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +58,20 @@ def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
+
+
+def resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 CHECKS = {
     "op1_karmarkar_karp_shards": (shards, None),
     "op2_permutation_index_search": (neighbours, None),
@@ -67,4 +83,7 @@ CHECKS = {
     "op8_blob_ledger_secrets": (found_secrets, sql.SECRETS),
     "op9_string_kernel_language": (languages, None),
     "op10_link_graph_urls": (url_verdicts, sql.URL_VERDICTS),
+    "op11_bin_completion_packing": (packed, None),
+    "op12_head_tail_resampling": (resampled, None),
+    "op13_prefix_free_collocations": (phrases, sql.COLLOCATIONS),
 }

@@ -45,6 +45,43 @@ SELECT s.doc_id, CAST(len(items) AS BIGINT) AS n_shingles,
        least(s.doc_id, coalesce(l.b, s.doc_id)) AS component_id
 FROM s LEFT JOIN least l ON s.doc_id = l.a"""
 
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, words, phrase, count(*) AS f FROM (
+    SELECT lang, words, unnest(list_transform(
+      range(1, len(ws) - words + 2), lambda i: array_to_string(ws[i:i + words - 1], ' '))) AS phrase
+    FROM w, (VALUES (1), (2), (3)) AS sizes(words))
+  GROUP BY ALL),
+candidates AS (
+  SELECT *, string_split(phrase, ' ') AS ws FROM g WHERE words > 1 AND f >= 10),
+longer AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, f, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase
+    FROM candidates WHERE words = 3) GROUP BY ALL),
+kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN longer USING (lang, phrase)
+  WHERE NOT coalesce(100 * longer.f >= 50 * c.f, false)),
+cuts AS (
+  SELECT *, unnest(range(1, words)) AS k FROM kept),
+scores AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r,
+         CAST(1000000::HUGEINT * c.f * c.f // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts c JOIN g l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:k], ' ')
+  JOIN g r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[k + 1:c.words], ' ')),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scores),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best WHERE nth = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang)
+WHERE rank <= 2000"""
+
 
 def _spans(kind: str, order: int, pattern: str, kept: str) -> str:
     """Positions of matches: what stands before a match are the pieces between matches, and the
