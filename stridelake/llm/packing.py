@@ -18,9 +18,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +42,8 @@ AHEAD = 32  # fillings listed before the fullest of them is tried
 Pattern = tuple[tuple[int, int], ...]  # (length, copies) of one bin, in the order of their places
 Blocks = list[tuple[Pattern, int]]  # equal bins
 
-SLICE = 1 << 17  # characters tokenised at a time
-CACHED = 200_000  # tokenised words that a worker remembers
-CACHED_CHARS = 64  # longest of them
+TOGETHER = 1 << 20  # characters tokenised at a time, of one text or many
+CACHED_WORDS, CACHED_CHARS = 600_000, 1 << 25  # what a worker remembers of tokenised words
 
 
 # --- token ids ---------------------------------------------------------------------------------
@@ -76,55 +75,71 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.chars = 0
         self.begin, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
     def _learn(self, words: set[str]) -> None:
-        """Remember the ids of new words."""
-        if len(self.known) > CACHED:
-            self._forget()  # and learn all words of this slice anew
+        """Remember the ids of all ``words``."""
+        if len(self.known) > CACHED_WORDS or self.chars > CACHED_CHARS:
+            self._forget()
         tokenize = self.tokenizer.model.tokenize
-        new = [w for w in words if w not in self.known]
-        if not new:
-            return
+        new = list(words.difference(self.known))
         made = [[t.id for t in tokenize(
             w.encode().decode("latin-1").translate(self.letters))] for w in new]
         length = np.fromiter(map(len, made), np.int64, len(made))
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.chars += sum(map(len, new))
         self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(length) - length])
         self.length = np.concatenate([self.length, length])
         self.flat = np.concatenate([self.flat, np.fromiter(
-            (i for ids in made for i in ids), np.uint32, int(length.sum()))])
-
-    def _plain(self, text: str) -> np.ndarray:
-        words = _PRE_TOKENS.findall(text.lower())
-        if any(len(w) > CACHED_CHARS for w in words):
-            return self._whole(text)
-        if not words:
-            return np.zeros(0, np.uint32)
-        try:
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            self._learn(set(words))
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            chain.from_iterable(made), np.uint32, int(length.sum()))])
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of several texts of plain characters."""
+        split = [_PRE_TOKENS.findall(text.lower()) for text in texts]
+        self._learn(set().union(*split))
+        sizes = list(map(len, split))
+        at = np.fromiter(
+            map(self.known.__getitem__, chain.from_iterable(split)), np.int64, sum(sizes))
         length = self.length[at]
         ends = np.cumsum(length)
-        return self.flat[np.arange(ends[-1]) + np.repeat(self.begin[at] - ends + length, length)]
+        ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(
+            self.begin[at] - ends + length, length)]
+        after = np.concatenate([[0], ends])[np.cumsum(sizes)]
+        return np.split(ids, after[:-1])
 
     def _whole(self, text: str) -> np.ndarray:
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, np.uint32)
 
-    def __call__(self, text: str) -> np.ndarray:
-        """The ids of a whole text, found in slices between white space, which no token crosses."""
-        plain = bool(_PLAIN.fullmatch(text)) and not any(s in text for s in self.special)
-        encode, out, begin = self._plain if plain else self._whole, [], 0
+    def _is_plain(self, text: str) -> bool:
+        return bool(_PLAIN.fullmatch(text)) and not any(s in text for s in self.special)
+
+    def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of each whole text. Short texts are taken together, long ones in slices between
+        white space, which no token crosses."""
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            if held and (size + len(text) > TOGETHER or not self._is_plain(text)):
+                yield from self._plain(held)
+                held, size = [], 0
+            if self._is_plain(text) and len(text) <= TOGETHER:
+                held.append(text)
+                size += len(text)
+            else:
+                yield self._long(text)
+        if held:
+            yield from self._plain(held)
+
+    def _long(self, text: str) -> np.ndarray:
+        plain, out, begin = self._is_plain(text), [], 0
         while begin < len(text):
-            end = len(text)
-            if end - begin > SLICE:
-                space = _SPACE.search(text, begin + SLICE)
-                end = space.start() if space else end
-            out.append(encode(text[begin:end]))
+            space = _SPACE.search(text, begin + TOGETHER)
+            end = space.start() if space else len(text)
+            part = text[begin:end]
+            out.append(self._plain([part])[0] if plain else self._whole(part))
             begin = end
         return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
@@ -148,7 +163,7 @@ def cut(
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task = encoder(vocabulary), TaskContext.get().partitionId()
+        tokenizer, task = encoder(vocabulary), TaskContext.get().partitionId()
         seen = np.zeros(limit + 1, np.int64)
         for batch in batches:
             rows: dict[str, list] = {f.name: [] for f in arrow}
@@ -161,8 +176,9 @@ def cut(
                 return made
 
             held = 0
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                tokens = np.append(encode(value.as_py() or ""), np.uint32(end_id)).astype("<u4")
+            texts = (value.as_py() or "" for value in batch.column(1))
+            for key, found in zip(batch.column(0).to_pylist(), tokenizer.encode(texts)):
+                tokens = np.append(found, np.uint32(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(tokens), limit)):
                     part = tokens[start:start + limit]
                     rows["doc_id"].append(key)

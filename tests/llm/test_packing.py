@@ -80,16 +80,20 @@ def test_encoder_equals_the_tokenizer():
         "", "It's a TEST, isn't it?\nYes\t42 don't", "Çà et là, ÜBER groß; s'il",
         "a <|endoftext|> b", "x²½µª İΣς 中文 😀 é    ", "w" * 300 + " " + "é" * 70,
         "many words, " * 30_000, "one\x00two\x1fthree", "́start à"]
-    encode = packing.Encoder(PATH)
-    for text in [*texts, *texts]:
-        assert encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
-
-
-def test_encoder_forgets(monkeypatch):
-    monkeypatch.setattr(packing, "CACHED", 3)
-    plain, encode = Tokenizer.from_file(PATH), packing.Encoder(PATH)
-    for text in ("one two three four five", "five six", "seven one eight two", "nine one"):
-        assert encode(text).tolist() == plain.encode(text).ids
+    encoder = packing.Encoder(PATH)
+    for found, text in zip(encoder.encode([*texts, *texts]), [*texts, *texts], strict=True):
+        assert found.tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("words, together", [(3, 1 << 20), (600_000, 9), (2, 15)])
+def test_encoder_forgets_and_slices(monkeypatch, words, together):
+    monkeypatch.setattr(packing, "CACHED_WORDS", words)
+    monkeypatch.setattr(packing, "TOGETHER", together)
+    plain, encoder = Tokenizer.from_file(PATH), packing.Encoder(PATH)
+    texts = ["one two three four five", "five six", "", "中 é one  two", "seven one eight two",
+             "nineteenhundredandeightyfour one"] * 2
+    for found, text in zip(encoder.encode(texts), texts, strict=True):
+        assert found.tolist() == plain.encode(text).ids
 
 
 def check_pieces(rows, docs, limit):
