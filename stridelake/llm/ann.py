@@ -71,8 +71,8 @@ def search(
 
     Queries are the rows whose id is divisible by ``every``; rows with a query's id are none of its
     candidates. Null and zero vectors and those with a null or non-finite component take no part,
-    nor do rows without an id. Repeated rows count each as candidates, and repeated query rows are
-    answered once. Ties go to the smaller id. With fewer candidates all are returned; an empty
+    nor do rows without an id. Repeated rows count each as candidates. An id asks once: if its rows
+    hold several vectors, with the smallest by its components in order. Ties go to the smaller id. With fewer candidates all are returned; an empty
     table gives no rows. Only the two named columns are read.
     """
     points = rows.select(

@@ -131,8 +131,8 @@ def search(
     Components count as ``floor(scale * x)``, and a score must fit a long. Queries are the rows
     whose id is divisible by ``every``; rows with a query's id are none of its candidates. Null
     vectors, those with a null or non-finite component and rows without an id take no part.
-    Repeated rows count each as candidates, and repeated query rows are answered once. Ties go to
-    the smaller id. With fewer candidates all are returned; an empty table gives no rows. Only the
+    Repeated rows count each as candidates. An id asks once: if its rows hold several (integer)
+    vectors, with the smallest by its components in order. Ties go to the smaller id. With fewer candidates all are returned; an empty table gives no rows. Only the
     two named columns are read.
     """
     points = rows.select(

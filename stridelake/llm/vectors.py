@@ -33,10 +33,12 @@ def blocks(
     """Rows and queries (those whose ``vec_id`` is divisible by ``every``), dealt to block pairs.
 
     ``rows`` has ``vec_id`` and ``v``. Both results add ``size`` (of the vector), ``block`` and
-    ``query_block``; queries are distinct.
+    ``query_block``. An id asks once: where rows with one id hold several vectors, the smallest by
+    its components in order is the query.
     """
     sized = rows.withColumn("size", F.size("v"))
-    queries = sized.where(F.col("vec_id") % every == 0).distinct()
+    queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(
+        F.min("v").alias("v")).withColumn("size", F.size("v"))
     counts = sized.agg(
         F.count("*").alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("q")).first()
     n, q = n_blocks(counts["n"], per_block), n_blocks(counts["q"], per_query_block)

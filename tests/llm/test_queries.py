@@ -1,3 +1,5 @@
+import importlib
+
 import pytest
 
 import corpus_pipeline
@@ -17,6 +19,25 @@ def test_query_equals_its_sql(spark, name):
     assert not difference(query(spark, SMALL), duck(SMALL), sql)
 
 
+#: The test that holds each query without SQL against a plain model.
+WITHOUT_SQL = {
+    "op1_karmarkar_karp_shards": "test_sharding.test_query",
+    "op2_permutation_index_search": "test_vectors.test_ann_recall_and_scores",
+    "op6_byte_bpe_round_trip": "test_bpe.test_query_equals_tiktoken",
+    "op7_weak_label_quality": "test_classifiers.test_quality_against_labels",
+    "op9_string_kernel_language": "test_classifiers.test_language_held_out",
+    "op11_bin_completion_packing": "test_packing.test_query",
+    "op12_head_tail_resampling": "test_resampling.test_query",
+}
+
+
+def test_queries_without_sql_have_a_test():
+    assert set(WITHOUT_SQL) == {n for n, (_, sql) in queries.CHECKS.items() if not sql}
+    for name in WITHOUT_SQL.values():
+        module, test = name.split(".")
+        assert callable(getattr(importlib.import_module(f"tests.llm.{module}"), test))
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     df = spark.createDataFrame(edges, "a long, b long")
