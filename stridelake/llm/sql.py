@@ -144,29 +144,60 @@ rows AS (
 cells AS MATERIALIZED (
   SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS tokens FROM rows GROUP BY ALL),
 budget AS MATERIALIZED (SELECT {mixing.KEEP}::DOUBLE * sum(tokens) AS budget FROM cells)"""]
+    parts.append("""
+total AS MATERIALIZED (SELECT sum(tokens) AS total FROM cells)""")
+    # The wishes, and the targets that are left when no category gives more than it has.
+    limit = f"({mixing.AT_MOST}::DOUBLE / {mixing.KEEP}::DOUBLE)"
     for margin in margins:
-        flat = mixing.FLATNESS[margin]
+        parts.append(f"""
+sums_{margin} AS MATERIALIZED (
+  SELECT {margin}, t / total AS own, pow(t, {mixing.FLATNESS[margin]}::DOUBLE) AS wish,
+         {limit} * (t / total) AS most
+  FROM (SELECT {margin}, sum(tokens) AS t FROM cells GROUP BY {margin}), total),
+scale_{margin}_0 AS (SELECT 0.0::DOUBLE AS scale)""")
+        for n in range(mixing.FILLS):
+            parts.append(f"""
+scale_{margin}_{n + 1} AS MATERIALIZED (
+  SELECT coalesce((1 - coalesce(sum(most) FILTER (WHERE wish * scale > most), 0))
+         / sum(wish) FILTER (WHERE wish * scale <= most), any_value(scale)) AS scale
+  FROM sums_{margin}, scale_{margin}_{n})""")
         parts.append(f"""
 aim_{margin} AS MATERIALIZED (
-  SELECT {margin}, pow(t, {flat}::DOUBLE) / sum(pow(t, {flat}::DOUBLE)) OVER () AS target
-  FROM (SELECT {margin}, sum(tokens) AS t FROM cells GROUP BY {margin}))""")
-    parts.append("""
-raked_0 AS MATERIALIZED (SELECT *, tokens AS weight FROM cells)""")
+  SELECT {margin}, own, target / sum(target) OVER () AS target
+  FROM (SELECT {margin}, own, least(wish * scale, most) AS target
+        FROM sums_{margin}, scale_{margin}_{mixing.FILLS}))""")
+    eased = ", ".join(
+        f"budget * (a_{m}.target + (a_{m}.own - a_{m}.target) * easing) AS aim_{m}"
+        for m in margins)
+    joins = " ".join(f"JOIN aim_{m} a_{m} USING ({m})" for m in margins)
+    rungs = ", ".join(f"({e!r}::DOUBLE)" for e in mixing.EASINGS)
+    parts.append(f"""
+raked_0 AS MATERIALIZED (
+  SELECT source, lang, topic, tokens, easing, {eased}, tokens AS weight
+  FROM cells {joins}, budget, (VALUES {rungs}) AS e(easing))""")
     step = 0
     for _ in range(mixing.SWEEPS):
         for margin in margins:
             parts.append(f"""
 raked_{step + 1} AS MATERIALIZED (
-  SELECT c.source, c.lang, c.topic, c.tokens,
-         least(c.weight * (budget * target / s.total), c.tokens) AS weight
-  FROM raked_{step} c JOIN aim_{margin} USING ({margin})
-  JOIN (SELECT {margin}, sum(weight) AS total FROM raked_{step} GROUP BY {margin}) s
-    USING ({margin}), budget)""")
+  SELECT c.* REPLACE (least(c.weight * (c.aim_{margin} / s.total), c.tokens) AS weight)
+  FROM raked_{step} c JOIN (
+    SELECT {margin}, easing, sum(weight) AS total FROM raked_{step} GROUP BY ALL) s
+    USING ({margin}, easing))""")
             step += 1
+    offs = " UNION ALL ".join(
+        f"SELECT easing, abs(sum(weight) / any_value(aim_{m}) - 1) AS off FROM raked_{step} "
+        f"GROUP BY easing, {m}" for m in margins)
+    parts.append(f"""
+errors AS (SELECT easing, max(off) AS error FROM ({offs}) GROUP BY easing),
+chosen AS MATERIALIZED (
+  SELECT easing, error FROM errors WHERE error <= {mixing.TOLERANCE}::DOUBLE OR easing = 1
+  ORDER BY easing LIMIT 1)""")
     return "WITH " + ",".join(parts) + f"""
 SELECT doc_id, source, lang, topic, CAST(rows.tokens AS BIGINT) AS tokens,
-       round(weight / c.tokens, 9) AS p, draw < round(weight / c.tokens, 9) AS kept
-FROM rows JOIN raked_{step} c USING (source, lang, topic)"""
+       round(weight / c.tokens, 9) AS p, draw < round(weight / c.tokens, 9) AS kept,
+       easing, round(error, 4) AS error
+FROM rows JOIN raked_{step} c USING (source, lang, topic) JOIN chosen USING (easing)"""
 
 
 MIXTURE = _mixture()

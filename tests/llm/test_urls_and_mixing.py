@@ -77,18 +77,63 @@ def test_links_are_read(spark):
     assert edges == {("a.x", "b.y"): 2.0}
 
 
+def cells(spark, rows):
+    return spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+
+
 def test_raking_meets_its_margins(spark):
-    cells = spark.createDataFrame(
-        [("a", "en", "t", 600), ("a", "fr", "t", 200), ("b", "en", "u", 500), ("b", "fr", "t", 300),
-         ("c", "en", "t", 250), ("c", "fr", "u", 150)],
-        "source string, lang string, topic string, tokens long")
-    aims = {m: mixing.targets(cells, m, 0.8) for m in mixing.MARGINS}
-    raked = mixing.rake(cells, aims, 1000.0, sweeps=60)
-    assert raked.where("weight > tokens + 1e-9").count() == 0
-    for margin, aim in aims.items():
-        off = raked.groupBy(margin).agg(F.sum("weight").alias("w")).join(aim, margin).select(
-            F.abs(F.col("w") - 1000 * F.col("target")).alias("off")).collect()
-        assert max(r.off for r in off) < 5
+    rows = cells(spark, [
+        ("a", "en", "t", 600), ("a", "fr", "t", 200), ("b", "en", "u", 500), ("b", "fr", "t", 300),
+        ("c", "en", "t", 250), ("c", "fr", "u", 150)])
+    made = mixing.calibrated(rows)
+    assert made.where("weight > tokens + 1e-9").count() == 0
+    report = mixing.margins(made).collect()
+    assert len(report) == 7 and max(r.error for r in report) <= mixing.TOLERANCE
+    for margin in mixing.MARGINS:
+        mine = [r for r in report if r.margin == margin]
+        assert sum(r.target for r in mine) == pytest.approx(0.6 * 2000)
+        assert all(r.reached == pytest.approx(r.target, rel=0.01) for r in mine)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_production_settings_meet_their_margins(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    made = mixing._cells_of(docs, "doc_id", "text", "source", "lang", None)
+    rows = docs.select(*[made[c].alias(c) for c in (*mixing.MARGINS, "tokens")])
+    found = mixing.calibrated(rows)
+    report = mixing.margins(found).collect()
+    assert max(r.error for r in report) <= 0.01 and found.first().easing < 0.5
+    for r in report:
+        assert r.reached <= 0.9 * rows.where(F.col(r.margin) == r.category).agg(
+            F.sum("tokens")).first()[0] * 1.01
+
+
+def test_no_category_aims_above_what_it_has(spark):
+    sums = spark.createDataFrame(
+        [("a", 1000.0, 1000.0 ** 0.5), ("b", 10.0, 10.0 ** 0.5), ("c", 1.0, 1.0)],
+        "source string, own double, wish double")
+    got = {r.source: r for r in mixing.attainable(sums, 1.5).collect()}
+    assert got["b"].target == pytest.approx(15 / 1011) and got["c"].target == pytest.approx(1.5 / 1011)
+    assert sum(r.target for r in got.values()) == pytest.approx(1)
+
+
+def test_contradicting_targets_are_eased(spark):
+    # Source and language say the same, but are to be flattened differently.
+    rows = cells(spark, [("a", "en", "t", 900), ("b", "fr", "t", 100)])
+    found = mixing.calibrated(rows, flatness={"source": 1.0, "lang": 0.5})
+    assert found.first().easing > 0 and found.first().error <= mixing.TOLERANCE
+
+
+def test_explicit_wishes(spark):
+    rows = cells(spark, [("a", "en", "t", 900), ("b", "en", "t", 900), ("c", "en", "t", 200)])
+    want = spark.createDataFrame([("a", 2.0), ("b", 1.0)], "source string, target double")
+    got = {r.source: r.weight for r in mixing.calibrated(rows, wished={"source": want}).collect()}
+    assert got == {"a": pytest.approx(800, rel=0.02), "b": pytest.approx(400, rel=0.02)}
+    docs = spark.createDataFrame(
+        [(i, "some words", s, "en") for i, s in enumerate("aabbc")],
+        "doc_id long, text string, source string, lang string")
+    mixed = mixing.mix(docs, wished={"source": want})
+    assert mixed.count() == 5 and mixed.where("source = 'c' AND (p > 0 OR kept)").count() == 0
 
 
 def test_mix_and_sample_agree(spark):
@@ -98,4 +143,8 @@ def test_mix_and_sample_agree(spark):
     kept = mixing.sample(docs)
     assert kept.columns == docs.columns
     assert rows_of(kept, "doc_id") == rows_of(mixed.where("kept"), "doc_id")
+    clash = docs.withColumns({"_source": F.lit("q"), "_draw": F.lit(1.0), "__p": F.lit(0)})
+    again = mixing.sample(clash)
+    assert again.columns == clash.columns and again.where("_source <> 'q'").count() == 0
+    assert rows_of(again, "doc_id") == rows_of(kept, "doc_id")
     assert mixing.mix(empty(spark)).count() == 0 and mixing.sample(empty(spark)).count() == 0
