@@ -1,18 +1,22 @@
 """Shape the supplied tables like the engine's inputs.
 
-Each adapter reads a whole table, but :func:`readings` and :func:`weight_stream` take only its
-``view`` events and :func:`life_events` only its ``error`` events, as their SQL does. ``checks.sql``
-repeats the same derivations in SQL.
+Each adapter reads a whole table; the kind of an event only decides values. ``checks.sql`` repeats the
+same derivations in SQL.
 """
 
 from __future__ import annotations
 
+import gzip
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stridelake import schemas
 from stridelake.functions import numeric as N
 from stridelake.operators import normalize
 from stridelake.session import configure
+from stridelake.sources import listing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -181,15 +185,16 @@ def unnamed_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight readings with repeated ids, odd values and some at the first instant of a week."""
-    v = events(spark, sf_dir).where(F.col("event_type") == "view")
+    v = events(spark, sf_dir)
     k, kg = F.col("k"), F.col("value")
+    origin = _case(F.col("event_type"), {"view": "hevy"}, "google_fit_manual_entry")
     lb = N.round_half_even(N.kg_to_lb(kg), 1) + F.when(k % 5 == 0, 1.0).otherwise(0.0)
     return v.select(
         F.col("user_id").alias("athlete_id"),
         F.col("event_id").alias("entry"),
         F.floor(F.col("event_id") / 3).cast("string").alias("id"),
         F.lit("google_fit").alias("source"),
-        F.when(k % 16 != 3, F.lit("hevy")).alias("original_source"),
+        F.when(k % 16 != 3, origin).alias("original_source"),
         F.when(k % 8 == 0, F.date_trunc("week", "ts")).otherwise(F.col("ts"))
         .alias("recorded_at"),
         F.when(k != 0, kg).alias("weight_kg"),
@@ -199,7 +204,10 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def life_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Life events with repeated ids, reversed periods and dangling references."""
-    v = events(spark, sf_dir).where(F.col("event_type") == "error")
+    v = events(spark, sf_dir)
+    category = _case(F.col("event_type"), {
+        "view": "health", "click": "life-event", "signup": "equipment", "purchase": "training"},
+        "other")
     k = F.col("k")
     block = F.floor(F.col("event_id") / 4)
     day = F.to_date("ts")
@@ -209,8 +217,7 @@ def life_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k != 50, block.cast("string")).alias("id"),
         day.alias("date"),
         F.when(k % 2 == 0, F.date_add(day, k % 5 - 1)).alias("date_end"),
-        _case(k % 6, {0: "health", 1: "life-event", 2: "equipment", 3: "training", 4: "other"},
-              "else").alias("category"),
+        F.when(k % 6 == 5, "else").otherwise(category).alias("category"),
         F.concat(F.lit("Event "), k.cast("string")).alias("title"),
         F.when(k % 25 != 7, F.lit("text")).alias("description"),
         F.array((block - 5).cast("string"), (block + 5).cast("string"))
@@ -220,11 +227,12 @@ def life_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weight_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Datastream documents with one data point each."""
-    v = events(spark, sf_dir).where(F.col("event_type") == "view")
+    v = events(spark, sf_dir)
     k = F.col("k")
     user, synced = normalize.WEIGHT_ORIGINS
+    from_app = F.col("event_type").isin("view", "click")
     point = F.struct(
-        F.when(k % 9 == 2, F.lit("raw:other")).when(k % 3 == 1, F.lit(synced))
+        F.when(k % 9 == 2, F.lit("raw:other")).when(from_app, F.lit(synced))
         .otherwise(F.lit(user)).alias("originDataSourceId"),
         (F.unix_micros("ts") * 1000 + k).cast("string").alias("startTimeNanos"),
         F.array(F.struct(F.struct(F.col("value").alias("fpVal")).alias("value")))
@@ -319,15 +327,55 @@ def folder_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Earlier outcomes for some of the entries of :func:`file_listing`."""
-    entry = F.split("path", "/")[0]
-    number = F.regexp_extract("path", r"(\d+)", 1).cast("long")
+    number = F.regexp_extract("entry", r"(\d+)", 1).cast("long")
     status = _case(number % 4, {0: "succeeded", 1: "skipped"}, "failed")
-    return file_listing(spark, sf_dir).where(number % 7 < 5).select(
-        F.lit("earlier").alias("batch_id"), entry.alias("entry"),
-        F.lit(None).cast("string").alias("payload"), status.alias("status"),
+    return listing.triage_entries(file_listing(spark, sf_dir)).where(number % 7 < 5).select(
+        F.lit("earlier").alias("batch_id"), "entry", "payload", status.alias("status"),
         F.lit(None).cast("string").alias("reason"))
 
 
+def lap_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``payload`` and ``content``: one lap file per fifty events, with all kinds of names."""
+    e = events(spark, sf_dir).withColumn("block", F.floor(F.col("event_id") / 50))
+    kind, number = F.col("block") % 6, F.col("block").cast("string")
+    name = F.when(F.col("block") == 3, "late/ride.tcx").otherwise(F.concat(
+        _case(kind, {0: "", 1: "_", 2: "ride[", 3: "."}, "f"), number,
+        _case(kind, {0: ".tcx", 1: ".tcx.gz", 2: "].tcx", 3: ".tcx", 4: "/ride.tcx"}, ".tcx.gz")))
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    point = F.concat(
+        F.lit("<Trackpoint><Time>"), iso, F.lit("</Time><Cadence>"), F.col("k").cast("string"),
+        F.lit("</Cadence><DistanceMeters>"), F.col("value").cast("string"),
+        F.lit("</DistanceMeters></Trackpoint>"))
+    laps = e.select("block", name.alias("payload"), iso.alias("iso"), point.alias("point")).groupBy(
+        "block", "payload").agg(
+        F.min("iso").alias("first"), F.array_join(F.collect_list("point"), "").alias("points"))
+    end = F.when(F.col("block") % 9 == 8, F.lit("")).otherwise("</TrainingCenterDatabase>")
+    return laps.select("payload", F.encode(F.concat(
+        F.lit("<TrainingCenterDatabase><Activities><Activity Sport='Biking'><Id>x</Id>"
+              "<Lap StartTime='"), F.col("first"), F.lit("'><Track>"), F.col("points"),
+        F.lit("</Track></Lap><Creator><Name>Peloton</Name></Creator></Activity></Activities>"),
+        end), "UTF-8").alias("content"))
+
+
+def write_files(files: DataFrame, root: str, folders: list[str] = []) -> None:
+    """Write each row's ``content`` below ``root``, zipped if ``payload`` says so; also empty
+    ``folders``."""
+    def write(batches):
+        store, top = fs.FileSystem.from_uri(listing.uri_of(root))
+        for batch in batches:
+            for payload, content in zip(*(c.to_pylist() for c in batch.columns)):
+                store.create_dir(f"{top}/{payload}".rpartition("/")[0], recursive=True)
+                data = gzip.compress(content) if payload.endswith(".gz") else content
+                with store.open_output_stream(f"{top}/{payload}", compression=None) as out:
+                    out.write(data)
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["payload"])
+
+    files.mapInArrow(write, "payload string").count()
+    for folder in folders:
+        store, top = fs.FileSystem.from_uri(listing.uri_of(root))
+        store.create_dir(f"{top}/{folder}", recursive=True)
+
+
 def xml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One XML lap file per event; some with blanks in front, without a lap, or cut off."""
     k, value = F.col("k"), F.col("value")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks import adapters as A
-from checks.sql import ACTS, E, LONG_ACTS, RIDE_NAME, STRENGTH, half_even, with_
+from checks.sql import ACTS, E, LONG_ACTS, RIDE_NAME, STRENGTH, TRACKS, half_even, with_
 from pyspark.sql import functions as F
 from stridelake import schemas, session
 from stridelake.operators import lookup, normalize, quality
@@ -53,10 +53,14 @@ def _xml_activities(s, d):
 
 
 def _xml_points(s, d):
-    return payloads.tcx_points(_xml(s, d)).select("payload", "record.*").select(
+    return payloads.tcx_points(_xml(s, d).points).select("payload", "record.*").select(
         "payload", "timestamp", "heart_rate", "cadence", "speed", "distance", "power")
 
 
+def _triaged(found):
+    return listing.triage_entries(found).drop("length", "modified")
+
+
 def _lookup(s, d):
     return lookup.dedupe_lookup(A.index(s, d))
 
@@ -121,7 +125,7 @@ out AS (
          CASE WHEN key % 10 IN (0, 1) THEN 'skipped'
               WHEN key % 10 IN (2, 3) OR key % 11 = 0 THEN 'failed' ELSE 'succeeded' END AS status,
          CASE key % 10 WHEN 0
-              THEN 'directory contains no supported payload (not an activity archive)'
+              THEN 'folder holds no supported payload'
               WHEN 1 THEN 'unsupported file type'
               WHEN 2 THEN 'no supported payload found in this entry'
               WHEN 3 THEN 'payload could not be decoded'
@@ -135,6 +139,21 @@ _XML = """x AS (
            AS error
   FROM e)"""
 
+# One lap file per block of fifty events, of all kinds of names; every ninth breaks off. The file of
+# block 3 is that of a folder which is empty at first.
+_FOLDER = """files AS (
+  SELECT *, event_id // 50 AS block,
+         CASE WHEN event_id // 50 = 3 THEN 'late' ELSE CASE event_id // 50 % 6
+           WHEN 0 THEN '' WHEN 1 THEN '_' WHEN 2 THEN 'ride[' WHEN 3 THEN '.' ELSE 'f' END
+           || CAST(event_id // 50 AS VARCHAR) || CASE event_id // 50 % 6
+           WHEN 0 THEN '.tcx' WHEN 1 THEN '.tcx.gz' WHEN 2 THEN '].tcx' WHEN 3 THEN '.tcx'
+           WHEN 4 THEN '' ELSE '.tcx.gz' END END AS entry,
+         CASE WHEN event_id // 50 = 3 OR event_id // 50 % 6 = 4 THEN 'ride.tcx' END AS inner_file,
+         coalesce(inner_file, entry) AS file,
+         event_id // 50 % 9 = 8 AS broken,
+         min(date_trunc('second', ts)) OVER (PARTITION BY event_id // 50) AS first
+  FROM e)"""
+
 _INDEX = f"""idx AS (
   SELECT event_id, event_id * 2 AS position,
          CASE WHEN k % 11 = 0 THEN '' ELSE trim({RIDE_NAME}) END AS title FROM e
@@ -152,26 +171,98 @@ _NAMED = """named AS (
               WHEN n.title IS NOT NULL THEN 'updated' ELSE 'no_match' END AS name_status
   FROM acts a LEFT JOIN names n ON n.file = a.ref AND event_id % 7 <> 0)"""
 
+def _activity_table(path):
+    return tables.Table(
+        path, schemas.STORED_ACTIVITY, "id", schemas.ORIGIN, tables.activity_partitions())
+
+
+def _from_entry(activities, entry):
+    return activities.withColumns({
+        "entry": F.lit(entry), "modified": F.lit(None).cast("timestamp")})
+
+
 def _upserted(s, d):
-    """Store all activities, then store some of them again with another source and name."""
-    path = session.fresh_path(s, "upserted")
+    """Store some activities with another source and name, then all; the later entry counts."""
+    table = _activity_table(session.fresh_path(s, "upserted"))
     first = A.activities(s, d)
     again = first.where(F.col("calories").isNull()).withColumn("name", F.lit("Again")).withColumn(
         "original_source", F.lit("peloton"))
-    for batch in (first, again):
-        tables.replace_by_key(batch, path, "id", tables.activity_partitions())
-    return files.read_activity_table(s, path).select(
+    table.store(_from_entry(again, "b"), "one")
+    table.store(_from_entry(first, "a"), "two")
+    return table.read(s).select(
         "id", "original_source", "name", "start_time", "elapsed_time_s")
 
 
+def _upserted_with_repeats(s, d):
+    """Every event is a version of its user's record; the latest counts, in three batches that
+    overlap, with many versions of a record in each and a compaction between them."""
+    table = _activity_table(session.fresh_path(s, "repeats"))
+    versions = normalize.conform(A.events(s, d).select(
+        F.col("user_id").cast("string").alias("id"), F.col("event_type").alias("name"),
+        F.col("value").alias("elapsed_time_s"), F.lit("record").alias("entry"),
+        F.col("ts").alias("modified"), F.col("k").cast("double").alias("calories")),
+        schemas.STORED_ACTIVITY)
+    for n, some in enumerate(("calories % 5 < 3", "calories % 3 = 0", "calories % 2 = 0")):
+        table.store(versions.where(some), f"batch {n}")
+        if n == 1:
+            table.compact(s)
+    return table.read(s).select("id", "name", "elapsed_time_s", "modified")
+
+
+def _tracks_after_reingest(s, d):
+    """All orders come with their lines as track points; orders divisible by 3 come back without
+    any, those divisible by 4 with the lines of even number only, in an entry of the same name
+    that was changed later."""
+    path = session.fresh_path(s, "tracks")
+    store = ingest.Store("", f"{path}/activities", f"{path}/tracks", f"{path}/ledger")
+    key = F.col("id").cast("long")
+    for n, (orders, lines) in enumerate([
+            (F.lit(True), F.lit(True)),
+            ((key % 3 == 0) | (key % 4 == 0), (key % 3 != 0) & (F.col("line") % 2 == 0))]):
+        when = F.timestamp_seconds(F.lit(n))
+        origin = {"entry": F.concat("id", F.lit(".fit")), "modified": when}
+        acts = A.long_activities(s, d).where(orders).withColumns(origin)
+        points = A.tracks(s, d).withColumn("id", F.col("activity_id")).withColumn(
+            "line", F.col("cadence")).where(orders & lines).withColumns(origin)
+        ingest.store_result(ingest.IngestResult(
+            normalize.conform(acts, schemas.STORED_ACTIVITY),
+            normalize.conform(points, schemas.STORED_POINT),
+            s.createDataFrame([], schemas.OUTCOME)), store, f"batch {n}")
+    return ingest.read_tracks(s, store).select(
+        "activity_id", "timestamp", "altitude_m", "heart_rate", "cadence")
+
+
+def _run_over_folder(s, d):
+    """Write lap files, run a batch over their folder, fill an empty folder and run once more."""
+    path = session.fresh_path(s, "folder")
+    store = ingest.Store(f"{path}/in", f"{path}/activities", f"{path}/tracks", f"{path}/ledger")
+    late = F.col("payload").startswith("late")
+    written = A.lap_files(s, d)
+    A.write_files(written.where(~late), f"{path}/in", ["late/"])
+    first = ingest.run_batch(s, store, batch_id="first")
+    A.write_files(written.where(late), f"{path}/in")
+    second = ingest.run_batch(s, store, batch_id="second")
+    return store, first.unionByName(second)
+
+
+def _folder_tracks(s, d):
+    store, _ = _run_over_folder(s, d)
+    acts = ingest.read_activities(s, store).select(
+        "id", "raw_file_reference", "start_time", "original_source")
+    points = ingest.read_tracks(s, store).select(
+        F.col("activity_id").alias("id"), "timestamp", "cadence", "distance_m")
+    return acts.join(points, "id")
+
+
 def _streamed(s, d):
     """Stream all activities into a table, then once more from the start of the stream."""
     path = session.fresh_path(s, "streamed")
     for _ in range(2):
-        stream = A.order_activities(A.order_stream(s, d))
+        stream = _from_entry(A.order_activities(A.order_stream(s, d)), "order")
         ingest.upsert_available_now(
-            stream, path, "id", tables.activity_partitions(), session.fresh_path(s, "progress"))
-    return files.read_activity_table(s, path).select(
+            stream, path, schemas.STORED_ACTIVITY, "id", schemas.ORIGIN,
+            tables.activity_partitions(), session.fresh_path(s, "progress"))
+    return _activity_table(path).read(s).select(
         "athlete_id", "id", "original_source", "start_time", "elapsed_time_s")
 
 
@@ -200,6 +291,38 @@ SELECT id, CASE WHEN calories IS NULL THEN 'peloton' ELSE src END AS original_so
        CASE WHEN calories IS NULL THEN 'Again' ELSE name END AS name, start_time,
        elapsed_s AS elapsed_time_s
 FROM acts"""),
+    "upsert_with_repeated_keys": (
+        _upserted_with_repeats,
+        with_(E) + """
+SELECT CAST(user_id AS VARCHAR) AS id, arg_max(event_type, ts) AS name,
+       arg_max(value, ts) AS elapsed_time_s, max(ts) AS modified
+FROM e WHERE k % 5 < 3 OR k % 3 = 0 OR k % 2 = 0 GROUP BY user_id"""),
+    "tracks_after_reingest": (
+        _tracks_after_reingest,
+        with_(TRACKS) + """
+SELECT activity_id, ts AS "timestamp", altitude_m, heart_rate, cadence
+FROM (SELECT *, CAST(activity_id AS BIGINT) AS key FROM tracks)
+WHERE key IN (SELECT o_orderkey FROM orders)
+  AND (key % 3 <> 0 AND (key % 4 <> 0 OR cadence % 2 = 0))"""),
+    "folder_ingested": (
+        _folder_tracks,
+        with_(E, _FOLDER) + """
+SELECT replace(replace(entry, '.gz', ''), '.tcx', '') AS id, file AS raw_file_reference,
+       first AS start_time, 'peloton' AS original_source, date_trunc('second', ts) AS "timestamp",
+       k AS cadence, value AS distance_m
+FROM files WHERE NOT broken"""),
+    "folder_ingest_summary": (
+        lambda s, d: _run_over_folder(s, d)[1],
+        with_(E, _FOLDER) + """,
+entries AS (SELECT entry, bool_or(broken) AS broken FROM files GROUP BY entry)
+SELECT 'first' AS batch_id, count(*) + 1 AS attempted,
+       count(*) FILTER (WHERE NOT broken) AS succeeded, count(*) FILTER (WHERE broken) AS failed,
+       1 AS skipped
+FROM entries WHERE entry <> 'late'
+UNION ALL
+SELECT 'second', count(*) FILTER (WHERE broken OR entry = 'late'),
+       count(*) FILTER (WHERE entry = 'late'), count(*) FILTER (WHERE broken), 0
+FROM entries"""),
     "streamed_activities": (
         _streamed,
         with_(LONG_ACTS) + """
@@ -235,7 +358,7 @@ FROM dev FULL JOIN (SELECT l_orderkey, bool_or(l_linenumber % 4 = 0) AS fix
         _device_activities, with_(_DEVICE) + _FLAT_DEVICE + " WHERE start_time IS NOT NULL"),
     "device_track_points": (_device_points, f"SELECT {_POINT_COLUMNS} FROM lineitem"),
     "xml_outcomes": (
-        lambda s, d: _xml(s, d).select("payload", "sport", "creator", "start", "error"),
+        lambda s, d: _xml(s, d).files.select("payload", "sport", "creator", "start", "error"),
         with_(E, _XML) + """
 SELECT id || '.tcx' AS payload, CASE WHEN k % 17 <> 0 THEN 'Biking' END AS sport,
        CASE WHEN k % 17 <> 0 THEN CASE WHEN k % 3 = 0 THEN 'Other Bike' ELSE 'Peloton Bike+' END
@@ -265,14 +388,14 @@ SELECT id || '.tcx', start_time + INTERVAL 2 SECOND, CAST(round_even(k + 60.5::D
        0, value / 10.0::DOUBLE, value, CAST(k AS DOUBLE)
 FROM x WHERE error IS NULL"""),
     "entry_triage": (
-        lambda s, d: listing.triage_entries(A.file_listing(s, d)),
+        lambda s, d: _triaged(A.file_listing(s, d)),
         with_(_BATCH) + """
 SELECT entry, CASE WHEN key % 10 >= 3 THEN entry END AS payload,
        CASE WHEN key % 10 >= 3 THEN 'parse' ELSE status END AS status,
        CASE WHEN key % 10 < 3 THEN reason END AS reason
 FROM out"""),
     "folder_triage": (
-        lambda s, d: listing.triage_entries(A.folder_listing(s, d)),
+        lambda s, d: _triaged(A.folder_listing(s, d)),
         """
 WITH f AS (
   SELECT 'folder ' || CAST(o_custkey AS VARCHAR) AS entry,
@@ -282,12 +405,21 @@ WITH f AS (
 SELECT entry, entry || '/sub/' || file AS payload,
        CASE WHEN file IS NULL THEN 'skipped' ELSE 'parse' END AS status,
        CASE WHEN file IS NULL
-            THEN 'directory contains no supported payload (not an activity archive)' END AS reason
+            THEN 'folder holds no supported payload' END AS reason
 FROM f"""),
     "pending_entries": (
         lambda s, d: ingest.pending_entries(
             listing.triage_entries(A.file_listing(s, d)), A.ledger(s, d)).select("entry"),
         with_(_BATCH) + "SELECT entry FROM out WHERE NOT (key % 7 < 5 AND key % 4 IN (0, 1))"),
+    "pending_after_change": (
+        lambda s, d: ingest.pending_entries(
+            listing.triage_entries(A.file_listing(s, d).withColumn(
+                "length", F.when(F.length("path") % 2 == 0, 1).otherwise(2).cast("long"))),
+            A.ledger(s, d).withColumn(
+                "length", F.when(F.col("payload").isNotNull(), 1).cast("long"))).select("entry"),
+        with_(_BATCH) + """
+SELECT entry FROM out
+WHERE NOT (key % 7 < 5 AND key % 4 IN (0, 1) AND (key % 10 < 3 OR length(entry) % 2 = 0))"""),
     "next_batch_of_entries": (
         lambda s, d: ingest.pending_entries(
             listing.triage_entries(A.file_listing(s, d)), A.ledger(s, d), 50).select("entry"),
@@ -300,7 +432,7 @@ SELECT entry FROM out WHERE NOT (key % 7 < 5 AND key % 4 IN (0, 1)) ORDER BY ent
         lambda s, d: _flat(_batch(s, d).activities),
         with_(_DEVICE) + _FLAT_DEVICE + " WHERE start_time IS NOT NULL AND key % 10 > 3"),
     "ingest_track_points": (
-        lambda s, d: _batch(s, d).tracks,
+        lambda s, d: _batch(s, d).tracks.drop(*schemas.ORIGIN),
         f"""
 SELECT {_POINT_COLUMNS} FROM lineitem
 WHERE l_orderkey IN (SELECT o_orderkey FROM orders) AND l_orderkey % 10 > 3
@@ -334,10 +466,10 @@ FROM named"""),
             F.array_join("violations", ",").alias("violations")),
         with_(E) + f"""
 SELECT CAST(epoch_us(ts) * 1000 + k AS VARCHAR) AS id, 'google_fit' AS source,
-       CASE WHEN k % 9 = 2 THEN NULL WHEN k % 3 = 1 THEN 'hevy' ELSE 'google_fit_manual_entry' END
-         AS original_source,
+       CASE WHEN k % 9 = 2 THEN NULL WHEN event_type IN ('view', 'click') THEN 'hevy'
+            ELSE 'google_fit_manual_entry' END AS original_source,
        ts AS recorded_at, {half_even('value', 2)} AS weight_kg,
        {half_even('value * 2.2046226218::DOUBLE', 1)} AS weight_lb,
        CASE WHEN k % 9 = 2 THEN 'unrecognized origin' ELSE '' END AS violations
-FROM e WHERE event_type = 'view'"""),
+FROM e"""),
 }

@@ -23,7 +23,7 @@ issues AS (
   SELECT entry, id, 'weight_lb does not match weight_kg' FROM good
   WHERE abs(lb - CAST(printf('%.1f', kg * 2.2046226218::DOUBLE) AS DOUBLE)) > 0.2::DOUBLE
   UNION ALL
-  SELECT entry, id, 'duplicate id (also used by entry #' || CAST(first_entry AS VARCHAR) || ')'
+  SELECT entry, id, 'id is taken already by entry #' || CAST(first_entry AS VARCHAR)
   FROM (SELECT *, min(entry) OVER (PARTITION BY id) AS first_entry FROM good)
   WHERE entry > first_entry)"""
 
@@ -46,7 +46,7 @@ issues AS (
   UNION ALL
   SELECT entry, id, 'date_end is before date' FROM good WHERE day_end < day
   UNION ALL
-  SELECT entry, id, 'duplicate id (also used by entry #' || CAST(first_entry AS VARCHAR) || ')'
+  SELECT entry, id, 'id is taken already by entry #' || CAST(first_entry AS VARCHAR)
   FROM (SELECT *, min(entry) OVER (PARTITION BY id) AS first_entry FROM good)
   WHERE entry > first_entry
   UNION ALL

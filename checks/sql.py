@@ -93,13 +93,14 @@ STRENGTH = f"""strength AS (
 READINGS = f"""readings AS (
   SELECT user_id AS athlete_id, event_id AS entry,
          CAST(event_id // 3 AS VARCHAR) AS id,
-         CASE WHEN k % 16 <> 3 THEN 'hevy' END AS original_source,
+         CASE WHEN k % 16 <> 3 THEN CASE event_type WHEN 'view' THEN 'hevy'
+              ELSE 'google_fit_manual_entry' END END AS original_source,
          CASE WHEN k % 8 = 0 THEN CAST(date_trunc('week', ts) AS TIMESTAMP) ELSE ts END
            AS recorded_at,
          CASE WHEN k <> 0 THEN value END AS kg,
          CASE WHEN k % 7 <> 0 THEN {half_even("value * 2.2046226218::DOUBLE", 1)}
               + CASE WHEN k % 5 = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END END AS lb
-  FROM e WHERE event_type = 'view')"""
+  FROM e)"""
 
 LIFE_EVENTS = """life AS (
   SELECT user_id AS athlete_id, event_id AS entry,
@@ -108,4 +109,4 @@ LIFE_EVENTS = """life AS (
          CASE WHEN k % 2 = 0 THEN CAST(ts AS DATE) + (k % 5 - 1) END AS day_end,
          k % 6 = 5 AS bad_category, 'Event ' || CAST(k AS VARCHAR) AS title,
          k % 25 = 7 AS no_description, event_id // 4 AS block
-  FROM e WHERE event_type = 'error')"""
+  FROM e)"""

@@ -10,10 +10,9 @@ KM_TO_MI = 0.621371
 SEMICIRCLES_PER_HALF_TURN = 2.0 ** 31
 
 _SPLIT = 134217729.0  # 2**27 + 1, splits a double into two halves
-_BILLION = 1e9
-_STEP = 2.0 ** 30
-_LARGE = 1e18
-LIMBS = ("high", "low", "bits", "fine")
+_RADIX = 2.0 ** 20
+_LARGE = 2.0 ** 60
+LIMBS = ("high", "mid", "low", "bits", "fine")
 
 
 def round_half_up(c: Column, digits: int) -> Column:
@@ -55,36 +54,51 @@ def round_to_int(c: Column) -> Column:
 def exact_parts(c: Column) -> dict[str, Column]:
     """A double in parts whose sums do not depend on order.
 
-    ``high``, ``low`` and ``bits`` are longs: billions, units, and 30 binary digits behind the
-    point. ``fine`` is the double that is left, below 2**-30; its rounding is far below that of the
-    total. A value of 1e18 or more, infinite or NaN is all ``fine``.
+    ``high``, ``mid``, ``low`` and ``bits`` are longs of 20 binary digits each, with the sign of the
+    value: three before the point, one behind it. ``fine`` is the double that is left, below 2**-20;
+    its rounding is far below that of the total. A value of 2**60 or more, infinite or NaN is all
+    ``fine``.
     """
     c = c.cast("double")
     plain = F.abs(c) < F.lit(_LARGE)  # false for NaN
-    high = F.floor(c / F.lit(_BILLION))
-    below = c - high * F.lit(_BILLION)  # exact: the product has trailing zero bits
-    low = F.floor(below)
-    scaled = (below - low) * F.lit(_STEP)
-    bits = F.floor(scaled)
+    # All steps are exact: powers of two are divided by, and what was split off is taken away.
+    high = (c / F.lit(_RADIX * _RADIX)).cast("long")
+    below = c - high * F.lit(_RADIX * _RADIX)
+    mid = (below / F.lit(_RADIX)).cast("long")
+    units = below - mid * F.lit(_RADIX)
+    low = units.cast("long")
+    scaled = (units - low) * F.lit(_RADIX)
+    bits = scaled.cast("long")
     return {
         "high": F.when(plain, high),
+        "mid": F.when(plain, mid),
         "low": F.when(plain, low),
         "bits": F.when(plain, bits),
-        "fine": F.when(plain, (scaled - bits) / F.lit(_STEP)).otherwise(c),
+        "fine": F.when(plain, (scaled - bits) / F.lit(_RADIX)).otherwise(c),
     }
 
 
 def sum_parts(parts: dict[str, Column]) -> dict[str, Column]:
+    """Sums over rows: a long holds those of 2**43 rows, some 9e12."""
     return {name: F.sum(part) for name, part in parts.items()}
 
 
+def sum_sums(sums: dict[str, Column]) -> dict[str, Column]:
+    """Sums of earlier sums, in decimals, which hold any number of them."""
+    return {name: F.sum(part if name == "fine" else part.cast("decimal(28,0)"))
+            for name, part in sums.items()}
+
+
 def exact_total(sums: dict[str, Column]) -> Column:
     """The double that summed :func:`exact_parts` stand for."""
-    zero = F.lit(0).cast("long")
-    units = (
-        F.coalesce(sums["high"], zero).cast("decimal(20,0)") * F.lit(_BILLION).cast("decimal(10,0)")
-        + F.coalesce(sums["low"], zero).cast("decimal(20,0)")).cast("double")
-    fraction = F.coalesce(sums["bits"], zero).cast("double") / F.lit(_STEP)
+    def wide(name: str) -> Column:
+        return F.coalesce(sums[name].cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+
+    radix = F.lit(int(_RADIX)).cast("decimal(38,0)")
+    carry = F.call_function("div", wide("bits"), radix)
+    whole = (wide("high") * radix + wide("mid")) * radix + wide("low") + carry
+    units = whole.cast("double")
+    fraction = (wide("bits") - carry * radix).cast("double") / F.lit(_RADIX)
     # What rounding takes away from the sum of the large parts goes to the small one.
     total = units + fraction
     back = total - units
@@ -95,8 +109,9 @@ def exact_total(sums: dict[str, Column]) -> Column:
 def exact_sum(c: Column) -> Column:
     """Sum of doubles, the same whatever the order in which tasks add.
 
-    Longs are added, which stay in generated code and cannot overflow before 9e9 rows of the
-    largest values; they are joined once per group. Only what lies below 2**-30 is added as doubles. Infinite, NaN and huge values make the sum what a plain sum would be.
+    Longs are added, which stay in generated code; they are joined once per group. Only what lies
+    below 2**-20 is added as doubles. Infinite, NaN and huge values make the sum what a plain sum
+    would be.
     """
     return exact_total(sum_parts(exact_parts(c)))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stridelake.functions import times
-from stridelake.operators import skew
+from stridelake.operators import scan
 
 TOLERANCE_S = 1200  # fixed value
 
@@ -18,18 +18,15 @@ def asof_same_day(
     right_ts: str,
     payload: list[str],
     tie_break: list[str],
-    spread: list[str],
     tolerance_s: float = TOLERANCE_S,
     waive: Column | None = None,
-    min_rows: int = skew.MIN_HOT_ROWS,
-    chunk_s: int = skew.CHUNK_SECONDS,
+    parts: int | None = None,
 ) -> DataFrame:
     """``left`` with ``match``: the ``payload`` and ``right_ts`` of the latest ``right`` row of the
     same key and day that is not later, or null.
 
     Among right rows with the same ``right_ts`` the first by ``tie_break`` is taken. A match
-    further away than ``tolerance_s`` (inclusive) is dropped unless ``waive`` holds. ``spread``
-    names columns that tell left rows with the same key and time apart.
+    further away than ``tolerance_s`` (inclusive) is dropped unless ``waive`` holds.
 
     No pairs are formed: both sides shrink to one point per instant, and a running last value
     over the points finds the match.
@@ -44,11 +41,11 @@ def asof_same_day(
         .withColumn("_day", F.to_date("_ts"))
     )
     matched = (
-        skew.carry_forward(points, [*by, "_day"], "_ts", "_value", "match", min_rows, chunk_s)
+        scan.carry_forward(points, [*by, "_day"], "_ts", "_value", "match", parts)
         .where(F.col("match").isNotNull())
         .select(*by, F.col("_ts").alias(left_ts), "match")
     )
-    joined = skew.salted_join(left, matched, [*by, left_ts], "left", spread, min_rows)
+    joined = left.join(matched, [*by, left_ts], "left")
     close = times.seconds_between(F.col("match.at"), F.col(left_ts)) <= tolerance_s
     if waive is not None:
         close = close | F.coalesce(waive, F.lit(False))

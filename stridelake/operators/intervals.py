@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stridelake.functions import numeric as N, times
-from stridelake.operators import skew
 
 LEVELS = 22  # 2 ** 22 days are more than the calendar has
 
@@ -17,9 +16,7 @@ def interval_join(
     start: str,
     end: str,
     by: list[str],
-    spread: list[str],
     default_days: int = 1,
-    min_rows: int = skew.MIN_HOT_ROWS,
 ) -> DataFrame:
     """Facts inside date intervals: ``start <= ts <= end``, both at midnight and inclusive.
 
@@ -44,7 +41,7 @@ def interval_join(
         facts.withColumn("_block", F.explode(named))
         .select("*", F.col("_block.level").alias("_level"), F.col("_block.nth").alias("_nth"))
         .drop("_block"))
-    met = skew.salted_join(dated, covered, [*by, "_level", "_nth"], "inner", spread, min_rows)
+    met = dated.join(covered, [*by, "_level", "_nth"])
     inside = F.col(ts) <= F.col("_last").cast("timestamp")
     return met.where(inside).drop("_level", "_nth", "_last")
 

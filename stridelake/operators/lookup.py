@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stridelake.functions import text as X
-from stridelake.operators import skew
 
 MIN_MATCHES = 3  # fixed value
 UPDATED, ALREADY_NAMED, NO_MATCH = "updated", "already_named", "no_match"
@@ -22,25 +21,19 @@ def dedupe_lookup(index: DataFrame) -> DataFrame:
     )
 
 
-def find_titles(
-    df: DataFrame, lookup: DataFrame, file: Column, spread: list[str],
-    min_rows: int = skew.MIN_HOT_ROWS,
-) -> DataFrame:
+def find_titles(df: DataFrame, lookup: DataFrame, file: Column) -> DataFrame:
     """``df`` with ``title``, the lookup's entry for ``file``, or null."""
-    return skew.salted_join(
-        df.withColumn("file", file), lookup, ["file"], "left", spread, min_rows).drop("file")
+    return df.withColumn("file", file).join(lookup, "file", "left").drop("file")
 
 
-def enrich_names(
-    acts: DataFrame, lookup: DataFrame, min_rows: int = skew.MIN_HOT_ROWS
-) -> DataFrame:
+def enrich_names(acts: DataFrame, lookup: DataFrame) -> DataFrame:
     """Fill empty names from the lookup and record what happened in ``name_status``.
 
     Named activities are left alone and do not take part in the lookup at all.
     """
     unnamed = F.coalesce(F.col("name"), F.lit("")) == ""
     file = F.when(unnamed, F.col("raw_file_reference"))
-    joined = find_titles(acts, lookup, file, ["id"], min_rows)
+    joined = find_titles(acts, lookup, file)
     status = (
         F.when(~unnamed, F.lit(ALREADY_NAMED))
         .when(F.col("title").isNotNull(), F.lit(UPDATED))

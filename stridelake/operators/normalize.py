@@ -98,11 +98,12 @@ def activity_rules() -> list[quality.Rule]:
     return quality.required(*REQUIRED_FIELDS)
 
 
-def to_track_points(records: DataFrame) -> DataFrame:
-    """Track points from ``activity_id`` and ``record``. Points without a position are kept."""
+def to_track_points(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Track points from ``activity_id`` and ``record``, and the columns ``keep``. Points without a
+    position are kept."""
     r = F.col("record")
     return records.select(
-        "activity_id",
+        "activity_id", *keep,
         r["timestamp"].alias("timestamp"),
         N.semicircles_to_degrees(r["position_lat"]).alias("lat"),
         N.semicircles_to_degrees(r["position_long"]).alias("lon"),

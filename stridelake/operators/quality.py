@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stridelake.functions import numeric as N
-from stridelake.operators import skew
 from stridelake.sources import listing
 
 # Fixed values.
@@ -39,22 +38,18 @@ def required(*columns: str) -> list[Rule]:
     return [(f"{c} is required", F.col(c).isNotNull()) for c in columns]
 
 
-def duplicate_ids(
-    df: DataFrame, key: str, position: str, min_rows: int = skew.MIN_HOT_ROWS
-) -> DataFrame:
+def duplicate_ids(df: DataFrame, key: str, position: str) -> DataFrame:
     """Rows whose id was already used, with ``first_position``, where it was used first."""
     repeated = (
         df.where(F.col(key).isNotNull()).groupBy(key)
         .agg(F.min(position).alias("first_position"), F.count("*").alias("uses"))
         .where(F.col("uses") > 1).drop("uses")
     )
-    joined = skew.salted_join(df, repeated, [key], "inner", spread=[position], min_rows=min_rows)
-    return joined.where(F.col(position) > F.col("first_position"))
+    return df.join(repeated, key).where(F.col(position) > F.col("first_position"))
 
 
 def dangling_refs(
-    df: DataFrame, refs: str, known: DataFrame, keep: list[str],
-    min_rows: int = skew.MIN_HOT_ROWS,
+    df: DataFrame, refs: str, known: DataFrame, keep: list[str]
 ) -> DataFrame:
     """The ``keep`` columns and ``ref`` for every reference to an id that does not exist.
 
@@ -62,7 +57,7 @@ def dangling_refs(
     """
     used = df.select(*keep, F.explode(refs).alias("ref"))
     missing = used.select("ref").distinct().join(known.distinct(), "ref", "left_anti")
-    return skew.salted_join(used, missing, ["ref"], "inner", spread=keep, min_rows=min_rows)
+    return used.join(missing, "ref")
 
 
 def _label() -> Column:
@@ -73,15 +68,14 @@ def _messages(df: DataFrame) -> DataFrame:
     return df.select("entry", _label().alias("label"), F.explode("violations").alias("message"))
 
 
-def _duplicate_messages(valid: DataFrame, min_rows: int) -> DataFrame:
+def _duplicate_messages(valid: DataFrame) -> DataFrame:
     message = F.concat(
-        F.lit("duplicate id (also used by entry #"), F.col("first_position").cast("string"),
-        F.lit(")"))
-    return duplicate_ids(valid, "id", "entry", min_rows).select(
+        F.lit("id is taken already by entry #"), F.col("first_position").cast("string"))
+    return duplicate_ids(valid, "id", "entry").select(
         "entry", _label().alias("label"), message.alias("message"))
 
 
-def validate_weight(readings: DataFrame, min_rows: int = skew.MIN_HOT_ROWS) -> DataFrame:
+def validate_weight(readings: DataFrame) -> DataFrame:
     """Violations of weight readings (``entry`` is the position in the file).
 
     Duplicates, range and unit consistency are only checked where the shape is valid.
@@ -98,10 +92,10 @@ def validate_weight(readings: DataFrame, min_rows: int = skew.MIN_HOT_ROWS) -> D
         ],
     )
     valid = apply_rules(readings, shape).where(F.size("violations") == 0)
-    return _messages(checked).unionByName(_duplicate_messages(valid, min_rows))
+    return _messages(checked).unionByName(_duplicate_messages(valid))
 
 
-def validate_life_events(events: DataFrame, min_rows: int = skew.MIN_HOT_ROWS) -> DataFrame:
+def validate_life_events(events: DataFrame) -> DataFrame:
     """Violations of life events. Ids of malformed events do not count as existing, yet the
     references such events make are checked."""
     shape = [
@@ -113,13 +107,13 @@ def validate_life_events(events: DataFrame, min_rows: int = skew.MIN_HOT_ROWS) -
     valid = apply_rules(events, shape).where(F.size("violations") == 0)
     dangling = dangling_refs(
         events.where(F.col("id").isNotNull()), "related_event_ids",
-        valid.select(F.col("id").alias("ref")), keep=["entry", "id"], min_rows=min_rows)
+        valid.select(F.col("id").alias("ref")), keep=["entry", "id"])
     messages = dangling.select(
         "entry", F.col("id").alias("label"),
         F.concat(F.lit("references unknown id "), F.col("ref")).alias("message"))
     return (
         _messages(checked)
-        .unionByName(_duplicate_messages(valid, min_rows))
+        .unionByName(_duplicate_messages(valid))
         .unionByName(messages)
     )
 

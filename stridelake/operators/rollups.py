@@ -1,17 +1,20 @@
 """Aggregations over activities and track points.
 
 All of them group on keys of calendar size and read each input once. Where a report needs both
-groups and an overall bound (the latest activity), the bound is taken from the groups.
+groups and an overall bound (the latest activity), the bound is taken from the groups. Those over
+activities take either the activities or a daily table of states (:class:`states.Daily`).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stridelake.functions import numeric as N, text as X, times
-from stridelake.operators import calendars
+from stridelake.operators import calendars, states
+from stridelake.operators.states import CLASS, OUTDOOR, Daily, of, rides
 
 WINDOW_START = date(2026, 6, 1)  # fixed value
 TRAILING_MONTHS = 24  # fixed value
@@ -21,39 +24,43 @@ def _outdoor() -> Column:
     return X.is_outdoor(F.col("original_source"))
 
 
-def _class() -> Column:
-    return X.is_class(F.col("original_source"))
+def _when(condition: Column, value: Column) -> Column:
+    return F.when(condition, value)
 
 
-def _start() -> Column:
-    return F.col("start_time")
+def _since(start: date | str) -> Callable[[states.When], Column]:
+    return lambda when: times.since(when.start, start)
 
 
-def _distance() -> Column:
-    return F.col("endurance_metrics.distance_m")
+def _by(columns: list[str] | None) -> dict[str, Callable[[states.When], Column]]:
+    return {c: lambda when, c=c: F.col(c) for c in columns or []}
 
 
-def _when(condition: Column, value: Column) -> Column:
-    return F.when(condition, value)
+def header_stats(acts: DataFrame | Daily, by: list[str] | None = None) -> DataFrame:
+    """One row of totals (per ``by``, e.g. the athlete). Miles and days derive from the rounded
+    kilometres and hours."""
+    all_kinds = states.states(
+        acts, _by(by), (states.RIDE, "distance", "elapsed", "elevation", "calories"))
+
+    def total(measure: str) -> Column:
+        limbs = {limb: _when(F.col("measure") == measure, F.col(limb)) for limb in N.LIMBS}
+        return N.exact_total(N.sum_sums(limbs))
 
+    def or_zero(value: Column) -> Column:
+        return _when(F.count("*") > 0, F.coalesce(value, F.lit(0.0)))
 
-def header_stats(acts: DataFrame) -> DataFrame:
-    """One row of totals. Miles and days derive from the rounded kilometres and hours."""
-    zero = F.lit(0.0)
-    totals = acts.agg(
-        F.count_if(_outdoor()).alias("outdoor_rides"),
-        F.count_if(_class()).alias("class_rides"),
-        N.round_half_up(N.m_to_km(N.exact_sum(_distance())), 0).alias("total_km"),
-        N.round_half_up(N.s_to_h(N.exact_sum(F.col("elapsed_time_s"))), 0).alias("total_hours"),
-        N.round_half_up(
-            N.exact_sum(F.coalesce(F.col("endurance_metrics.elevation_gain_m"), zero)), 0
-        ).alias("total_elevation_m"),
-        N.round_half_up(
-            N.exact_sum(F.coalesce(F.col("calories"), zero)), 0).alias("total_calories"),
-        F.to_date(F.min(_start())).alias("earliest"),
-        F.to_date(F.max(_start())).alias("latest"),
+    totals = all_kinds.groupBy(*(by or [])).agg(
+        rides(OUTDOOR).alias("outdoor_rides"),
+        rides(CLASS).alias("class_rides"),
+        N.round_half_up(N.m_to_km(total("distance")), 0).alias("total_km"),
+        N.round_half_up(N.s_to_h(total("elapsed")), 0).alias("total_hours"),
+        N.round_half_up(or_zero(total("elevation")), 0).alias("total_elevation_m"),
+        N.round_half_up(or_zero(total("calories")), 0).alias("total_calories"),
+        F.to_date(F.min("first")).alias("earliest"),
+        F.to_date(F.max("last")).alias("latest"),
     )
     return totals.select(
+        *(by or []),
         (F.col("outdoor_rides") + F.col("class_rides")).alias("total_rides"),
         "outdoor_rides", "class_rides", "total_km",
         N.round_half_even(N.km_to_mi(F.col("total_km"))).alias("total_mi"),
@@ -63,17 +70,20 @@ def header_stats(acts: DataFrame) -> DataFrame:
     )
 
 
-def by_year(acts: DataFrame) -> DataFrame:
-    """Outdoor rides per year: count, distance, longest, mean of the per-ride heart rates."""
+def by_year(acts: DataFrame | Daily, by: list[str] | None = None) -> DataFrame:
+    """Outdoor rides per year (and ``by``): count, distance, longest, mean of the per-ride heart
+    rates."""
+    years = states.settled(
+        acts, {**_by(by), "yr": states.year}, (states.RIDE, "distance", "hr"), OUTDOOR)
     return (
-        acts.where(_outdoor()).groupBy(F.year(_start()).alias("yr"))
+        years.groupBy(*(by or []), "yr")
         .agg(
-            F.count("*").alias("n"),
-            N.round_half_up(N.m_to_km(N.exact_sum(_distance())), 1).alias("total_km"),
-            N.round_half_up(N.m_to_km(F.max(_distance())), 1).alias("longest_km"),
-            N.round_half_up(N.exact_avg(F.col("average_heart_rate")), 1).alias("avg_hr"),
+            rides().alias("n"),
+            N.round_half_up(N.m_to_km(of("distance", "total")), 1).alias("total_km"),
+            N.round_half_up(N.m_to_km(of("distance", "top")), 1).alias("longest_km"),
+            N.round_half_up(of("hr", "mean"), 1).alias("avg_hr"),
         )
-        .orderBy("yr")
+        .orderBy("yr", *(by or []))
     )
 
 
@@ -96,7 +106,7 @@ def moving_averages_by_year(tracks: DataFrame, acts: DataFrame) -> DataFrame:
         )
     )
     outdoor = acts.where(_outdoor()).select(F.col("id").alias("activity_id"))
-    speed_sum = N.exact_total({name: F.sum(name) for name in parts})
+    speed_sum = N.exact_total(N.sum_sums({name: F.col(name) for name in parts}))
     return (
         partial.join(outdoor, "activity_id").groupBy("yr")
         .agg(
@@ -109,21 +119,20 @@ def moving_averages_by_year(tracks: DataFrame, acts: DataFrame) -> DataFrame:
     )
 
 
-def by_local_hour(acts: DataFrame, offset_hours: int = times.LOCAL_OFFSET_HOURS) -> DataFrame:
+def by_local_hour(
+    acts: DataFrame | Daily, offset_hours: int = times.LOCAL_OFFSET_HOURS
+) -> DataFrame:
     """Outdoor rides per local hour, all 24 hours present."""
-    counts = (
-        acts.where(_outdoor())
-        .groupBy(times.local_hour(_start(), offset_hours).alias("local_hour"))
-        .agg(F.count("*").alias("n"))
-    )
-    spine = calendars.hour_spine(acts.sparkSession)
+    hour = {"local_hour": lambda when: F.pmod(when.hour + F.lit(offset_hours), F.lit(24))}
+    counts = states.states(acts, hour, kind=OUTDOOR).groupBy("local_hour").agg(rides().alias("n"))
+    spine = calendars.hour_spine(counts.sparkSession)
     return calendars.fill(spine, counts, ["local_hour"], ["n"]).orderBy("local_hour")
 
 
-def class_by_year(acts: DataFrame) -> DataFrame:
+def class_by_year(acts: DataFrame | Daily) -> DataFrame:
     """Class rides per year, from the first class year to the last year of any source."""
     years = (
-        acts.groupBy(F.year(_start()).alias("yr")).agg(F.count_if(_class()).alias("n"))
+        states.states(acts, {"yr": states.year}).groupBy("yr").agg(rides(CLASS).alias("n"))
         .where(F.col("yr").isNotNull())
     )
     bounds = years.agg(
@@ -134,17 +143,14 @@ def class_by_year(acts: DataFrame) -> DataFrame:
     return calendars.fill(spine, years, ["yr"], ["n"]).orderBy("yr")
 
 
-def trailing_months(acts: DataFrame, n: int = TRAILING_MONTHS) -> DataFrame:
+def trailing_months(acts: DataFrame | Daily, n: int = TRAILING_MONTHS) -> DataFrame:
     """Outdoor rides in the ``n`` months that end with the month of the latest activity.
 
     The latest activity is of any source. An instant-based cut-off ``n`` months back could only
     touch a month before the first one shown, so whole months are counted.
     """
-    month = F.trunc(_start(), "MM")
-    months = (
-        acts.groupBy(month.alias("month"))
-        .agg(F.count_if(_outdoor()).alias("n"), F.max(_start()).alias("latest"))
-    )
+    months = states.states(acts, {"month": states.month}).groupBy("month").agg(
+        rides(OUTDOOR).alias("n"), F.max("last").alias("latest"))
     spine = calendars.month_spine(months.agg(F.max("latest").alias("latest")), n)
     counts = months.where(F.col("month").isNotNull()).select(
         times.month_key(F.col("month")).alias("ym"), "n")
@@ -152,19 +158,17 @@ def trailing_months(acts: DataFrame, n: int = TRAILING_MONTHS) -> DataFrame:
 
 
 def recovery_weeks(
-    acts: DataFrame, strength: DataFrame, start: date | str = WINDOW_START
+    acts: DataFrame | Daily, strength: DataFrame, start: date | str = WINDOW_START
 ) -> DataFrame:
     """Class rides and strength sessions per week, every week from ``start`` to the latest data.
 
     Weeks are keyed by their Monday; the month-day form is for display only.
     """
-    weeks = (
-        acts.groupBy(times.week_start(_start()).alias("week"))
-        .agg(
-            F.count_if(_class() & times.since(_start(), start)).alias("class_n"),
-            F.max(_start()).alias("latest"),
-        )
-    )
+    found = states.states(acts, {"week": states.week, "recent": _since(start)})
+    weeks = found.groupBy("week").agg(
+        F.coalesce(F.sum(_when(F.col("recent") & (F.col("kind") == CLASS), F.col("n"))),
+                   F.lit(0)).alias("class_n"),
+        F.max("last").alias("latest"))
     sessions = (
         strength.where(F.col("date") >= F.lit(str(start)).cast("date"))
         .groupBy(times.week_start(F.col("start")).alias("week"))
@@ -179,45 +183,37 @@ def recovery_weeks(
 
 
 def weekly_volume(
-    acts: DataFrame, strength: DataFrame, start: date | str = WINDOW_START
+    acts: DataFrame | Daily, strength: DataFrame, start: date | str = WINDOW_START
 ) -> DataFrame:
     """Outdoor, class and strength volume side by side per week.
 
     Counts and volumes of a week without that kind of activity are 0, rates are null. If the week
     has such activity but no measurement, the null stays.
     """
-    recent = times.since(_start(), start)
-    out, cls = _outdoor() & recent, _class() & recent
-    elapsed, hr = F.col("elapsed_time_s"), F.col("average_heart_rate")
-    cadence = F.col("endurance_metrics.average_cadence")
-    speed = F.col("endurance_metrics.average_speed_mps")
-    output = F.col("class_metrics.output_kj").try_cast("double")
-
-    def minutes(kind: Column) -> Column:
-        return N.round_half_up(N.s_to_min(N.exact_sum(_when(kind, elapsed))), 1)
+    found = states.settled(
+        acts, {"week": states.week, "recent": _since(start)},
+        (states.RIDE, "elapsed", "distance", "hr", "cadence", "speed", "output"))
+    recent = F.col("recent")
+    kinds = F.when(recent, F.col("kind"))  # what lies before only bounds the calendar
 
-    def mean(kind: Column, value: Column) -> Column:
-        return N.exact_avg(_when(kind, value))
+    def minutes(kind: str) -> Column:
+        return N.round_half_up(N.s_to_min(of("elapsed", "total", kind)), 1)
 
     def or_zero(kind: str, value: str) -> Column:
         return F.when(F.coalesce(F.col(kind), F.lit(0)) == 0, F.lit(0.0)).otherwise(F.col(value))
 
-    weeks = (
-        acts.groupBy(times.week_start(_start()).alias("week"))
-        .agg(
-            F.max(_start()).alias("latest"),
-            F.count_if(out).alias("outdoor_n"),
-            minutes(out).alias("outdoor_min"),
-            N.round_half_up(
-                N.m_to_km(N.exact_sum(_when(out, _distance()))), 1).alias("outdoor_km"),
-            N.round_half_up(mean(out, hr), 1).alias("outdoor_hr"),
-            N.round_half_up(mean(out, cadence), 1).alias("outdoor_cadence"),
-            N.round_half_up(N.mps_to_kmh(mean(out, speed)), 1).alias("outdoor_speed"),
-            F.count_if(cls).alias("class_n"),
-            minutes(cls).alias("class_min"),
-            N.round_half_up(mean(cls, hr), 1).alias("class_hr"),
-            N.round_half_up(N.exact_sum(_when(cls, output)), 1).alias("class_kj"),
-        )
+    weeks = found.withColumn("kind", kinds).groupBy("week").agg(
+        F.max("last").alias("latest"),
+        rides(OUTDOOR).alias("outdoor_n"),
+        minutes(OUTDOOR).alias("outdoor_min"),
+        N.round_half_up(N.m_to_km(of("distance", "total", OUTDOOR)), 1).alias("outdoor_km"),
+        N.round_half_up(of("hr", "mean", OUTDOOR), 1).alias("outdoor_hr"),
+        N.round_half_up(of("cadence", "mean", OUTDOOR), 1).alias("outdoor_cadence"),
+        N.round_half_up(N.mps_to_kmh(of("speed", "mean", OUTDOOR)), 1).alias("outdoor_speed"),
+        rides(CLASS).alias("class_n"),
+        minutes(CLASS).alias("class_min"),
+        N.round_half_up(of("hr", "mean", CLASS), 1).alias("class_hr"),
+        N.round_half_up(of("output", "total", CLASS), 1).alias("class_kj"),
     )
     sessions = (
         strength.where(F.col("date") >= F.lit(str(start)).cast("date"))
@@ -246,42 +242,45 @@ def weekly_volume(
     ).orderBy("week")
 
 
-def monthly_by_class(acts: DataFrame, start: date | str = WINDOW_START) -> DataFrame:
-    """Outdoor and class rides per month since 1 January of the window's year, months with data
-    only. A missing source counts as outdoor here."""
+def monthly_by_class(
+    acts: DataFrame | Daily, start: date | str = WINDOW_START, by: list[str] | None = None
+) -> DataFrame:
+    """Outdoor and class rides per month (and ``by``) since 1 January of the window's year, months
+    with data only. A missing source counts as outdoor here."""
     january = date.fromisoformat(str(start)).replace(month=1, day=1)
-    is_class = F.coalesce(_class(), F.lit(False))
+    if isinstance(acts, Daily):
+        recent = Daily(acts.states.where(times.since(F.col("day"), january)))
+    else:
+        recent = acts.where(times.since(F.col("start_time"), january))
     return (
-        acts.where(times.since(_start(), january))
-        .groupBy(F.trunc(_start(), "MM").alias("first_day"))
-        .agg(F.count_if(~is_class).alias("outdoor"), F.count_if(is_class).alias("class"))
-        .select(times.month_key(F.col("first_day")).alias("month"), "outdoor", "class")
-        .orderBy("month")
+        states.states(recent, {**_by(by), "first_day": states.month})
+        .groupBy(*(by or []), "first_day")
+        .agg((rides() - rides(CLASS)).alias("outdoor"), rides(CLASS).alias("class"))
+        .select(*(by or []), times.month_key(F.col("first_day")).alias("month"), "outdoor", "class")
+        .orderBy("month", *(by or []))
     )
 
 
 def window_headline(
-    acts: DataFrame, strength: DataFrame, start: date | str = WINDOW_START
+    acts: DataFrame | Daily, strength: DataFrame, start: date | str = WINDOW_START
 ) -> DataFrame:
     """One row of totals since ``start`` over the three kinds of activity."""
-    rides = acts.where(times.since(_start(), start)).select(
-        F.lit(False).alias("strength"), "original_source", "elapsed_time_s", _distance().alias("distance_m"))
-    lifts = strength.where(F.col("date") >= F.lit(str(start)).cast("date")).select(
-        F.lit(True).alias("strength"), "minutes")
-    lifted, elapsed = F.col("strength"), F.col("elapsed_time_s")
-    minutes = _when(lifted, F.coalesce("minutes", F.lit(0.0)))
-    return rides.unionByName(lifts, allowMissingColumns=True).agg(
-        F.count_if(_outdoor()).alias("outdoor_n"),
-        N.round_half_up(
-            N.s_to_min(N.exact_sum(_when(_outdoor(), elapsed))), 0).alias("outdoor_min"),
-        N.round_half_up(
-            N.m_to_km(N.exact_sum(_when(_outdoor(), F.col("distance_m")))), 0)
-        .alias("outdoor_km"),
-        F.count_if(_class()).alias("class_n"),
-        N.round_half_up(
-            N.s_to_min(N.exact_sum(_when(_class(), elapsed))), 0).alias("class_min"),
-        F.count_if(lifted).alias("strength_n"),
-        F.coalesce(N.round_half_even(N.exact_sum(minutes), 1), F.lit(0.0)).alias("strength_min"),
+    found = states.settled(
+        acts, {"recent": _since(start)}, (states.RIDE, "elapsed", "distance")).where("recent")
+    lifts = (
+        strength.where(F.col("date") >= F.lit(str(start)).cast("date"))
+        .agg(F.count("*").alias("n"), N.exact_sum(F.coalesce("minutes", F.lit(0.0)))
+             .alias("total"))
+        .withColumn("measure", F.lit("strength")))
+    return found.unionByName(lifts, allowMissingColumns=True).agg(
+        rides(OUTDOOR).alias("outdoor_n"),
+        N.round_half_up(N.s_to_min(of("elapsed", "total", OUTDOOR)), 0).alias("outdoor_min"),
+        N.round_half_up(N.m_to_km(of("distance", "total", OUTDOOR)), 0).alias("outdoor_km"),
+        rides(CLASS).alias("class_n"),
+        N.round_half_up(N.s_to_min(of("elapsed", "total", CLASS)), 0).alias("class_min"),
+        of("strength", "n").alias("strength_n"),
+        F.coalesce(N.round_half_even(of("strength", "total"), 1), F.lit(0.0))
+        .alias("strength_min"),
     )
 
 

@@ -4,12 +4,8 @@ Rows of one athlete, in order of start, belong to the same bundle while each beg
 ``gap_s`` seconds after the end of the row before it. What counts is the previous row's own end,
 not the latest end so far.
 
-Ordinary athletes take one shuffle by athlete: everything after it, from the previous row to the
-bundle's summary, happens inside the partition. A hot athlete would overload that partition and
-takes another way with the same result. Rows that start at the same instant always share a bundle,
-so ordering works on *instants*, rows aggregated by athlete and start, which shrink map-side and
-have distinct timestamps. Instants are cut into time chunks; between chunks travel only the last
-end and the last bundle start.
+The order is a scan in segments (:mod:`operators.scan`): a hot athlete spans many ranges, and from
+one to the next travel only the last end and the start of the bundle that is open.
 """
 
 from __future__ import annotations
@@ -17,10 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from stridelake.functions import numeric as N, text as X, times
-from stridelake.operators import skew
-from stridelake.session import materialize
+from stridelake.operators import scan
 
 GAP_S = 600  # fixed value
+FAR = "2200-01-01"
 KEY = ["athlete_id", "bundle_start"]
 
 
@@ -43,6 +39,16 @@ def _prepare(acts: DataFrame) -> DataFrame:
     )
 
 
+def arrivals(acts: DataFrame) -> DataFrame:
+    """What a stream of activities needs to place rides: ``athlete_id``, ``id``, ``start``, ``end``.
+
+    A start in the far future would move the watermark past all that is still to come, so rides
+    from ``FAR`` on are left out.
+    """
+    return _prepare(acts).where(F.col("start") < F.lit(FAR).cast("timestamp")).select(
+        "athlete_id", "id", "start", "end")
+
+
 def _main_candidate() -> Column:
     """Aggregate: the longest row; on equal length the earliest, then the lowest id."""
     rank = F.struct(
@@ -56,95 +62,64 @@ def _opens(previous_end: Column, start: Column, gap_s: float) -> Column:
     return previous_end.isNull() | (times.seconds_between(previous_end, start) > gap_s)
 
 
-def _place(df: DataFrame, partition: list[str], order: list[str], gap_s: float) -> DataFrame:
-    """Add ``bundle_start``: start of the latest bundle opened so far in the partition."""
-    ordered = W.partitionBy(*partition).orderBy(*order)
+def _place(
+    rows: DataFrame, gap_s: float, parts: int | None = None
+) -> DataFrame:
+    """Add ``bundle_start``: the start of the latest bundle opened so far by the athlete."""
+    keys, order = ["athlete_id"], ["start", "id"]
+    stored = scan.segments(rows, keys, order, parts)
+    ordered = scan.within(keys, order)
     so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
-    opened = F.when(F.col("_open"), F.col("start"))
-    return (
-        df.withColumn("_previous", F.lag("end").over(ordered))
-        .withColumn("_open", _opens(F.col("_previous"), F.col("start"), gap_s))
-        .withColumn("bundle_start", F.last(opened, ignorenulls=True).over(so_far))
-        .drop("_previous", "_open")
-    )
+    previous = F.lag("end").over(ordered)
 
+    def opened(df: DataFrame) -> DataFrame:
+        """``_open``: the latest start that surely opened a bundle within the segment. Its first row
+        is not decided here: that takes the end of the segment before."""
+        opens = previous.isNotNull() & _opens(previous, F.col("start"), gap_s)
+        return df.withColumn("_opens", F.when(opens, F.col("start"))).withColumn(
+            "_open", F.last("_opens", ignorenulls=True).over(so_far)).drop("_opens")
 
-def _place_rows(rows: DataFrame, gap_s: float) -> DataFrame:
-    return _place(rows, ["athlete_id"], ["start", "id"], gap_s)
-
-
-def _place_instants(instants: DataFrame, gap_s: float, chunk_s: int) -> DataFrame:
-    """Add ``bundle_start`` to a frame unique on ``athlete_id`` and ``start``, where ``end`` is
-    the end of the instant's last row."""
-    chunk = ["athlete_id", "_chunk"]
-    chunked = instants.withColumn("_chunk", skew.time_chunk("start", chunk_s))
-    local = _place(chunked, chunk, ["start"], gap_s).withColumnRenamed("bundle_start", "_local")
-    # That the first instant of a chunk opens a bundle is provisional: it depends on the end of the
-    # chunk before. Bundles opened later in the chunk are settled.
-    summary = local.groupBy(*chunk).agg(
+    summary = opened(scan.reaching(stored, keys)).groupBy(scan.PART, *keys).agg(
         F.min("start").alias("_first"),
-        F.max_by("end", "start").alias("_end"),
-        F.max("_local").alias("_last_open"),
-    )
-    across = W.partitionBy("athlete_id").orderBy("_chunk")
+        F.max_by("end", F.struct(*order)).alias("_end"),
+        F.max("_open").alias("_last_open"))
+    across = W.partitionBy(*keys).orderBy(scan.PART)
     opens_here = _opens(F.lag("_end").over(across), F.col("_first"), gap_s)
-    inner = F.when(F.col("_last_open") > F.col("_first"), F.col("_last_open"))
-    starts = (
+    carries = (
         summary.withColumn("_head", F.when(opens_here, F.col("_first")))
-        .withColumn("_tail", F.coalesce(inner, F.col("_head")))
-        .withColumn(
-            "_before", F.last("_tail", ignorenulls=True)
-            .over(across.rowsBetween(W.unboundedPreceding, -1)))
-        .select(*chunk, "_first", F.coalesce("_head", "_before").alias("_carry"))
-    )
-    settled = F.when(F.col("_local") > F.col("_first"), F.col("_local"))
+        .withColumn("_tail", F.coalesce("_last_open", "_head"))
+        .withColumn("_before", F.last("_tail", ignorenulls=True).over(scan.before(keys)))
+        .select(scan.PART, *keys, F.coalesce("_head", "_before").alias("_carry")))
+    first = F.first("start").over(so_far)
     return (
-        local.join(starts, chunk, "left")
-        .withColumn("bundle_start", F.coalesce(settled, F.col("_carry")))
-        .drop("_local", "_first", "_carry", "_chunk")
-    )
+        scan.match(opened(stored).withColumn("_first", first), carries, [scan.PART, *keys], "left")
+        .withColumn("bundle_start", F.coalesce("_open", "_carry", "_first"))
+        .drop("_open", "_carry", "_first", scan.PART))
 
 
-def _bundle_hot_rows(
-    rows: DataFrame, gap_s: float, min_rows: int, chunk_s: int
-) -> DataFrame:
-    instants = rows.groupBy("athlete_id", "start").agg(F.max_by("end", "id").alias("end"))
-    placed = _place_instants(instants, gap_s, chunk_s).drop("end")
-    return skew.salted_join(
-        rows, placed, ["athlete_id", "start"], "inner", spread=["id"], min_rows=min_rows)
+def _beside_main(placed: DataFrame) -> DataFrame:
+    """Every row with ``main`` and ``n_rows`` of its bundle.
+
+    A bundle may be large, so its rows meet the summary in a join, which adaptive execution splits.
+    """
+    mains = placed.groupBy(*[F.col(c).alias(f"_{c}") for c in KEY]).agg(
+        _main_candidate().alias("main"), F.count("*").alias("n_rows"))
+    same = F.col("athlete_id").eqNullSafe(F.col("_athlete_id")) & (
+        F.col("bundle_start") == F.col("_bundle_start"))
+    return placed.join(mains, same).drop(*[f"_{c}" for c in KEY])
 
 
 def bundle_by_gap(
-    acts: DataFrame, gap_s: float = GAP_S, min_rows: int = skew.MIN_HOT_ROWS,
-    chunk_s: int = skew.CHUNK_SECONDS,
+    acts: DataFrame, gap_s: float = GAP_S, parts: int | None = None
 ) -> DataFrame:
     """Every activity with ``bundle_start``; together with the athlete it names the bundle."""
-    rows, hot = skew.split_hot(_prepare(acts), ["athlete_id"], min_rows)
-    placed = _place_rows(rows, gap_s)
-    if hot is None:
-        return placed
-    return placed.unionByName(_bundle_hot_rows(hot, gap_s, min_rows, chunk_s))
+    return _place(_prepare(acts), gap_s, parts)
 
 
-def mark_main(
-    acts: DataFrame, gap_s: float = GAP_S, min_rows: int = skew.MIN_HOT_ROWS,
-    chunk_s: int = skew.CHUNK_SECONDS,
-) -> DataFrame:
+def mark_main(acts: DataFrame, gap_s: float = GAP_S, parts: int | None = None) -> DataFrame:
     """Every activity with its bundle, ``role`` (main, warmup, cooldown, same_start) and
     ``is_orphan``."""
-    rows, hot = skew.split_hot(_prepare(acts), ["athlete_id"], min_rows)
-    bundle = W.partitionBy(*KEY)
-    marked = (
-        _place_rows(rows, gap_s)
-        .withColumn("main", _main_candidate().over(bundle))
-        .withColumn("n_rows", F.count("*").over(bundle))
-    )
-    if hot is not None:
-        placed = materialize(_bundle_hot_rows(hot, gap_s, min_rows, chunk_s), "bundled")
-        mains = placed.groupBy(*KEY).agg(
-            _main_candidate().alias("main"), F.count("*").alias("n_rows"))
-        marked = marked.unionByName(skew.salted_join(
-            placed, mains, KEY, "inner", spread=["id"], min_rows=min_rows))
+    marked = _beside_main(_place(_prepare(acts), gap_s, parts))
     start, main_start = F.col("start"), F.col("main.start")
     role = (
         F.when(F.col("id") == F.col("main.id"), "main")
@@ -161,84 +136,24 @@ def _is_orphan(n_rows: Column, name: Column) -> Column:
     return (n_rows == 1) & named
 
 
-def bundle_records(
-    acts: DataFrame, gap_s: float = GAP_S, min_rows: int = skew.MIN_HOT_ROWS,
-    chunk_s: int = skew.CHUNK_SECONDS,
-) -> DataFrame:
+def bundle_records(acts: DataFrame, gap_s: float = GAP_S, parts: int | None = None) -> DataFrame:
     """One row per bundle: ``main``, ``bundle_end``, ``n_rows``, ``elapsed_sum``, ``kj_sum``, and
     the mean heart rates before and after the main segment."""
-    rows, hot = skew.split_hot(_prepare(acts), ["athlete_id"], min_rows)
     kj = N.zero_to_null(F.col("kj"))
-    bundles = (
-        _place_rows(rows, gap_s)
-        .withColumn("main", _main_candidate().over(W.partitionBy(*KEY)))
-        .groupBy(*KEY)
-        .agg(
-            F.first("main").alias("main"),
-            F.max("end").alias("bundle_end"),
-            F.count("*").alias("n_rows"),
-            N.exact_sum(F.col("elapsed_s")).alias("elapsed_sum"),
-            N.exact_sum(kj).alias("kj_sum"),
-            *[N.round_half_even(N.exact_avg(F.when(side, F.col("hr"))), 1).alias(name)
-              for name, side in _sides().items()],
-        )
-    )
-    if hot is None:
-        return bundles
-    return bundles.unionByName(_hot_records(hot, gap_s, min_rows, chunk_s))
-
-
-def _sides() -> dict[str, Column]:
-    """Rows that start with the main segment are on neither side."""
-    return {
+    # Rows that start with the main segment are on neither side of it.
+    sides = {
         "warmup_hr": F.col("start") < F.col("main.start"),
         "cooldown_hr": F.col("start") > F.col("main.start"),
     }
-
-
-def _hot_records(rows: DataFrame, gap_s: float, min_rows: int, chunk_s: int) -> DataFrame:
-    """:func:`bundle_records` of hot athletes, on instants from start to end."""
-    hr = F.col("hr")
-    parts = {"elapsed": F.col("elapsed_s"), "kj": N.zero_to_null(F.col("kj")), "hr": hr}
-    sums = []
-    for name, value in parts.items():
-        sums += [part.alias(f"{name}_{limb}")
-                 for limb, part in N.sum_parts(N.exact_parts(value)).items()]
-    instants = rows.groupBy("athlete_id", "start").agg(
-        F.max_by("end", "id").alias("end"),
-        F.max("end").alias("latest_end"),
-        F.count("*").alias("n_rows"),
-        F.count(hr).alias("hr_n"),
-        _main_candidate().alias("main"),
-        *sums,
-    )
-    placed = materialize(_place_instants(instants, gap_s, chunk_s), "placed")
-
-    def total(name: str, side: Column | None = None) -> Column:
-        limbs = {limb: F.col(f"{name}_{limb}") for limb in N.LIMBS}
-        if side is not None:
-            limbs = {limb: F.when(side, part) for limb, part in limbs.items()}
-        return N.exact_total(N.sum_parts(limbs))
-
-    bundles = placed.groupBy(*KEY).agg(
+    return _beside_main(_place(_prepare(acts), gap_s, parts)).groupBy(*KEY).agg(
         F.min("main").alias("main"),
-        F.max("latest_end").alias("bundle_end"),
-        F.sum("n_rows").alias("n_rows"),
-        total("elapsed").alias("elapsed_sum"),
-        total("kj").alias("kj_sum"),
+        F.max("end").alias("bundle_end"),
+        F.count("*").alias("n_rows"),
+        N.exact_sum(F.col("elapsed_s")).alias("elapsed_sum"),
+        N.exact_sum(kj).alias("kj_sum"),
+        *[N.round_half_even(N.exact_avg(F.when(side, F.col("hr"))), 1).alias(name)
+          for name, side in sides.items()],
     )
-    beside = skew.salted_join(
-        placed.select(*KEY, "start", "hr_n", *[f"hr_{limb}" for limb in N.LIMBS]),
-        bundles.select(*KEY, "main"),
-        KEY, "inner", spread=["start"], min_rows=min_rows)
-
-    def mean_hr(side: Column) -> Column:
-        count = F.sum(F.when(side, F.col("hr_n")))
-        return N.round_half_even(F.try_divide(total("hr", side), count), 1)
-
-    around = beside.groupBy(*KEY).agg(*[
-        mean_hr(side).alias(name) for name, side in _sides().items()])
-    return bundles.join(around, KEY, "left")
 
 
 def summarize_bundles(bundles: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -47,25 +47,13 @@ MESSAGE = _struct(
     payload=S, msg_type=S, seq=L, file_id=FILE_ID, session=SESSION, record=RECORD,
 )
 
-_TPX_LAP = _struct(TotalPower=D, AverageCadence=D, MaximumCadence=D, AverageWatts=D, MaximumWatts=D)
-_TPX_POINT = _struct(Speed=D, Watts=D)
-_VALUE = _struct(Value=D)
-_TRACKPOINT = _struct(
-    Time=S, DistanceMeters=D, Cadence=D, HeartRateBpm=_VALUE, Extensions=_struct(TPX=_TPX_POINT),
-)
-_LAP = _struct(
-    _StartTime=S, TotalTimeSeconds=D, DistanceMeters=D, Calories=D,
-    AverageHeartRateBpm=_VALUE, MaximumHeartRateBpm=_VALUE, Extensions=_struct(TPX=_TPX_LAP),
-    Track=T.ArrayType(_struct(Trackpoint=T.ArrayType(_TRACKPOINT))),
-)
-TCX = _struct(
-    Activities=_struct(Activity=T.ArrayType(_struct(
-        _Sport=S, Id=S, Creator=_struct(Name=S), Lap=T.ArrayType(_LAP)))),
-    _corrupt_record=S,
+# One row per XML lap file (is_file) and one per sample of its first lap.
+LAP_ROW = _struct(
+    payload=S, is_file=B, error=S, sport=S, creator=S, start=S, total_time=D, calories=D,
+    average_hr=D, max_hr=D, total_power=D,
+    time=S, distance=D, cadence=D, hr=D, speed=D, watts=D,
 )
 
-XML_TEXT = _struct(xml=S, error=S)
-
 ACTIVITY_INDEX = ["Filename", "Activity Name", "Activity Type", "Activity Date", "Elapsed Time"]
 
 WEIGHT_STREAM = T.StructType([T.StructField("Data Points", T.ArrayType(_struct(
@@ -79,4 +67,11 @@ LIFE_EVENT = _struct(
     description=S, tags=T.ArrayType(S), related_event_ids=T.ArrayType(S),
 )
 
-OUTCOME = _struct(batch_id=S, entry=S, payload=S, status=S, reason=S)
+OUTCOME = _struct(
+    batch_id=S, entry=S, payload=S, status=S, reason=S, length=L, modified=TS,
+)
+# Stored rows also say which entry they come from, and when it was changed last.
+ORIGIN = ("entry", "modified")
+STORED_ACTIVITY = T.StructType([*ACTIVITY, T.StructField("entry", S), T.StructField("modified", TS)])
+STORED_POINT = T.StructType(
+    [*TRACK_POINT, T.StructField("entry", S), T.StructField("modified", TS)])

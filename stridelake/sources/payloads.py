@@ -8,21 +8,14 @@ gathered into one array or one task.
 
 from __future__ import annotations
 
-import gzip
-import zlib
 from typing import NamedTuple
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stridelake import schemas
 from stridelake.functions import numeric as N, text as X, times
-from stridelake.session import fresh_path, materialize
-from stridelake.sources.listing import hidden, relative_path
-
-NO_ACTIVITY = "no activity element found"
-NO_LAP = "no lap element found"
-MALFORMED = "malformed XML"
+from stridelake.session import materialize
+from stridelake.sources import lapfiles
 
 
 class RawPayloads(NamedTuple):
@@ -30,130 +23,48 @@ class RawPayloads(NamedTuple):
     records: DataFrame
 
 
-@F.pandas_udf(schemas.XML_TEXT)
-def _gunzip(content: pd.Series) -> pd.DataFrame:
-    rows = []
-    for blob in content:
-        try:
-            rows.append((gzip.decompress(blob).decode("utf-8"), None))
-        except (OSError, EOFError, zlib.error, UnicodeDecodeError, TypeError) as problem:
-            rows.append((None, str(problem)))
-    return pd.DataFrame(rows, columns=["xml", "error"])
-
-
-def read_payload_files(
-    spark: SparkSession, root: str, glob: str, only: list[str] | None = None
-) -> DataFrame:
-    """``payload`` (path below ``root``) and ``content`` of the files that match ``glob``.
+class LapFiles(NamedTuple):
+    """XML lap files and their samples, both read back from one stored table."""
 
-    ``only`` names the payloads to read; without it all files of the folder are read.
-    """
-    if only is not None and not only:
-        return spark.createDataFrame([], "payload string, content binary")
-    paths = root if only is None else [f"{root.rstrip('/')}/{name}" for name in only]
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True).load(paths)
-        .select(relative_path(spark, root).alias("payload"), "content")
-        .where(~hidden(F.col("payload")))
-    )
-
-
-def read_hidden_files(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
-    """``payload`` and ``content`` of files below ``root`` that a Spark scan hides.
-
-    They are copied to the shared folder under other names, which it shows.
-    """
-    if not names:
-        return spark.createDataFrame([], "payload string, content binary")
-    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
-    folder = fresh_path(spark, "hidden")
-    target = hadoop.Path(folder).getFileSystem(conf)
-    for nth, name in enumerate(names):
-        source = hadoop.Path(f"{root.rstrip('/')}/{name}")
-        hadoop.FileUtil.copy(
-            source.getFileSystem(conf), source, target, hadoop.Path(f"{folder}/{nth}"), False, conf)
-    known = spark.createDataFrame(
-        [(str(nth), name) for nth, name in enumerate(names)], "copy string, payload string")
-    return (
-        spark.read.format("binaryFile").load(folder)
-        .select(F.substring_index("path", "/", -1).alias("copy"), "content")
-        .join(known, "copy").select("payload", "content")
-    )
+    files: DataFrame
+    points: DataFrame
 
 
-def decode_xml(files: DataFrame) -> DataFrame:
-    """``payload``, ``xml``, ``error`` from ``payload`` and ``content``.
+def _stored(rows: DataFrame) -> LapFiles:
+    # Parsing is the expensive step and both outputs need it, so its result is written once; a
+    # filter on it can then not repeat the parse.
+    kept = materialize(rows, "laps")
+    return LapFiles(kept.where("is_file").drop("is_file"), kept.where("NOT is_file"))
 
-    A payload that is no valid gzip stream becomes a row with an error; the text source would
-    fail the whole job on it. The suffix test is case-sensitive, as in the id rule.
-    """
-    zipped = F.col("payload").endswith(".gz")
-    unzipped = (
-        files.where(zipped)
-        .withColumn("text", _gunzip("content"))
-        .select("payload", F.col("text.xml").alias("xml"), F.col("text.error").alias("error"))
-    )
-    plain = files.where(~zipped).select(
-        "payload",
-        F.try_validate_utf8(F.col("content").cast("string")).alias("xml"),
-        F.lit(None).cast("string").alias("error"),
-    )
-    return unzipped.unionByName(plain)
 
+def parse_tcx(files: DataFrame) -> LapFiles:
+    """Parse XML lap files given as ``payload`` and ``content``; a broken one has an ``error`` and
+    no samples. Only the first activity and its first lap count."""
+    return _stored(lapfiles.parse_contents(files))
 
-def parse_tcx(files: DataFrame) -> DataFrame:
-    """Parse XML lap files to ``payload``, ``sport``, ``creator``, ``start``, ``lap``, ``error``.
 
-    Blanks and a byte order mark before the declaration are dropped. Only the first activity and its first lap count.
-    Parsing is the expensive step and several outputs need it, so its result is written once to
-    the shared folder; a filter on it can then not repeat the parse.
-    """
-    text = F.regexp_replace(F.col("xml"), r"\A[\s\x{FEFF}]+", "")
-    parsed = decode_xml(files).withColumn("doc", F.from_xml(text, schemas.TCX.simpleString()))
-    first = F.try_element_at(F.col("doc.Activities.Activity"), F.lit(1))
-    lap = F.try_element_at(F.col("activity.Lap"), F.lit(1))
-    broken = F.col("doc").isNull() | F.col("doc._corrupt_record").isNotNull()
-    started = F.coalesce(F.nullif(F.col("lap._StartTime"), F.lit("")), F.col("activity.Id"))
-    laps = (
-        parsed.withColumn("activity", first).withColumn("lap", lap)
-        .select(
-            "payload",
-            F.col("activity._Sport").alias("sport"),
-            F.col("activity.Creator.Name").alias("creator"),
-            F.trim(started).alias("start"),
-            "lap",
-            F.when(F.col("error").isNotNull(), F.col("error"))
-            .when(broken, F.lit(MALFORMED))
-            .when(F.col("activity").isNull(), F.lit(NO_ACTIVITY))
-            .when(F.col("lap").isNull(), F.lit(NO_LAP)).alias("error"),
-        )
-    )
-    return materialize(laps, "laps")
+def read_tcx(payloads: DataFrame, root: str) -> LapFiles:
+    """:func:`parse_tcx` of the files below ``root`` that the column ``payload`` names."""
+    return _stored(lapfiles.parse_stored(payloads, root))
 
 
-def tcx_points(parsed: DataFrame) -> DataFrame:
-    """One row per sample of the parsed files, in the common record shape.
+def tcx_points(points: DataFrame) -> DataFrame:
+    """One row per sample, in the common record shape.
 
     Heart rate 0 means that no strap was worn and becomes null; cadence 0 is coasting and stays.
     """
-    points = (
-        parsed.where(F.col("error").isNull())
-        .select("payload", F.explode("lap.Track").alias("track"))
-        .select("payload", F.explode("track.Trackpoint").alias("p"))
-    )
     record = _shape(schemas.RECORD, {
-        "timestamp": times.parse_iso_utc(F.col("p.Time")),
-        "heart_rate": N.round_to_int(N.zero_to_null(F.col("p.HeartRateBpm.Value"))),
-        "cadence": N.round_to_int(F.col("p.Cadence")),
-        "speed": F.col("p.Extensions.TPX.Speed"),
-        "distance": F.col("p.DistanceMeters"),
-        "power": F.col("p.Extensions.TPX.Watts"),
+        "timestamp": times.parse_iso_utc(F.col("time")),
+        "heart_rate": N.round_to_int(N.zero_to_null(F.col("hr"))),
+        "cadence": N.round_to_int(F.col("cadence")),
+        "speed": F.col("speed"),
+        "distance": F.col("distance"),
+        "power": F.col("watts"),
     })
     return points.select("payload", record.alias("record"))
 
 
-def tcx_to_raw(parsed: DataFrame) -> RawPayloads:
+def tcx_to_raw(parsed: LapFiles) -> RawPayloads:
     """Bring parsed XML lap files into the common raw shape.
 
     Moving time and distance are not carried over; total power is in joules. An XML file never
@@ -168,17 +79,17 @@ def tcx_to_raw(parsed: DataFrame) -> RawPayloads:
         "sport": F.col("sport"),
         "sub_sport": F.col("sport"),
         "start_time": times.parse_iso_utc(F.col("start")),
-        "total_elapsed_time": F.col("lap.TotalTimeSeconds"),
-        "total_calories": F.col("lap.Calories"),
-        "avg_heart_rate": N.zero_to_null(F.col("lap.AverageHeartRateBpm.Value")),
-        "max_heart_rate": N.zero_to_null(F.col("lap.MaximumHeartRateBpm.Value")),
-        "total_work": N.j_to_kj(F.col("lap.Extensions.TPX.TotalPower")),
+        "total_elapsed_time": F.col("total_time"),
+        "total_calories": F.col("calories"),
+        "avg_heart_rate": N.zero_to_null(F.col("average_hr")),
+        "max_heart_rate": N.zero_to_null(F.col("max_hr")),
+        "total_work": N.j_to_kj(F.col("total_power")),
     })
-    files = parsed.select(
+    files = parsed.files.select(
         "payload", file_id.alias("file_id"), session.alias("session"),
         F.lit(False).alias("has_position"), "error",
     )
-    return RawPayloads(files, tcx_points(parsed))
+    return RawPayloads(files, tcx_points(parsed.points))
 
 
 def collapse_messages(messages: DataFrame) -> RawPayloads:

@@ -1,3 +1,4 @@
+import math
 import random
 
 import duckdb
@@ -128,6 +129,44 @@ def test_exact_sum_of_tiny_and_huge_values(spark, numbers, expected):
     assert df.agg(N.exact_sum(F.col("x"))).first()[0] == pytest.approx(expected, rel=1e-15)
 
 
+def test_exact_sums_of_any_sign_are_exact(spark):
+    rng = random.Random(6)
+    numbers = [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-6, 14)
+               for _ in range(5000)] + [-1.0, -0.5, 0.25, -(2.0 ** 59), 2.0 ** 59, -0.0]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double").repartition(7)
+    got = df.agg(N.exact_sum(F.col("x"))).first()[0]
+    assert got == pytest.approx(math.fsum(numbers), rel=1e-15)
+    assert got == df.coalesce(1).agg(N.exact_sum(F.col("x"))).first()[0]
+
+
+def test_parts_keep_the_sign(spark):
+    df = spark.createDataFrame([(-1.0,), (-0.75,), (2.0 ** 41 + 3.5,)], "x double")
+    parts = [tuple(r) for r in df.select(*[
+        part.alias(name) for name, part in N.exact_parts(F.col("x")).items()]).collect()]
+    assert parts == [(0, 0, -1, 0, 0.0), (0, 0, 0, -(3 << 18), 0.0), (2, 0, 3, 1 << 19, 0.0)]
+
+
+@pytest.mark.parametrize("rows", [2 * 10 ** 10, 8 * 10 ** 12])
+@pytest.mark.parametrize("value", [-1e-9 - 1.0, 0.999999999, 123456.789, -(2.0 ** 59)])
+def test_sums_of_very_many_rows_do_not_overflow(spark, rows, value):
+    """Each row here stands for the sums of ``rows`` rows; a hundred of them are added up."""
+    parts = {name: part * F.lit(rows).cast("double" if name == "fine" else "long")
+             for name, part in N.exact_parts(F.lit(value)).items()}
+    partial = spark.range(100).select(*[part.alias(name) for name, part in parts.items()])
+    got = partial.agg(N.exact_total(N.sum_sums(
+        {name: F.col(name) for name in N.LIMBS}))).first()[0]
+    assert got == pytest.approx(100 * rows * value, rel=1e-15)
+
+
+def test_partial_sums_near_the_largest_long(spark):
+    huge = 2 ** 62 + 12345
+    df = spark.range(5).select(*[F.lit(huge).alias(n) for n in N.LIMBS[:-1]],
+                               F.lit(0.25).alias("fine"))
+    got = df.agg(N.exact_total(N.sum_sums({n: F.col(n) for n in N.LIMBS}))).first()[0]
+    exact = 5 * (huge * 2 ** 40 + huge * 2 ** 20 + huge + huge / 2 ** 20) + 1.25
+    assert got == pytest.approx(exact, rel=1e-15)
+
+
 @pytest.mark.parametrize("numbers", [[float("nan"), 1.0], [float("inf"), float("-inf")]])
 def test_exact_sum_without_a_value(spark, numbers):
     df = spark.createDataFrame([(x,) for x in numbers], "x double")

@@ -1,7 +1,9 @@
 """Sources, normalisation, the resumable batch and the file stream on synthetic folders."""
 
 import gzip
+import io
 import json
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from stridelake import schemas
 from stridelake.operators import normalize, quality
 from stridelake.sinks import tables
-from stridelake.sources import files, listing, payloads
+from stridelake.sources import files, lapfiles, listing, payloads
 from stridelake.streaming import ingest
 from tests.helpers import activities, activity, records, utc
 
@@ -45,11 +47,11 @@ def test_xml_variants(spark):
             ' StartTime="2026-06-01T10:00:00Z"', "")),
         no_activity__tcx="<TrainingCenterDatabase><Activities/></TrainingCenterDatabase>",
         bad_number__tcx=xml(LAP.replace("600.0", "abc")), empty__tcx="")
-    rows = {r.payload: r for r in parsed.collect()}
+    rows = {r.payload: r for r in parsed.files.collect()}
     good = {"plain.tcx", "blanks.tcx", "mark.tcx", "zipped.tcx.gz", "no_start.tcx"}
     assert {k for k, r in rows.items() if r.error is None} == good
-    assert rows["no_lap.tcx"].error == payloads.NO_LAP
-    assert rows["no_activity.tcx"].error == payloads.NO_ACTIVITY
+    assert rows["no_lap.tcx"].error == lapfiles.NO_LAP
+    assert rows["no_activity.tcx"].error == lapfiles.NO_ACTIVITY
     assert rows["no_start.tcx"].start == "2026-06-01T09:59:00Z"
     assert "gzip" in rows["broken.tcx.gz"].error.lower()
     raw = payloads.tcx_to_raw(parsed)
@@ -191,29 +193,6 @@ def test_triage(spark):
         "empty": (None, "skipped"), "f": ("f/a/b.TCX", "parse"), "g": (None, "skipped")}
 
 
-def test_replacing_by_key(spark, tmp_path):
-    path = str(tmp_path / "acts")
-
-    def put(*rows):
-        tables.replace_by_key(activities(spark, *rows), path, "id", tables.activity_partitions())
-
-    def stored():
-        df = files.read_activity_table(spark, path)
-        return sorted((r.id, r.name, r.start_time.year) for r in df.collect())
-
-    put(activity(1, "2025-01-01", name="a"), activity(2, "2025-01-01", name="b"),
-        activity(3, "2026-01-01", name="c"))
-    before = {p for p in (tmp_path / "acts").rglob("*.parquet")}
-    put(activity(4, "2025-05-01", name="d"))                       # new: nothing is rewritten
-    assert before < {p for p in (tmp_path / "acts").rglob("*.parquet")}
-    put(activity(3, "2025-01-01", name="moved"), activity(5, "2024-01-01", name="e"))
-    expected = [("1", "a", 2025), ("2", "b", 2025), ("3", "moved", 2025), ("4", "d", 2025),
-                ("5", "e", 2024)]
-    assert stored() == expected
-    put(activity(3, "2025-01-01", name="moved"), activity(5, "2024-01-01", name="e"))
-    assert stored() == expected
-
-
 @pytest.fixture
 def store(spark, tmp_path):
     folder = tmp_path / "in"
@@ -240,7 +219,7 @@ def store(spark, tmp_path):
 
 
 def stored_names(spark, store):
-    return {r.id: r.name for r in files.read_activity_table(spark, store.activities).collect()}
+    return {r.id: r.name for r in ingest.read_activities(spark, store).collect()}
 
 
 def test_batch_isolates_bad_entries_and_resumes(spark, store):
@@ -248,7 +227,7 @@ def test_batch_isolates_bad_entries_and_resumes(spark, store):
     assert summary.asDict() == dict(
         batch_id="first", attempted=5, succeeded=2, failed=1, skipped=2)
     assert stored_names(spark, store) == {"100": None, "102": "Evening class"}
-    assert files.read_tracks(spark, store.tracks).count() == 3
+    assert ingest.read_tracks(spark, store).count() == 3
     bad = quality.quarantine(ingest.read_ledger(spark, store.ledger))
     assert {(r.entry, r.status) for r in bad.collect()} == {
         ("101.fit.gz", "failed"), ("103.gpx", "skipped"), ("Processed", "skipped")}
@@ -267,9 +246,9 @@ def test_two_entries_with_one_id(spark, store, tmp_path):
     (tmp_path / "in" / "100.tcx").write_text(xml())
     summary = ingest.run_batch(spark, store, batch_id="both").first()
     assert summary.succeeded == 3
-    kept = files.read_activity_table(spark, store.activities).where("id = '100'").collect()
+    kept = ingest.read_activities(spark, store).where("id = '100'").collect()
     assert [r.raw_file_reference for r in kept] == ["100.tcx"]
-    points = files.read_tracks(spark, store.tracks).where("activity_id = '100'").collect()
+    points = ingest.read_tracks(spark, store).where("activity_id = '100'").collect()
     assert sorted(p.cadence for p in points) == [0, 88]
 
 
@@ -282,10 +261,10 @@ def test_batch_size_and_missing_index(spark, store, tmp_path):
 
 def test_repeated_batch_changes_nothing(spark, store):
     ingest.run_batch(spark, store, batch_id="one")
-    tracks = files.read_tracks(spark, store.tracks).count()
+    tracks = ingest.read_tracks(spark, store).count()
     fresh = ingest.Store(**{**vars(store), "ledger": store.ledger + "_lost"})
     ingest.run_batch(spark, fresh, batch_id="one")
-    assert files.read_tracks(spark, store.tracks).count() == tracks
+    assert ingest.read_tracks(spark, store).count() == tracks
     assert len(stored_names(spark, store)) == 2
 
 
@@ -318,10 +297,151 @@ def test_paths_are_cut_at_the_first_root(spark, tmp_path):
     inner = root / "x" / str(root).lstrip("/")
     inner.mkdir(parents=True)
     (inner / "y.tcx").write_text(xml())
-    want = [f"x{root}/y.tcx"]
-    assert [r.path for r in listing.list_files(spark, str(root)).collect()] == want
-    read = payloads.read_payload_files(spark, str(root), ingest.XML_GLOB)
-    assert [r.payload for r in read.collect()] == want
+    (root / "hollow").mkdir()
+    found = {r.path: r.length for r in listing.list_tree(spark, str(root)).collect()}
+    want = f"x{root}/y.tcx"
+    assert found[want] == len(xml()) and found["hollow/"] is None and found["x/"] is None
+    assert set(found) == {want, "hollow/"} | {
+        "/".join(want.split("/")[:n]) + "/" for n in range(1, want.count("/") + 1)}
+    names = spark.createDataFrame([(want,)], "payload string")
+    read = payloads.read_tcx(names, f"file://{root}")
+    assert [(r.payload, r.error) for r in read.files.collect()] == [(want, None)]
+    assert read.points.count() == 2
+
+
+def test_files_are_opened_by_their_exact_names(spark, tmp_path):
+    names = ["ride[1].tcx", "a b*.tcx", "{x,y}.tcx", "%41?#.tcx", "ü\n.tcx", "gone.tcx"]
+    for name in names[:-1]:
+        (tmp_path / name).write_text(xml())
+    read = payloads.read_tcx(
+        spark.createDataFrame([(n,) for n in names], "payload string"), str(tmp_path))
+    errors = {r.payload: r.error for r in read.files.collect()}
+    assert set(errors) == set(names)
+    assert {n for n, e in errors.items() if e} == {"gone.tcx"}
+    assert "could not be read" in errors["gone.tcx"]
+
+
+def points(n):
+    return "".join(f"<Trackpoint><Time>2026-06-01T10:00:00Z</Time><Cadence>{i % 200}</Cadence>"
+                   "</Trackpoint>" for i in range(n))
+
+
+def lap_of(n, end="</TrainingCenterDatabase>"):
+    return ("<TrainingCenterDatabase><Activities><Activity Sport='Biking'><Id>x</Id>"
+            f"<Lap StartTime='2026-06-01T10:00:00Z'><Track>{points(n)}</Track></Lap></Activity>"
+            f"</Activities>{end}")
+
+
+@pytest.mark.parametrize("held", [1, 7, 20_000])
+def test_long_files_leave_in_batches_and_broken_ones_leave_nothing(spark, monkeypatch, held):
+    monkeypatch.setattr(lapfiles, "HELD", held)
+    monkeypatch.setattr(lapfiles, "PIECE", 501)
+    whole, cut, zipped = lap_of(40).encode(), lap_of(40, "").encode(), gzip.compress(
+        lap_of(30).encode())
+    given = {"whole.tcx": whole, "cut.tcx": cut, "z.tcx.gz": zipped, "half.tcx.gz": zipped[:-9],
+             "two.tcx.gz": gzip.compress(whole[:99]) + gzip.compress(whole[99:])}
+
+    def opened():
+        for name, data in given.items():
+            yield name, lambda data=data: io.BytesIO(data)
+
+    batches = list(lapfiles.rows(opened()))
+    assert all(b.num_rows <= held + 20 for b in batches)
+    rows = [r for b in batches for r in b.to_pylist()]
+    errors = {r["payload"]: r["error"] for r in rows if r["is_file"]}
+    assert errors == {"whole.tcx": None, "cut.tcx": lapfiles.MALFORMED, "z.tcx.gz": None,
+                      "half.tcx.gz": "gzip stream ends early", "two.tcx.gz": None}
+    found = {}
+    for r in rows:
+        if not r["is_file"]:
+            found.setdefault(r["payload"], []).append(r["cadence"])
+    assert found == {"whole.tcx": list(range(40)), "z.tcx.gz": list(range(30)),
+                     "two.tcx.gz": list(range(40))}
+
+
+def test_memory_does_not_grow_with_a_file():
+    class Endless:
+        """A file of a given number of samples that is made while it is read."""
+
+        def __init__(self, n):
+            head, _, tail = lap_of(1).partition(points(1))
+            self.left, self.next = n, [head.encode()]
+            self.tail, self.piece = tail.encode(), points(1).encode() * 1000
+
+        def read(self, size):
+            if self.next:
+                return self.next.pop()
+            if self.left > 0:
+                self.left -= 1000
+                return self.piece
+            tail, self.tail = self.tail, b""
+            return tail
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            return False
+
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in lapfiles.rows(iter([("e.tcx", lambda: Endless(400_000))])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 400_001 and peak < 60e6
+
+
+def test_over_long_files_are_rows_with_a_reason(monkeypatch):
+    monkeypatch.setattr(lapfiles, "LONGEST_FILE", 10_000)
+    bomb = gzip.compress(b" " * 10_000_000)
+    rows = [r for b in lapfiles.rows(iter([("b.tcx.gz", lambda: io.BytesIO(bomb))]))
+            for r in b.to_pylist()]
+    assert [(r["payload"], r["error"]) for r in rows] == [("b.tcx.gz", "payload is too long")]
+
+
+def test_an_empty_folder_that_is_filled_later_is_ingested(spark, store, tmp_path):
+    ingest.run_batch(spark, store, batch_id="one")
+    (tmp_path / "in" / "Processed" / "9.tcx").write_text(xml())
+    (tmp_path / "in" / "103.gpx").write_text("changed, but never a payload")
+    summary = ingest.run_batch(spark, store, batch_id="two").first()
+    assert (summary.attempted, summary.succeeded, summary.failed, summary.skipped) == (2, 1, 1, 0)
+    assert set(stored_names(spark, store)) == {"100", "102", "Processed"}
+
+
+def test_a_changed_payload_is_read_again(spark, store, tmp_path):
+    ingest.run_batch(spark, store, batch_id="one")
+    late = xml().replace("2026-06-01T10:00:00Z", "2026-06-03T10:00:00Z")
+    (tmp_path / "in" / "102.tcx.gz").write_bytes(gzip.compress(late.encode()))
+    summary = ingest.run_batch(spark, store, batch_id="two").first()
+    assert (summary.attempted, summary.succeeded) == (2, 1)  # with the one that failed
+    starts = {r.id: r.start_time.day for r in ingest.read_activities(spark, store).collect()}
+    assert starts == {"100": 2, "102": 3}
+    days = {(r.activity_id, r.timestamp.day) for r in ingest.read_tracks(spark, store).collect()}
+    assert days == {("100", 2), ("102", 3), ("102", 1)}  # its second sample kept its time
+
+
+@pytest.mark.parametrize("how", ["one", "many", "batch", "batches"])
+def test_batch_borders_choose_no_winner(spark, store, tmp_path, how):
+    for name, creator in (("7.tcx.gz", "last by name"), ("7.tcx", "first by name"),
+                          ("8/b.tcx", "second in folder"), ("8/a.tcx", "first in folder"),
+                          ("8.tcx.gz", "file beside the folder")):
+        path = tmp_path / "in" / name
+        path.parent.mkdir(exist_ok=True)
+        data = xml(creator=creator).encode()
+        path.write_bytes(gzip.compress(data) if name.endswith("gz") else data)
+    if how in ("one", "many"):
+        ingest.run_available_now(spark, store, max_files=1 if how == "one" else 100)
+    elif how == "batch":
+        ingest.run_batch(spark, store, batch_id="all")
+    else:
+        for n in range(9):
+            ingest.run_batch(spark, store, batch_size=2 + n, batch_id=f"b{n}")
+    got = {r.id: (r.raw_file_reference, r.original_source)
+           for r in ingest.read_activities(spark, store).collect()}
+    assert got == {
+        "100": ("100.fit.gz", "garmin"), "102": ("102.tcx.gz", "peloton"),
+        "7": ("7.tcx.gz", "last by name"), "8": ("8.tcx.gz", "file beside the folder")}
+    counts = ingest.read_tracks(spark, store).groupBy("activity_id").count().collect()
+    assert {r.activity_id: r["count"] for r in counts} == {"100": 1, "102": 2, "7": 2, "8": 2}
 
 
 def test_an_activity_that_comes_back_without_samples_loses_its_track(spark, store, tmp_path):
@@ -330,5 +450,5 @@ def test_an_activity_that_comes_back_without_samples_loses_its_track(spark, stor
     bare = xml('<Lap StartTime="2026-06-01T10:00:00Z"><TotalTimeSeconds>5</TotalTimeSeconds></Lap>')
     (tmp_path / "in" / "102.tcx.gz").write_bytes(gzip.compress(bare.encode()))
     ingest.run_batch(spark, second, batch_id="two")
-    points = files.read_tracks(spark, store.tracks).collect()
+    points = ingest.read_tracks(spark, store).collect()
     assert {p.activity_id for p in points} == {"100"}

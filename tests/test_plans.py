@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from checks import adapters, registry
 from stridelake import schemas
-from stridelake.operators import normalize, rollups, sessions
+from stridelake.operators import rollups, sessions
 from stridelake.sources import files
+from stridelake.plans import reports
 from stridelake.sinks import tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -54,11 +55,26 @@ def test_tracks_are_reduced_before_they_meet_the_activities(stored):
     assert sum("HashAggregate" in line for line in below) >= 2
 
 
-def test_bundles_take_one_shuffle(spark):
+def test_bundles_shuffle_once_within_stored_ranges(spark):
+    """After the ranges are stored, the rows move once to their segments; carries are broadcast."""
     rides = adapters.activities(spark, SF_DIR)
-    for df in (sessions.bundle_by_gap(rides), sessions.mark_main(rides),
-               sessions.bundle_records(rides)):
-        assert len(re.findall(r"Exchange ", plan(df))) == 1
+    text = plan(sessions.bundle_by_gap(rides, parts=4))
+    assert "rangepartitioning" not in text and "CartesianProduct" not in text
+    moved = re.findall(r"Exchange hashpartitioning\(_part#\d+, athlete_id#\d+L?,.*", text)
+    assert moved and "SortMergeJoin" not in text
+
+
+def test_a_report_bundle_reads_the_activities_once(stored, spark):
+    acts, tracks = stored
+    strength = adapters.strength(spark, SF_DIR)
+    sections = reports.dashboard(acts, tracks, strength, "1999-06-01")
+    folder = acts.inputFiles()[0].rsplit("/part_class", 1)[0]
+    for name, section in sections.items():
+        assert name == "cadence_speed_by_year" or not any(
+            f.startswith(folder) for f in section.inputFiles()), name
+    report = reports.training_report(acts, strength, "1999-06-01")
+    for name in ("weeks", "weekly", "monthly", "headline"):
+        assert not any(f.startswith(folder) for f in report[name].inputFiles()), name
 
 
 def test_summaries_need_no_global_window_or_cross_join(spark):
@@ -76,7 +92,8 @@ def test_summaries_need_no_global_window_or_cross_join(spark):
 
 def test_calendar_bounds_read_the_start_time_only(stored):
     acts, _ = stored
-    for df in (rollups.class_by_year(acts), rollups.trailing_months(acts)):
+    for df in (rollups.class_by_year(acts), rollups.trailing_months(acts),
+               rollups.by_local_hour(acts)):
         scans = re.findall(r"ReadSchema: (\S+)", plan(df))
         assert all("elapsed" not in s and "metrics" not in s for s in scans)
 

@@ -21,7 +21,7 @@ def test_weight_rules(spark):
     ], WEIGHT)
     got = {(r.entry, r.label, r.message) for r in quality.validate_weight(df).collect()}
     assert got == {
-        (1, "a", "duplicate id (also used by entry #0)"),
+        (1, "a", "id is taken already by entry #0"),
         (2, "b", "weight_kg is outside 30 to 250"),
         (4, "d", "weight_lb does not match weight_kg"),
         (5, "a", "original_source is required"),
@@ -29,7 +29,7 @@ def test_weight_rules(spark):
     }
     report = {r.kind: r.n for r in quality.violations_report(
         quality.validate_weight(df)).collect()}
-    assert report["duplicate id (also used by entry #"] == 1
+    assert report["id is taken already by entry #"] == 1
 
 
 def test_life_event_rules(spark, tmp_path):
@@ -49,7 +49,7 @@ def test_life_event_rules(spark, tmp_path):
     got = {(r.label, r.message) for r in quality.validate_life_events(df).collect()}
     assert got == {
         ("a", "references unknown id gone"),
-        ("a", "duplicate id (also used by entry #0)"),
+        ("a", "id is taken already by entry #0"),
         ("b", "date_end is before date"),
         ("c", "category is unknown"),
         ("c", "references unknown id c"),        # malformed events do not count as existing

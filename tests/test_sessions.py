@@ -49,12 +49,13 @@ def test_gap_is_inclusive_and_measured_from_the_previous_row(spark):
         "a": 0, "b": 0, "c": 1401, "d": 1401, "e": 2200, "f": 2200}
 
 
-# A threshold of one row makes every athlete and bundle hot, and short chunks cut them to pieces.
-@pytest.mark.parametrize("min_rows,chunk_s", [(10 ** 6, 60), (1, 60), (1, 3600), (15, 7200)])
-def test_bundles_and_roles_match_the_model(spark, min_rows, chunk_s):
-    rides = random_rides(min_rows + chunk_s)
+# Many ranges cut every athlete to pieces.
+@pytest.mark.parametrize("parts,athletes", [(1, 40), (7, 40), (60, 40), (300, 40), (13, 2)])
+def test_bundles_and_roles_match_the_model(spark, parts, athletes):
+    rides = random_rides(parts, athletes)
+    rides = [(None if a == 1 else a, *rest) for a, *rest in rides]
     df = as_activities(spark, rides)
-    marked = sessions.mark_main(df, 600, min_rows, chunk_s).collect()
+    marked = sessions.mark_main(df, 600, parts).collect()
     expected, roles = models.bundles(rides, 600), models.roles(rides, 600)
     assert len(marked) == len(rides)
     assert {r.id: r.bundle_start.replace(tzinfo=T0.tzinfo) for r in marked} == expected
@@ -63,19 +64,19 @@ def test_bundles_and_roles_match_the_model(spark, min_rows, chunk_s):
 
 def test_one_athlete_with_all_rows(spark):
     rides = random_rides(3, athletes=1, rows=1500)
-    starts = sessions.bundle_by_gap(as_activities(spark, rides), 600, 100, 60).collect()
+    starts = sessions.bundle_by_gap(as_activities(spark, rides), 600, 50).collect()
     assert {r.id: r.bundle_start.replace(tzinfo=T0.tzinfo) for r in starts} == models.bundles(
         rides, 600)
 
 
-@pytest.mark.parametrize("min_rows", [10 ** 6, 1])
-def test_summary_is_the_same_with_and_without_hot_keys(spark, min_rows):
+@pytest.mark.parametrize("parts", [3, 90])
+def test_summary_does_not_depend_on_the_ranges(spark, parts):
     df = as_activities(spark, random_rides(11)).withColumn(
         "average_heart_rate", (F.col("elapsed_time_s") % 70) + 90.5)
     columns = ["athlete_id", "bundle_start", "main.id", "bundle_end", "n_rows", "elapsed_sum",
                "warmup_hr", "cooldown_hr"]
-    got = sessions.bundle_records(df, 600, min_rows, 60).select(*columns)
-    reference = sessions.bundle_records(df.coalesce(1), 600, 10 ** 9).select(*columns)
+    got = sessions.bundle_records(df, 600, parts).select(*columns)
+    reference = sessions.bundle_records(df.coalesce(1), 600, 1).select(*columns)
     assert got.exceptAll(reference).isEmpty() and reference.exceptAll(got).isEmpty()
 
 
@@ -159,8 +160,8 @@ def test_tolerance_waiver_and_back_reference(spark):
         "early": "None", "late": "2026-06-03", "night": "2026-06-05"}
 
 
-@pytest.mark.parametrize("min_rows,chunk_s", [(10 ** 6, 60), (1, 60), (3, 3600)])
-def test_asof_matches_the_model(spark, min_rows, chunk_s):
+@pytest.mark.parametrize("parts", [1, 5, 200])
+def test_asof_matches_the_model(spark, parts):
     rng = random.Random(5)
     moment = lambda: at(120 * rng.randrange(0, 3000))
     lefts = [(i, rng.randrange(5), moment(), rng.random() < 0.3) for i in range(600)]
@@ -168,7 +169,6 @@ def test_asof_matches_the_model(spark, min_rows, chunk_s):
     left = spark.createDataFrame(lefts, "l int, key int, ts timestamp, waived boolean")
     right = spark.createDataFrame(rights, "r int, key int, ended timestamp")
     got = asof.asof_same_day(
-        left, right, ["key"], "ts", "ended", ["r"], ["r"], ["l"], 1200, F.col("waived"),
-        min_rows, chunk_s)
+        left, right, ["key"], "ts", "ended", ["r"], ["r"], 1200, F.col("waived"), parts)
     found = {r.l: r.match and r.match.r for r in got.collect()}
     assert found == models.asof(lefts, rights, 1200)
