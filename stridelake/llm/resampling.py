@@ -9,7 +9,8 @@ Few words and pairs make up most of all features. A first pass over all texts fi
 state of each frequent word and the bucket of each frequent pair are computed once and broadcast, as
 two tables of fixed size. A pair outside the head takes the state of its first word and adds the
 second; a word outside the head takes its CRC directly. Both are exact, so the totals by bucket are,
-and the head decides nothing but speed.
+and the head decides nothing but speed. The buckets of all features are stored once, for the totals
+and for the weights that follow from them.
 """
 
 from __future__ import annotations
@@ -22,10 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from stridelake.llm.common import map_batches
-from stridelake.session import materialize
+from stridelake.llm.common import lists, map_batches
+from stridelake.session import discard, materialize
 
 BUCKETS = 10_000
 HEAD_WORDS, HEAD_PAIRS = 20_000, 60_000  # entries broadcast
@@ -35,6 +39,7 @@ PERCENT = 25
 MIN_WORDS = 20
 SEED = "7"
 SLICE = 1 << 20  # bytes of a text that are split into words at a time
+HELD = 1 << 20  # features handed on at a time
 
 # Digits, letters and all bytes beyond ASCII make words, A-Z count as lower case.
 _WORD_BYTES = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
@@ -57,43 +62,28 @@ def words_of(text: bytes) -> Iterator[list[bytes]]:
         begin = end
 
 
-class Words(dict):
-    """CRC states of words: those of the head are held, others are computed."""
-
-    def __missing__(self, word: bytes) -> int:
-        return zlib.crc32(word)
-
-
-class Pairs(dict):
-    """Buckets of pairs of words: those of the head are held, others follow from the states."""
-
-    def __init__(self, words: Words, buckets: int) -> None:
-        self.words, self.buckets = words, buckets
-
-    def __missing__(self, pair: tuple[bytes, bytes]) -> int:
-        return zlib.crc32(b" " + pair[1], self.words[pair[0]]) % self.buckets
-
-
 class Vocabulary:
-    """The head: states of frequent words, buckets of frequent pairs."""
+    """The head: CRC states of frequent words, buckets of frequent pairs."""
 
     def __init__(self, words: list[bytes], pairs: list[tuple[bytes, bytes]], buckets: int) -> None:
         self.buckets = buckets
-        self.words = Words((w, zlib.crc32(w)) for w in words)
-        self.pairs = Pairs(self.words, buckets)
-        self.pairs.update({p: Pairs.__missing__(self.pairs, p) for p in pairs})
+        self.words = {w: zlib.crc32(w) for w in words}
+        self.pairs = {(a, b): zlib.crc32(a + b" " + b) % buckets for a, b in pairs}
 
     def __reduce__(self) -> tuple:
         return Vocabulary, (list(self.words), list(self.pairs), self.buckets)
 
     def features(self, text: bytes) -> Iterator[np.ndarray]:
         """The buckets of all features of a text, in parts."""
-        fresh = 0  # the first word of later lists has been counted
+        crc, fresh = zlib.crc32, 0  # the first word of later lists has been counted
         for words in words_of(text):
-            states = map(self.words.__getitem__, words[fresh:])
-            yield np.fromiter(states, np.int64, len(words) - fresh) % self.buckets
-            pairs = map(self.pairs.__getitem__, zip(words, words[1:]))
-            yield np.fromiter(pairs, np.int64, len(words) - 1)
+            states = [crc(word) if state is None else state
+                      for word, state in zip(words, map(self.words.get, words))]
+            # A pair outside the head goes on from the state of its first word.
+            found = map(self.pairs.get, zip(words, words[1:]))
+            pairs = [crc(b" " + word, state) if bucket is None else bucket
+                     for word, state, bucket in zip(words[1:], states, found)]
+            yield np.array(states[fresh:] + pairs, np.int64) % self.buckets
             fresh = 1
 
 
@@ -148,25 +138,59 @@ def head(
         words, list(zip(pairs["first"].to_pylist(), pairs["second"].to_pylist())), buckets)
 
 
-def bucket_totals(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    """The number of features of all ``texts`` (one string column) in each bucket."""
-    buckets = vocabulary.buckets
+def features(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``row, doc_id, buckets`` of ``texts`` (``doc_id`` and ``text``), stored.
+
+    ``row`` tells the rows of ``texts`` apart. A long text has several rows here, one without
+    features has one.
+    """
     sent = texts.sparkSession.sparkContext.broadcast(vocabulary)
+    schema = to_arrow_schema(StructType.fromDDL("row long, doc_id long, buckets array<int>"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        held: list[tuple] = []
+        size = 0
+
+        def batch() -> pa.RecordBatch:
+            rows, ids, parts = zip(*held) if held else ((), (), ())
+            offsets = np.cumsum([0, *map(len, parts)])
+            values = np.concatenate([*parts, np.zeros(0, np.int32)]).astype(np.int32)
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.int64()), pa.array(ids, pa.int64()), lists(offsets, values)],
+                schema=schema)
+
+        for given in batches:
+            for doc_id, text in zip(given.column(0).to_pylist(), _texts(given.column(1))):
+                row += 1
+                for part in (*sent.value.features(text),) or (np.zeros(0, np.int64),):
+                    held.append((row, doc_id, part))
+                    size += len(part) + 1
+                    if size > HELD:
+                        yield batch()
+                        size = 0
+        yield batch()
+
+    return materialize(
+        texts.mapInArrow(run, "row long, doc_id long, buckets array<int>"), "features")
+
+
+def bucket_totals(found: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """The number of features in each bucket, from :func:`features`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            for text in _texts(batch.column(0)):
-                for part in sent.value.features(text):
-                    total += np.bincount(part, minlength=buckets)
+            values = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            total += np.bincount(values, minlength=buckets)
         filled = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(filled, pa.int64()), pa.array(total[filled])], names=["bucket", "n"])
 
-    found = texts.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(
+    sums = found.select("buckets").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(
         F.sum("n").alias("n")).toArrow()  # one row per bucket
     out = np.zeros(buckets, np.int64)
-    out[found["bucket"].to_numpy()] = found["n"].to_numpy()
+    out[sums["bucket"].to_numpy()] = sums["n"].to_numpy()
     return out
 
 
@@ -186,31 +210,31 @@ def noise(doc_id: int | None, seed: str = SEED) -> int:
     return math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
 
 
-def weigh(
-    docs: DataFrame, vocabulary: Vocabulary, gains: np.ndarray, doc_id: str, text: str, seed: str
-) -> DataFrame:
-    """``doc_id, n_words, n_features, weight, score`` of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast((vocabulary, gains))
-
-    def function(columns: dict[str, pa.Array]) -> dict:
-        words, gains = sent.value
-        ids = columns["doc_id"].to_pylist()
-        sizes, sums = [], []
-        for value in _texts(columns["text"]):
-            size = total = 0
-            for part in words.features(value):
-                size += len(part)
-                total += int(gains[part].sum())
-            sizes.append(size)
-            sums.append(total)
-        weights = [s // n if n else 0 for s, n in zip(sums, sizes)]
+def weigh(found: DataFrame, gains: np.ndarray, seed: str = SEED) -> DataFrame:
+    """``row, doc_id, n_words, n_features, weight, score`` of every row, from :func:`features`."""
+    sent = found.sparkSession.sparkContext.broadcast(gains)
+
+    def sums(columns: dict[str, pa.Array]) -> dict:
+        buckets = columns["buckets"]
+        offsets = buckets.offsets.to_numpy() - buckets.offsets[0].as_py()
+        total = np.concatenate(
+            [[0], np.cumsum(sent.value[buckets.flatten().to_numpy(zero_copy_only=False)])])
+        return {"row": columns["row"], "doc_id": columns["doc_id"],
+                "size": np.diff(offsets).astype(np.int64),
+                "total": total[offsets[1:]] - total[offsets[:-1]]}
+
+    def scores(columns: dict[str, pa.Array]) -> dict:
+        ids, sizes = columns["doc_id"].to_pylist(), columns["size"].to_pylist()
+        weights = [t // n if n else 0 for t, n in zip(columns["total"].to_pylist(), sizes)]
         return {
-            "doc_id": ids, "n_words": [(n + 1) // 2 for n in sizes], "n_features": sizes,
-            "weight": weights, "score": [w + noise(i, seed) for w, i in zip(weights, ids)]}
+            "row": columns["row"], "doc_id": ids, "n_words": [(n + 1) // 2 for n in sizes],
+            "n_features": sizes, "weight": weights,
+            "score": [w + noise(i, seed) for w, i in zip(weights, ids)]}
 
-    return map_batches(
-        docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")),
-        function, "doc_id long, n_words long, n_features long, weight long, score long")
+    rows = map_batches(found, sums, "row long, doc_id long, size long, total long").groupBy(
+        "row", "doc_id").agg(F.sum("size").alias("size"), F.sum("total").alias("total"))
+    return map_batches(rows, scores, "row long, doc_id long, n_words long, n_features long, "
+                                     "weight long, score long")
 
 
 def resample(
@@ -227,12 +251,15 @@ def resample(
     empty table gives no rows, an empty target a target without features. Other columns are not
     read.
     """
-    texts, aims = docs.select(F.col(text)), target.select(F.col(target_text))
-    vocabulary = head(texts, buckets)
-    gains = bucket_gains(bucket_totals(texts, vocabulary), bucket_totals(aims, vocabulary))
-    weighed = materialize(
-        weigh(docs, vocabulary, gains, doc_id, text, seed)
-        .withColumn("row", F.monotonically_increasing_id()), "weighed")
+    texts = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    aims = target.select(
+        F.lit(None).cast("long").alias("doc_id"), F.col(target_text).alias("text"))
+    vocabulary = head(texts.select("text"), buckets)
+    found, aimed = features(texts, vocabulary), features(aims, vocabulary)
+    gains = bucket_gains(bucket_totals(found, buckets), bucket_totals(aimed, buckets))
+    weighed = materialize(weigh(found, gains, seed), "weighed")
+    discard(found, aimed)
     eligible = weighed.where(F.col("n_words") >= min_words)
     drawn = eligible.count() * percent // 100
     # Rows in order over all partitions: a row's place is its place in its partition and the number

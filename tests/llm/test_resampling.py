@@ -71,16 +71,34 @@ def test_awkward_rows_against_brute_force(spark):
 @pytest.mark.parametrize("words, pairs", [(1, 1), (5, 3), (20_000, 60_000)])
 def test_the_head_changes_nothing(spark, monkeypatch, words, pairs):
     df = documents(spark)
-    texts = df.select("text")
-    vocabulary = resampling.head(texts, 10_000, words, pairs)
+    vocabulary = resampling.head(df.select("text"), 10_000, words, pairs)
     assert len(vocabulary.words) <= words and len(vocabulary.pairs) <= pairs
-    totals = resampling.bucket_totals(texts, vocabulary)
+    totals = resampling.bucket_totals(
+        resampling.features(df.select("doc_id", "text"), vocabulary))
     want = Counter()
     for r in df.collect():
         want.update(map(bucket, features(r.text)[0]))
     assert {b: n for b, n in enumerate(totals.tolist()) if n} == want
 
 
+def test_long_texts_in_parts_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(resampling, "SLICE", 40)
+    df = documents(spark, 5)
+    vocabulary = resampling.Vocabulary([b"alphaa"], [], 10_000)
+    rows = []
+    for n, r in enumerate(df.collect()):
+        parts = [p.tolist() for p in vocabulary.features((r.text or "").encode())]
+        rows += [(n, r.doc_id, p) for p in parts or [[]]]
+    assert len(rows) > df.count()
+    found = spark.createDataFrame(rows, "row long, doc_id long, buckets array<int>")
+    gains = resampling.np.arange(10_000)
+    got = {r.row: (r.doc_id, r.n_features, r.weight) for r in resampling.weigh(
+        found, gains).collect()}
+    for n, r in enumerate(df.collect()):
+        mine = list(map(bucket, features(r.text)[0]))
+        assert got[n] == (r.doc_id, len(mine), sum(mine) // len(mine) if mine else 0)
+
+
 def test_slices_of_a_text_join_up(monkeypatch):
     monkeypatch.setattr(resampling, "SLICE", 7)
     text = "One two, three four-five six seven eight nine ten eleven".encode()
