@@ -20,10 +20,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stridelake.llm.common import in_bitmap, map_batches
 from stridelake.llm.words import MIX, word_hashes
+from stridelake.operators import scan
 from stridelake.session import discard, materialize
 
 ABSENT = "und"  # the language of a null
@@ -36,7 +37,6 @@ ONE_IN = 8  # windows that cut
 FARTHEST = 64  # words after which a chunk ends in any case
 SLICE = 1 << 21  # bytes that are parsed at a time
 BITMAP_BITS = 1 << 25
-SALTS = 64
 
 # A-Z count as lower case, tabs as spaces, these characters end a piece.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -299,14 +299,17 @@ def mine(
     """
     chunks = materialize(dictionary(docs, text, lang), "chunks")
     grams = frequent_grams(chunks, least)
-    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
-    found = materialize(scored(grams, inside_percent), "collocations")
-    discard(chunks)
-    # First within parts of a language, so that a task holds few rows of the largest one.
-    first = found.withColumn("nth", F.row_number().over(
-        W.partitionBy("lang", salt).orderBy(*order))).where(F.col("nth") <= top)
-    ranked = first.withColumn("rank", F.row_number().over(
-        W.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
+    # The order within a language is that of these ranges, so no language is ever in one task.
+    order = ["down", "rare", "phrase"]
+    found = scan.segments(
+        scored(grams, inside_percent).withColumns({"down": -F.col("score"), "rare": -F.col("a")}),
+        ["lang"], order)
+    discard(chunks, grams[2], grams[3])
+    sizes = found.groupBy(scan.PART, "lang").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(scan.before(["lang"])), F.lit(0))
+    starts = sizes.select(scan.PART, "lang", before.alias("before"))
+    nth = F.row_number().over(scan.within(["lang"], order))
+    ranked = found.withColumn("nth", nth).join(starts, [scan.PART, "lang"]).withColumn(
+        "rank", F.col("before") + F.col("nth")).where(F.col("rank") <= top)
     totals = grams[1].where("phrase = ''").select("lang", F.col("f").alias("n"))
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
