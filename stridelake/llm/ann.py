@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stridelake.llm import vectors
 from stridelake.llm.common import matrix
+from stridelake.session import materialize
 
 PIVOTS = 256
 PLACES = 128  # nearest pivots that describe a vector
@@ -80,6 +81,7 @@ def search(
         F.col(vector).cast("array<double>").alias("v"))
     points = points.where(
         F.col("vec_id").isNotNull() & vectors.finite("v") & F.exists("v", lambda x: x != 0))
+    points = materialize(points.withColumn("row", F.monotonically_increasing_id()), "vectors")
 
     def compare(some: pa.Table, asked: pa.Table) -> pa.Table:
         out = {"query_id": [], "query": [], "vec_id": [], "score": []}

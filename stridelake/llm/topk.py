@@ -128,7 +128,8 @@ def search(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` highest integer inner products, exactly.
 
-    Components count as ``floor(scale * x)``, and a score must fit a long. Queries are the rows
+    Components count as ``floor(scale * x)``. Where the components are so large that a score might
+    not fit a long, the search fails before it begins. Queries are the rows
     whose id is divisible by ``every``; rows with a query's id are none of its candidates. Null
     vectors, those with a null or non-finite component and rows without an id take no part.
     Repeated rows count each as candidates. An id asks once: if its rows hold several (integer)
@@ -137,10 +138,16 @@ def search(
     """
     points = rows.select(
         F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("raw"))
+    scaled = F.transform(F.col("raw").cast("array<double>"), lambda x: x * float(scale))
     points = points.where(F.col("vec_id").isNotNull() & vectors.finite("raw")).select(
-        "vec_id", F.transform(
-            F.col("raw").cast("array<double>"), lambda x: F.floor(x * float(scale))).alias("v"))
+        "vec_id", F.transform(scaled, lambda x: F.floor(x)).alias("v"),
+        F.array_max(F.transform(scaled, lambda x: F.abs(x))).alias("most"),
+        F.monotonically_increasing_id().alias("row"))
     points = materialize(points, "integer-vectors")
+    most, size = points.agg(F.max("most"), F.max(F.size("v"))).first()
+    if ((most or 0.0) + 1) ** 2 * (size or 0) >= 2.0 ** 63:
+        raise ValueError("components are too large: a score might not fit a long")
+    points = points.drop("most")
 
     def compare(some: pa.Table, asked: pa.Table) -> pa.Table:
         out = {"query_id": [], "query": [], "vec_id": [], "score": []}

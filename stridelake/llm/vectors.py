@@ -32,9 +32,10 @@ def blocks(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows and queries (those whose ``vec_id`` is divisible by ``every``), dealt to block pairs.
 
-    ``rows`` has ``vec_id`` and ``v``. Both results add ``size`` (of the vector), ``block`` and
-    ``query_block``. An id asks once: where rows with one id hold several vectors, the smallest by
-    its components in order is the query.
+    ``rows`` (stored) has ``vec_id``, ``v`` and ``row``, a number of its own for each row, so that
+    rows with equal ids and vectors are spread like others. Both results add ``size`` (of the
+    vector), ``block`` and ``query_block``. An id asks once: where rows with one id hold several
+    vectors, the smallest by its components in order is the query.
     """
     sized = rows.withColumn("size", F.size("v"))
     queries = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(
@@ -47,7 +48,7 @@ def blocks(
         return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
     return (
-        sized.withColumn("block", dealt(n, "vec_id", "v")).withColumn("query_block", each(q)),
+        sized.withColumn("block", dealt(n, "row")).drop("row").withColumn("query_block", each(q)),
         queries.withColumn("query_block", dealt(q, "vec_id", "v")).withColumn("block", each(n)))
 
 

@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
 
-from stridelake.llm import ann, topk
+from pyspark.sql import functions as F
+
+from stridelake.llm import ann, topk, vectors as blocks
 
 SCHEMA = "vec_id long, embedding array<float>, label int, score string, rank string"
 
@@ -54,6 +56,22 @@ def test_topk_is_exact(spark):
     assert got == sorted(want)
 
 
+@pytest.mark.parametrize("big", [1e30, -1e17, 1e8])
+def test_scores_that_may_not_fit_a_long_are_refused(spark, big):
+    rows = [(0, [big, 1.0], 0, "", ""), (1, [1.0, 1.0], 0, "", "")]
+    with pytest.raises(ValueError, match="too large"):
+        topk.search(spark.createDataFrame(rows, SCHEMA))
+
+
+def test_equal_rows_are_spread_over_blocks(spark):
+    df = spark.range(2000).select(
+        F.lit(7).cast("long").alias("vec_id"), F.array(F.lit(1.0), F.lit(2.0)).alias("v"),
+        F.monotonically_increasing_id().alias("row"))
+    some, _ = blocks.blocks(df, 50, 100)
+    sizes = [r["count"] for r in some.groupBy("block").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 160
+
+
 def test_cover_tree_covers():
     points = np.random.default_rng(1).normal(size=(500, 3))
     points[100:200] = points[0]
