@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stridelake.llm.common import map_batches
+from stridelake.llm.common import map_batches, unused
 from stridelake.llm.words import MIX, word_hashes
 from stridelake.session import materialize
 
@@ -110,16 +110,20 @@ def votes(values: np.ndarray, words: int) -> list[int]:
     return out
 
 
-def features(text: bytes, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features: buckets of all byte trigrams (each counts by its share), and one bucket
-    for each signal's bin (each counts one)."""
-    raw = np.frombuffer(text, np.uint8).astype(np.uint32)
-    grams = (raw[:-2] << 16 | raw[1:-1] << 8 | raw[2:]) * np.uint32(0x9E3779B1)
+def features(text: bytes, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed features: the buckets of all byte trigrams with their shares, and one bucket for each
+    signal's bin (each counts one). The text is read in slices, however long it is."""
+    counts = np.zeros(FEATURES, np.int64)
+    for at in range(0, max(0, len(text) - 2), SLICE):
+        raw = np.frombuffer(text[at:at + SLICE + 2], np.uint8).astype(np.uint32)
+        grams = (raw[:-2] << 16 | raw[1:-1] << 8 | raw[2:]) * np.uint32(0x9E3779B1)
+        counts += np.bincount(grams >> np.uint32(17), minlength=FEATURES)
+    hit = np.flatnonzero(counts)
     bins = np.minimum(BINS - 1, (np.sqrt(np.clip(values / (1, 1, 1, 1, 1, 20, 1, 1), 0, 1))
                                  * BINS).astype(np.int64))
     with np.errstate(over="ignore"):
         mixed = (np.arange(len(values)) * BINS + bins).astype(np.uint64) * MIX
-    return (grams >> np.uint32(17)).astype(np.int64), (mixed >> np.uint64(49)).astype(np.int64)
+    return hit, counts[hit] / max(1, len(text) - 2), (mixed >> np.uint64(49)).astype(np.int64)
 
 
 def _code(pattern: list[int]) -> int:
@@ -170,8 +174,10 @@ def estimate(counts: dict[int, int], steps: int = 100) -> LabelModel:
     return LabelModel(prior, tables, dict(zip(codes, posterior.tolist())))
 
 
-def _margin(weights: np.ndarray, grams: np.ndarray, bins: np.ndarray) -> float:
-    text = weights[grams].sum() * TEXT_SCALE / max(1, len(grams))
+def _margin(
+    weights: np.ndarray, hit: np.ndarray, shares: np.ndarray, bins: np.ndarray
+) -> float:
+    text = float(weights[hit] @ shares) * TEXT_SCALE
     return float(text + weights[FEATURES:][bins].sum() + weights[-1])
 
 
@@ -193,12 +199,10 @@ def train(sample: DataFrame, model: LabelModel, rounds: int = ROUNDS) -> np.ndar
             texts, codes = rows["text"], rows["code"]
             for i in order.tolist():
                 text = texts[i].as_py()
-                grams, bins = features(text, signals(text)[0])
-                p = 1 / (1 + np.exp(-np.clip(_margin(own, grams, bins), -30, 30)))
+                hit, shares, bins = features(text, signals(text)[0])
+                p = 1 / (1 + np.exp(-np.clip(_margin(own, hit, shares, bins), -30, 30)))
                 step = rate * (posterior[codes[i].as_py()] - p)
-                shares = np.bincount(grams, minlength=1)
-                hit = np.flatnonzero(shares)
-                own[hit] += step * TEXT_SCALE * shares[hit] / max(1, len(grams))
+                own[hit] += step * TEXT_SCALE * shares
                 own[FEATURES + bins] += step
                 own[-1] += step
             return pa.table({"rows": pa.array([len(order)], pa.int64()),
@@ -265,25 +269,27 @@ def score(
     both the probability of a good text) and ``accept`` (score of a half or more)."""
     state = docs.sparkSession.sparkContext.broadcast(
         (classifier.labels.posterior, classifier.labels.prior, classifier.weights))
+    content_of, = unused(docs, "text")
 
     def run(columns):
         posterior, prior, weights = state.value
         label, value = [], []
-        for content in columns["_text"].to_pylist():
+        for content in columns[content_of].to_pylist():
             if not content or not content.strip():
                 label.append(0.0)
                 value.append(0.0)
                 continue
             found, words = signals(content)
-            grams, bins = features(content, found)
+            given = features(content, found)
             label.append(posterior.get(_code(votes(found, words)), prior))
-            value.append(float(1 / (1 + np.exp(-np.clip(_margin(weights, grams, bins), -30, 30)))))
+            value.append(float(1 / (1 + np.exp(-np.clip(_margin(weights, *given), -30, 30)))))
         return {**columns, f"{prefix}p_label": label, f"{prefix}score": value,
                 f"{prefix}accept": [v >= 0.5 for v in value]}
 
     kept = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
     return map_batches(
-        docs.select(*keep, F.col(text).cast("binary").alias("_text")), run,
+        docs.select(*[f"`{c}`" for c in keep],
+                    F.col(text).cast("binary").alias(content_of)), run,
         ", ".join([*kept, f"{prefix}p_label double, {prefix}score double, "
                           f"{prefix}accept boolean"]))
 
@@ -304,7 +310,10 @@ def classify(
 def keep_good(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trained_on: int = TRAINED_ON
 ) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with their columns."""
+    """The rows of ``docs`` that the classifier accepts, with their columns, whatever their names."""
     classifier = fit(docs, doc_id, text, trained_on)
-    marked = score(docs, classifier, text, tuple(docs.columns), "_quality_")
-    return marked.where("_quality_accept").select(*docs.columns)
+    prefix = "_quality_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
+    marked = score(docs, classifier, text, tuple(docs.columns), prefix)
+    return marked.where(f"{prefix}accept").select(*[f"`{c}`" for c in docs.columns])

@@ -1,5 +1,7 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -60,6 +62,51 @@ def test_signals_do_not_depend_on_slices(monkeypatch):
     assert whole[1] == parts[1] and abs(whole[0] - parts[0]).max() < 1e-12
 
 
+def test_features_are_those_of_the_definition(monkeypatch):
+    values = quality.signals(b"Some words here.")[0]
+    for text in (b"", b"a", b"ab", b"abc", b"Some Words, here | %%% 12 12 end. " * 40):
+        want = Counter((int.from_bytes(text[i:i + 3]) * 0x9E3779B1 & 0xFFFFFFFF) >> 17
+                       for i in range(len(text) - 2))
+        for size in (1 << 20, 7, 1):
+            monkeypatch.setattr(quality, "SLICE", size)
+            hit, shares, bins = quality.features(text, values)
+            assert {int(h): round(s * max(1, len(text) - 2)) for h, s in zip(hit, shares)} == want
+            assert len(bins) == len(values) and bins.max() < quality.FEATURES
+
+
+def test_scores_against_a_plain_model(spark):
+    """Votes, posteriors and the scorer's sums, stated once more without arrays."""
+    docs = documents(spark).select("doc_id", "text")
+    model = quality.fit(docs)
+    got = {(r.doc_id, r.text): (r.p_label, r.score, r.accept) for r in quality.score(
+        docs, model, "text", ("doc_id", "text")).collect()}
+    for r in docs.collect():
+        data = (r.text or "").encode()
+        if not data.strip():
+            assert got[r.doc_id, r.text] == (0.0, 0.0, False)
+            continue
+        values, words = quality.signals(data)
+        label = model.labels.posterior.get(quality._code(quality.votes(values, words)),
+                                           model.labels.prior)
+        grams = [(int.from_bytes(data[i:i + 3]) * 0x9E3779B1 & 0xFFFFFFFF) >> 17
+                 for i in range(len(data) - 2)]
+        total = sum(model.weights[g] for g in grams) * quality.TEXT_SCALE / max(1, len(grams))
+        total += sum(model.weights[quality.FEATURES + b] for b in quality.features(data, values)[2])
+        total += model.weights[-1]
+        want = 1 / (1 + math.exp(-max(-30, min(30, total))))
+        assert got[r.doc_id, r.text][0] == label
+        assert abs(got[r.doc_id, r.text][1] - want) < 1e-9
+        assert got[r.doc_id, r.text][2] == (got[r.doc_id, r.text][1] >= 0.5)
+
+
+def test_clashing_names_are_kept(spark):
+    docs = documents(spark).withColumns({
+        "_text": F.lit("t"), "_quality_accept": F.lit("a"), "score": F.lit("s")})
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns and kept.count() > 0
+    assert kept.where("_text <> 't' OR _quality_accept <> 'a' OR score <> 's'").count() == 0
+
+
 def test_held_out_languages(spark):
     docs = table(spark, SF, "documents")
     found = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
