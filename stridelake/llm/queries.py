@@ -55,7 +55,7 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).select(
-        "page_id", "host", "path", "rule", "verdict")
+        "page_id", "host", "path", "rule", "verdict", "decided_by")
 
 
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:

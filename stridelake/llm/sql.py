@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stridelake.llm import mixing, urls
+from stridelake.llm import mixing, secrets, urls
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -110,16 +110,19 @@ SECRETS = (
     + " UNION ALL ".join([
         _spans("assign", 0, _ASSIGN, "length(part) >= 6"),
         _spans("access", 1, "AKIA[A-Z0-9]+", "length(m) >= 20"),
-        _spans("hex", 2, "[0-9a-f]+", "length(m) >= 24")])
+        _spans("hex", 2, "[0-9a-f]+", "length(m) >= 24"),
+        _spans("key", 3, secrets.RULES[3].pattern, "true")])
     + """),
 by_doc AS (
   SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
          count(*) FILTER (WHERE kind = 'access') AS n_access,
          count(*) FILTER (WHERE kind = 'hex') AS n_hex,
-         string_agg(kind || ':' || "begin" || ':' || "end", ',' ORDER BY "begin", nth) AS spans
+         string_agg(kind || ':' || "begin" || ':' || "end", ',' ORDER BY "begin", nth) AS spans,
+         string_agg(kind || ':' || "begin" || ':' || "end", ',' ORDER BY "begin", nth)
+           FILTER (WHERE nth < 3) AS base
   FROM spans GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
-       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
        coalesce(spans, '') AS spans
 FROM d LEFT JOIN by_doc USING (doc_id)""")
 
@@ -214,7 +217,7 @@ def _url_verdicts() -> str:
 
     href = urls.HREF.replace("'", "''")
     lower = f"'{_UPPER}', '{_LOWER}'"
-    damping, back = f"{urls.DAMPING}::DOUBLE", f"{1 - urls.DAMPING!r}::DOUBLE"
+    rest = 100 - urls.DAMPING_PERCENT
     parts = [rf"""
 split AS (
   SELECT page_id, html, CASE WHEN strpos(url, '://') > 0
@@ -225,43 +228,50 @@ parsed AS (
 ruled AS MATERIALIZED (
   SELECT *, {case("name")} AS rule, {case("verdict")} AS given FROM parsed),
 links AS (
-  SELECT host AS src, translate(regexp_extract(href, '//([^/?#]*)', 1), {lower}) AS dst
-  FROM (SELECT host, unnest(regexp_extract_all(html, '{href}', 1)) AS href FROM ruled)),
-linked AS (
-  SELECT src, dst, CAST(count(*) AS DOUBLE) AS weight FROM links
-  WHERE src <> dst AND src <> '' AND dst <> '' GROUP BY ALL),
-known AS (SELECT host FROM ruled WHERE host <> '' UNION SELECT dst FROM linked),
-up AS (
-  SELECT host AS src, regexp_extract(host, '^[^.]+\.([^.]+\..+)$', 1) AS dst FROM known
-  WHERE regexp_matches(host, '^[^.]+\.([^.]+\..+)$')),
+  SELECT host, CASE WHEN regexp_extract(href, '{urls.ABSOLUTE}', 1) <> ''
+      THEN translate(regexp_extract(href, '{urls.ABSOLUTE}', 1), {lower})
+      ELSE regexp_extract(href, '{urls.PLACE}', 1) END AS dst
+  FROM (SELECT host, unnest(regexp_extract_all(html, '{href}', 1)) AS href
+        FROM ruled WHERE host <> '')),
+found AS (
+  SELECT host, dst, CAST(count(*) AS HUGEINT) AS weight FROM links
+  WHERE dst <> '' AND dst <> host GROUP BY ALL),
 edges AS MATERIALIZED (
-  SELECT src, dst, sum(weight) AS weight FROM (
-    SELECT * FROM linked UNION ALL SELECT src, dst, 1.0::DOUBLE FROM up
-    UNION ALL SELECT dst, src, 1.0::DOUBLE FROM up) GROUP BY ALL),
+  SELECT host AS src, dst, weight FROM found
+  UNION ALL SELECT dst, host, weight FROM found WHERE starts_with(dst, '/')),
+counts AS (
+  SELECT host, count(*) FILTER (WHERE given = 'allow') AS good,
+         count(*) FILTER (WHERE given = 'block') AS bad
+  FROM ruled WHERE host <> '' AND given IS NOT NULL GROUP BY host),
 seeds AS MATERIALIZED (
-  SELECT host, sum(good) AS good, sum(bad) AS bad FROM (
-    SELECT host, CASE WHEN given = 'allow' THEN 1.0::DOUBLE
-                      WHEN given IS NULL THEN {urls.PRIOR}::DOUBLE ELSE 0.0::DOUBLE END AS good,
-           CASE WHEN given = 'block' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS bad
-    FROM ruled WHERE host <> ''
-    UNION ALL SELECT DISTINCT dst, 0.0::DOUBLE, 0.0::DOUBLE FROM edges) GROUP BY host),
+  SELECT host, {urls.UNIT}::HUGEINT * good // greatest(1, sum(good) OVER ()) AS good,
+         {urls.UNIT}::HUGEINT * bad // greatest(1, sum(bad) OVER ()) AS bad FROM counts),
 flows AS MATERIALIZED (
-  SELECT src AS origin, dst AS host, weight / sum(weight) OVER (PARTITION BY src) AS good,
-         0.0::DOUBLE AS bad FROM edges
+  SELECT src AS origin, dst AS host, weight,
+         CAST(sum(weight) OVER (PARTITION BY src) AS HUGEINT) AS total, true AS along FROM edges
   UNION ALL
-  SELECT dst, src, 0.0::DOUBLE, weight / sum(weight) OVER (PARTITION BY dst) FROM edges),
+  SELECT dst, src, weight, CAST(sum(weight) OVER (PARTITION BY dst) AS HUGEINT), false
+  FROM edges),
 rank_0 AS MATERIALIZED (SELECT host, good AS trust, bad AS distrust FROM seeds)"""]
+
+    def moved(mass: str, along: str) -> str:
+        return (f"CASE WHEN {along} THEN CAST({mass} AS HUGEINT) * weight * {urls.DAMPING_PERCENT} "
+                f"// (total * 100) ELSE 0 END")
+
     for i in range(urls.STEPS):
         parts.append(f"""
 rank_{i + 1} AS MATERIALIZED (
-  SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM (
-    SELECT f.host, {damping} * trust * good AS trust, {damping} * distrust * bad AS distrust
+  SELECT host, CAST(sum(trust) AS HUGEINT) AS trust, CAST(sum(distrust) AS HUGEINT) AS distrust
+  FROM (
+    SELECT f.host, {moved("trust", "along")} AS trust, {moved("distrust", "NOT along")} AS distrust
     FROM flows f JOIN rank_{i} r ON r.host = f.origin
-    UNION ALL SELECT host, {back} * good, {back} * bad FROM seeds) GROUP BY host)""")
+    UNION ALL SELECT host, good * {rest} // 100, bad * {rest} // 100 FROM seeds) GROUP BY host)""")
     return "WITH " + ",".join(parts) + f"""
 SELECT page_id, host, path, rule, coalesce(given, CASE WHEN coalesce(
-         distrust > {urls.THRESHOLD}::DOUBLE * trust, false) THEN 'block' ELSE 'allow' END)
-         AS verdict
+         distrust * 100 > trust * {urls.THRESHOLD_PERCENT}, false) THEN 'block' ELSE 'allow' END)
+         AS verdict,
+       CASE WHEN given IS NOT NULL THEN 'rule' WHEN coalesce(trust + distrust > 0, false)
+            THEN 'links' ELSE 'default' END AS decided_by
 FROM ruled LEFT JOIN rank_{urls.STEPS} USING (host)"""
 
 

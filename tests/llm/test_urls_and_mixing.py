@@ -55,26 +55,84 @@ def test_rules_win(spark):
 
 def test_trust_flows_forward_and_distrust_backward(spark):
     edges = spark.createDataFrame(
-        [("good", "liked", 1.0), ("liker", "bad", 1.0), ("good", "x", 1.0), ("x", "liker", 3.0)],
-        "src string, dst string, weight double")
+        [("good", "liked", 1), ("liker", "bad", 1), ("good", "x", 1), ("x", "liker", 3)],
+        "src string, dst string, weight long")
+    unit = urls.UNIT
     seeds = spark.createDataFrame(
-        [("good", 1.0, 0.0), ("bad", 0.0, 1.0), ("liked", 0.0, 0.0), ("liker", 0.0, 0.0),
-         ("x", 0.0, 0.0)], "host string, good double, bad double")
+        [("good", unit, 0), ("bad", 0, unit)], "host string, good long, bad long")
     got = {r.host: (r.trust, r.distrust) for r in urls.propagate(edges, seeds, 40).collect()}
-    d = urls.DAMPING
-    assert got["good"][0] == pytest.approx(1 - d) and got["bad"][1] == pytest.approx(1 - d)
-    assert got["liked"] == (pytest.approx((1 - d) * d / 2), 0)
-    assert got["liker"][1] == pytest.approx((1 - d) * d)
-    assert got["x"][1] == pytest.approx((1 - d) * d * d)
-    assert got["good"][1] == pytest.approx((1 - d) * d ** 3 * 1)
+    d, rest = urls.DAMPING_PERCENT, unit * (100 - urls.DAMPING_PERCENT) // 100
+    assert got["good"][0] == rest and got["bad"][1] == rest
+    assert got["liked"] == (rest * d // 200, 0)
+    assert got["liker"][1] == rest * d // 100
+    assert got["x"][1] == (rest * d // 100) * d // 100
+    assert got["good"][1] == ((rest * d // 100) * d // 100) * d // 100
+
+
+def model(pages, steps):
+    """Trust and distrust by plain loops over ``(host, verdict of a rule, link targets)``."""
+    weight, good, bad = {}, {}, {}
+    for host, given, targets in pages:
+        if host:
+            for t in targets:
+                if t and t != host:
+                    weight[host, t] = weight.get((host, t), 0) + 1
+                    if t.startswith("/"):
+                        weight[t, host] = weight.get((t, host), 0) + 1
+            for name, masses in (("allow", good), ("block", bad)):
+                masses[host] = masses.get(host, 0) + (given == name)
+    seeds = [{h: urls.UNIT * n // max(1, sum(m.values())) for h, n in m.items()}
+             for m in (good, bad)]
+    out = []
+    for seed, edges in zip(seeds, ([(a, b, w) for (a, b), w in weight.items()],
+                                   [(b, a, w) for (a, b), w in weight.items()])):
+        totals = {}
+        for a, _, w in edges:
+            totals[a] = totals.get(a, 0) + w
+        now = dict(seed)
+        for _ in range(steps):
+            after = {h: n * (100 - urls.DAMPING_PERCENT) // 100 for h, n in seed.items()}
+            for a, b, w in edges:
+                if a in now:
+                    after[b] = after.get(b, 0) + now[a] * w * urls.DAMPING_PERCENT // (
+                        totals[a] * 100)
+            now = after
+        out.append(now)
+    return out
+
+
+def test_verdicts_without_a_rule_follow_the_links(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    judged = urls.judge(table).collect()
+    pages = []
+    for r in table.collect():
+        host, path = parts(r.url)
+        best = rule(host, path)
+        targets = []
+        for href in re.findall(r"""(?i)href\s*=\s*["']?([^\s"'<>]+)""", r.html or ""):
+            there = re.match(r"(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", href)
+            place = re.match(r"(/[^/?#][^?#]*)", href)
+            targets.append(there[1].lower() if there else place[1] if place else "")
+        pages.append((host, best and best[1], targets))
+    trust, distrust = model(pages, urls.STEPS)
+    for r in judged:
+        t, d = trust.get(r.host, 0), distrust.get(r.host, 0)
+        assert (r.trust or 0, r.distrust or 0) == (t, d)
+        if r.decided_by != "rule":
+            assert r.verdict == ("block" if 100 * d > urls.THRESHOLD_PERCENT * t else "allow")
+    by = [r.decided_by for r in judged]
+    changed = sum(r.decided_by == "links" and r.verdict == "block" for r in judged)
+    assert by.count("links") > 0.2 * len(by) and 0 < changed < by.count("links")
 
 
 def test_links_are_read(spark):
     df = spark.createDataFrame(
-        [("a.x", '<a href="http://B.y/1">1</a><A HREF=//b.y/2>2</A><a href="/own">3</a>'),
-         ("a.x", None)], "host string, html string")
+        [("a.x", '<a href="http://B.y/1">1</a><A HREF=//b.y/2>2</A><a href="/own?q">3</a>'
+                 "<a href='/'>4</a><a href='#top'>5</a><a href=mailto:x@y>6</a>"),
+         ("a.x", None), ("", '<a href="/own">')], "host string, html string")
     edges = {(r.src, r.dst): r.weight for r in urls.host_edges(df).collect()}
-    assert edges == {("a.x", "b.y"): 2.0}
+    assert edges == {("a.x", "b.y"): 2, ("a.x", "/own"): 1, ("/own", "a.x"): 1}
 
 
 def cells(spark, rows):
