@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -83,12 +84,16 @@ class Parsed:
         gaps = np.flatnonzero((self.raw == _SPACE) | (self.raw == _LINE))
         self.begin = np.concatenate([[0], gaps + 1])
         self.end = np.append(gaps, len(self.raw))
-        self.hash = word_hashes(lines)
+        self.lines = lines
         self.closes = np.append(self.raw[gaps] == _LINE, True)
         line = np.cumsum(self.closes) - self.closes
         self.line_end = np.flatnonzero(self.closes)[line] + 1  # the word after the line's last
         self.line = line
 
+    @cached_property
+    def hash(self) -> np.ndarray:
+        return word_hashes(self.lines)
+
     def joined(self) -> np.ndarray:
         """A hash of each word and the next."""
         with np.errstate(over="ignore"):
@@ -112,7 +117,7 @@ def _chunks(lines: bytes, is_open: np.ndarray) -> tuple[pa.Array, np.ndarray, np
     ``is_open`` tells which lines end with two words of a next part.
     """
     words = Parsed(lines)
-    n, closes = len(words.hash), words.closes
+    n, closes = len(words.begin), words.closes
     opens = np.concatenate([[True], closes[:-1]])
     trigger = np.zeros(n, bool)
     trigger[:-1] = (words.joined() >> np.uint64(40)) % np.uint64(ONE_IN) == 0
@@ -164,17 +169,54 @@ def dictionary(docs: DataFrame, text: str, lang: str) -> DataFrame:
         "lang", "chunk", "last").agg(F.count("*").alias("n"))
 
 
-def counts(
-    chunks: DataFrame, size: int, bitmap: np.ndarray | None = None
-) -> DataFrame:
-    """``lang, phrase, f``: how often phrases of ``size`` words occur.
+def packed(chunks: DataFrame) -> DataFrame:
+    """``lang, chunks, last, n``: the rows of a dictionary many at a time, which are read several
+    times. A row has chunks of one language, one a line, and their flags and frequencies as bytes.
+    """
+    schema = "lang string, chunks string, last binary, n binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[pa.RecordBatch]] = {}
+        sizes: dict[str, int] = {}
+
+        def row(lang: str) -> pa.RecordBatch:
+            table = pa.Table.from_batches(held.pop(lang)).combine_chunks()
+            del sizes[lang]
+            lines = pa.ListArray.from_arrays(
+                pa.array([0, table.num_rows], pa.int32()), table["chunk"].combine_chunks())
+            last = np.packbits(table["last"].to_numpy())
+            n = table["n"].to_numpy().astype(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([lang]), pc.binary_join(lines, "\n"),
+                 pa.array([last.tobytes()]), pa.array([n.tobytes()])],
+                names=["lang", "chunks", "last", "n"])
+
+        for batch in batches:
+            langs = batch.column("lang")
+            for lang in langs.unique().to_pylist():
+                part = batch.filter(pc.equal(langs, lang))
+                held.setdefault(lang, []).append(part)
+                sizes[lang] = sizes.get(lang, 0) + pc.sum(
+                    pc.binary_length(part.column("chunk"))).as_py() + part.num_rows
+                if sizes[lang] >= SLICE:
+                    yield row(lang)
+            if sum(sizes.values()) >= 8 * SLICE:  # of many languages
+                yield row(max(sizes, key=sizes.get))
+        for lang in list(held):
+            yield row(lang)
+
+    return chunks.select("lang", F.col("chunk"), "last", "n").mapInArrow(run, schema)
+
+
+def counts(chunks: DataFrame, size: int, bitmap: np.ndarray | None = None) -> DataFrame:
+    """``lang, phrase, f``: how often phrases of ``size`` words occur in ``packed`` chunks.
 
     With a ``bitmap`` only phrases whose parts of one word less may be frequent. For single words
     there is also the empty phrase with the number of all words.
     """
-    def some(langs: pa.Array, chunk: pa.Array, last: np.ndarray, n: np.ndarray) -> pa.Table:
-        words = Parsed(b"\n".join(chunk.cast(pa.binary()).to_pylist()))
-        place, line = np.arange(len(words.hash)), words.line
+    def some(lines: bytes, last: np.ndarray, n: np.ndarray) -> pa.Table:
+        words = Parsed(lines)
+        place, line = np.arange(len(words.begin)), words.line
         mine = (last[line] | (place < words.line_end - WINDOW)) & (place + size <= words.line_end)
         if bitmap is not None:
             known = _may_hold(bitmap, words.hash if size == 2 else words.joined())
@@ -182,35 +224,29 @@ def counts(
             both[:max(0, len(known) - 1)] = known[:-1] & known[1:]
             mine &= both
         first = np.flatnonzero(mine)
-        line = line[first]
-        phrase, language, times = words.cutouts(first, first + size), langs.take(
-            pa.array(line)), n[line]
+        times = n[line[first]]
+        phrase = words.cutouts(first, first + size)
         if size == 1:
-            phrase = pa.concat_arrays([phrase, pa.array([""] * len(n))])
-            language = pa.concat_arrays([language, langs])
-            times = np.concatenate([times, np.bincount(line, minlength=len(n)) * n])
-        return pa.table([language, phrase, pa.array(times)], names=["lang", "phrase", "f"])
+            phrase = pa.concat_arrays([phrase, pa.array([""])])
+            times = np.append(times, times.sum())
+        grouped = pa.table([phrase, pa.array(times)], names=["phrase", "f"]).group_by(
+            "phrase").aggregate([("f", "sum")])
+        return grouped.rename_columns(["phrase", "f"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, chunk = (pc.cast(batch.column(i), pa.string()) for i in (0, 1))
-            last = batch.column(2).to_numpy(zero_copy_only=False)
-            n = batch.column(3).to_numpy()
-            ends = np.cumsum(pc.binary_length(chunk).to_numpy(zero_copy_only=False) + 1)
-            begin = 0
-            while begin < len(n):
-                before = ends[begin - 1] if begin else 0
-                end = max(begin + 1, int(np.searchsorted(ends, before + SLICE, "right")))
-                part = slice(begin, end)
-                grouped = some(
-                    langs[part], chunk[part], last[part], n[part]).group_by(
-                    ["lang", "phrase"]).aggregate([("f", "sum")])
-                yield from grouped.rename_columns(["lang", "phrase", "f"]).to_batches()
-                begin = end
-
-    return chunks.select("lang", "chunk", "last", "n").mapInArrow(
-        run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(
-        F.sum("f").alias("f"))
+            for lang, lines, last, n in zip(*batch.columns):
+                times = np.frombuffer(n.as_buffer(), np.int64)
+                ends = np.unpackbits(
+                    np.frombuffer(last.as_buffer(), np.uint8), count=len(times)).astype(bool)
+                found = some(lines.as_buffer().to_pybytes(), ends, times)
+                for part in found.to_batches():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.repeat(lang, part.num_rows), *part.columns],
+                        names=["lang", "phrase", "f"])
+
+    return chunks.mapInArrow(run, "lang string, phrase string, f long").groupBy(
+        "lang", "phrase").agg(F.sum("f").alias("f"))
 
 
 def _bits(hashes: np.ndarray) -> np.ndarray:
@@ -240,7 +276,7 @@ def frequent_bitmap(grams: DataFrame, size: int) -> np.ndarray:
 
 
 def frequent_grams(chunks: DataFrame, least: int = LEAST) -> dict[int, DataFrame]:
-    """Stored phrases of 1, 2 and 3 words with at least ``least`` occurrences; the first frame also
+    """From packed chunks: stored phrases of 1, 2 and 3 words with at least ``least`` occurrences; the first frame also
     has the empty phrase of every language."""
     words = materialize(counts(chunks, 1).where((F.col("f") >= least) | (F.col("phrase") == "")),
                         "frequent-1")
@@ -297,7 +333,7 @@ def mine(
     Repeated rows count each time. Ties go to the more frequent phrase, then to the smaller one by
     bytes. An empty table gives no rows; other columns are not read.
     """
-    chunks = materialize(dictionary(docs, text, lang), "chunks")
+    chunks = materialize(packed(dictionary(docs, text, lang)), "chunks")
     grams = frequent_grams(chunks, least)
     # The order within a language is that of these ranges, so no language is ever in one task.
     order = ["down", "rare", "phrase"]
