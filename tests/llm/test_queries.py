@@ -1,13 +1,16 @@
+import base64
 import importlib
 
+import public_tokenizers
 import pytest
+import tiktoken
 
 import corpus_pipeline
 from checks.compare import difference, duck
-from stridelake.llm import quality, queries, secrets
+from stridelake.llm import mixing, quality, queries, secrets
 from stridelake.llm.common import connected, id_bitmap, in_bitmap
 from stridelake.session import materialize
-from tests.llm.data import documents, empty
+from tests.llm.data import documents, empty, rows_of
 from tests.llm.test_jaccard import brute
 
 SMALL = "/root/testdata/sf0.001"
@@ -23,9 +26,9 @@ def test_query_equals_its_sql(spark, name):
 WITHOUT_SQL = {
     "op1_karmarkar_karp_shards": "test_sharding.test_query",
     "op2_permutation_index_search": "test_vectors.test_ann_recall_and_scores",
-    "op6_byte_bpe_round_trip": "test_bpe.test_query_equals_tiktoken",
-    "op7_weak_label_quality": "test_classifiers.test_quality_against_labels",
-    "op9_string_kernel_language": "test_classifiers.test_language_held_out",
+    "op6_byte_bpe_round_trip": "test_bpe.test_round_trip_digests",
+    "op7_weak_label_quality": "test_classifiers.test_scores_against_a_plain_model",
+    "op9_string_kernel_language": "test_classifiers.test_held_out_languages",
     "op11_bin_completion_packing": "test_packing.test_query",
     "op12_head_tail_resampling": "test_resampling.test_query",
 }
@@ -74,6 +77,9 @@ def test_pipeline_stage_by_stage(spark):
     rows = [(r.doc_id, r.text) for r in before.collect()]
     want = {c for i, _, c in brute([r for r in rows if r[0] != 110]) if i is not None}
     assert {r.doc_id for r in after.collect() if r.doc_id not in (None, 110)} == want
+    # Different texts of one id are no copies of each other.
+    assert {r.text for r in after.where("doc_id = 110").collect()} == {
+        t for i, t in rows if i == 110}
 
     before, after = kept["secret_scan"]
     assert after.count() == before.count()
@@ -81,10 +87,20 @@ def test_pipeline_stage_by_stage(spark):
     assert after.where("n_chars <> char_length(text)").count() == 0
 
     before, after = kept["target_weight_mixing"]
+    chosen = mixing.mix(before).where("kept")
+    assert rows_of(after, "doc_id") == rows_of(chosen, "doc_id") and 0 < after.count()
     assert {tuple(r) for r in after.collect()} <= {tuple(r) for r in before.collect()}
 
     before, after = kept["byte_bpe_encoding"]
-    assert after.count() == before.count() and after.where("size(ids) <> n_tokens").count() == 0
+    ranks = {base64.b64decode(a): int(b) for a, b in map(
+        bytes.split, open(public_tokenizers.path(corpus_pipeline.VOCABULARY), "rb"))}
+    library = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = sorted(((r.doc_id is None, r.doc_id, r.lang, r.source, library.encode_ordinary(r.text or ""))
+                   for r in before.collect()), key=str)
+    got = sorted(((r.doc_id is None, r.doc_id, r.lang, r.source, r.ids) for r in after.collect()),
+                 key=str)
+    assert got == want and after.where("size(ids) <> n_tokens").count() == 0
 
 
 def test_pipeline_of_an_empty_table(spark):

@@ -2,7 +2,7 @@ import itertools
 import zlib
 from collections import Counter, defaultdict
 
-from stridelake.llm import sharding
+from stridelake.llm import queries, sharding
 from tests.llm.data import documents, empty
 
 
@@ -64,3 +64,27 @@ def test_empty_table_and_kept_columns(spark):
     docs = documents(spark)
     out = sharding.shard_documents(docs, 4)
     assert sorted(out.columns) == sorted(docs.columns) and out.count() == docs.count()
+
+
+def test_query(spark):
+    """The registered query against sizes, groups and balance worked out here."""
+    sf_dir = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    rows = queries.shards(spark, sf_dir).collect()
+    want = {r.doc_id: (len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode()))
+            for r in docs}
+    assert {r.doc_id: (r["size"], r.text_crc32) for r in rows} == want and len(rows) == len(docs)
+    groups, sums, shard_of, slots = Counter(), Counter(), {}, defaultdict(list)
+    text_of = {r.doc_id: r.text for r in docs}
+    for r in rows:
+        groups[text_of[r.doc_id]] += r["size"]
+        sums[r.shard] += r["size"]
+        assert shard_of.setdefault(text_of[r.doc_id], r.shard) == r.shard
+        slots[r.shard].append(r.slot)
+    assert set(sums) == set(range(16))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    # No worse than dealing the groups, largest first, each to the emptiest shard.
+    greedy = [0] * 16
+    for size in sorted(groups.values(), reverse=True):
+        greedy[greedy.index(min(greedy))] += size
+    assert max(sums.values()) - min(sums.values()) <= max(greedy) - min(greedy) + 16
