@@ -93,6 +93,30 @@ def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+def activity_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_id`` and ``text``: activity records as JSON, most of them broken in one way."""
+    kinds = events(spark, sf_dir).select(F.col("event_id").cast("string").alias("id"), "k")
+    acts = activities(spark, sf_dir).drop("athlete_id", "endurance_metrics", "class_metrics")
+    way = F.col("k") % 12
+    distance = F.struct(F.lit(5.5).alias("distance_m"))
+    record = F.struct(
+        F.when(way != 5, F.col("id")).alias("id"), F.lit("strava").alias("source"),
+        "original_source", "activity_type", "name",
+        F.when(way == 7, "soon").otherwise(F.date_format("start_time", "yyyy-MM-dd'T'HH:mm:ss"))
+        .alias("start_time"),
+        F.when(way == 3, -1.0).otherwise(F.col("elapsed_time_s")).alias("elapsed_time_s"),
+        F.when(way != 0, F.col("calories")).alias("calories"),
+        F.when(way == 0, "12 kcal").alias("calories_text"),
+        F.when(way.isin(4, 8), distance).alias("endurance_metrics"),
+        F.when(way.isin(4, 9), F.struct(F.lit("spin").alias("class_type"))).alias("class_metrics"),
+        F.when(way == 2, 1).alias("colour"), "raw_file_reference")
+    text = F.replace(F.to_json(record), F.lit("calories_text"), F.lit("calories"))
+    return acts.join(kinds, "id").select(
+        F.col("id").cast("long").alias("event_id"),
+        F.when(way == 1, F.substring(text, 1, 40)).when(way == 6, F.concat(
+            F.lit("["), text, F.lit("]"))).otherwise(text).alias("text"))
+
+
 def long_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Activities over several years, one per order."""
     return order_activities(table(spark, sf_dir, "orders"))

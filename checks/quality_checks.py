@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from checks import adapters as A
-from checks.sql import E, LIFE_EVENTS, READINGS, ascii_only, half_even, with_
+from checks.sql import ACTS, E, LIFE_EVENTS, READINGS, ascii_only, half_even, with_
 from pyspark.sql import functions as F
+from stridelake import session
 from stridelake.functions import numeric as N, text as X, times
-from stridelake.operators import quality
+from stridelake.operators import normalize, quality, rules
+from stridelake.sources import files
 
 _WEIGHT = READINGS + """,
 shape AS (
@@ -134,7 +136,42 @@ def _numbers(s, d):
     )
 
 
+def _record_outcomes(s, d):
+    checked = rules.check(A.activity_texts(s, d), normalize.activity_spec())
+    return checked.select("event_id", F.array_join("violations", "; ").alias("violations"))
+
+
+def _checked_records(s, d):
+    """The good records, written as text files and read back through the rules."""
+    path = session.fresh_path(s, "texts")
+    A.activity_texts(s, d).select(F.col("text").alias("value")).write.text(path)
+    good, _ = rules.read_checked(
+        files.read_texts(s, path, multi_line=False).drop("file"), normalize.activity_spec())
+    return good.select(
+        "id", "original_source", "name", "start_time", "elapsed_time_s", "calories",
+        F.col("endurance_metrics.distance_m").alias("distance_m"),
+        F.col("class_metrics.class_type").alias("class_type"))
+
+
 CHECKS = {
+    "record_outcomes": (
+        _record_outcomes,
+        with_(E) + """
+SELECT event_id, CASE k % 12 WHEN 0 THEN 'calories is not a number'
+  WHEN 1 THEN 'record is no JSON object' WHEN 2 THEN 'record has unknown fields'
+  WHEN 3 THEN 'elapsed_time_s is out of range'
+  WHEN 4 THEN 'more than one of endurance_metrics, strength_metrics, class_metrics'
+  WHEN 5 THEN 'id is required' WHEN 6 THEN 'record is no JSON object'
+  WHEN 7 THEN 'start_time is not a time' ELSE '' END AS violations
+FROM e"""),
+    "checked_records": (
+        _checked_records,
+        with_(ACTS) + """
+SELECT id, src AS original_source, name, date_trunc('second', start_time) AS start_time,
+       elapsed_s AS elapsed_time_s, calories,
+       CASE WHEN k % 12 = 8 THEN 5.5::DOUBLE END AS distance_m,
+       CASE WHEN k % 12 = 9 THEN 'spin' END AS class_type
+FROM acts WHERE k % 12 > 7"""),
     "weight_issues": (
         lambda s, d: quality.validate_weight(A.readings(s, d)),
         with_(E, _WEIGHT) + "SELECT entry, label, message FROM issues"),

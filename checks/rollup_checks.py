@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks import adapters as A
 from checks.sql import (
     ACTS, E, LONG_ACTS, READINGS, STRENGTH, TRACKS, half_even, mean, total, with_)
+from stridelake import schemas, session
 from stridelake.functions import numeric as N
-from stridelake.operators import intervals, lookup, rollups
+from stridelake.operators import intervals, lookup, normalize, rollups, states
+from stridelake.plans import reports
+from stridelake.streaming import ingest
 
 START = "2024-01-08"
 LONG_START = "1999-06-01"
@@ -48,6 +51,42 @@ _WEEKLY_SQL = with_(ACTS, STRENGTH, f"""o AS (
   SELECT CAST(unnest(generate_series(DATE '{START}', max(start_time), INTERVAL 7 DAY)) AS DATE)
          AS week FROM acts)""")
 
+def _in_batches(s, d) -> states.Daily:
+    """The daily table of all activities, kept over four batches: some activities first come with
+    another time and source, are then replaced, and the table is compacted in between."""
+    path = session.fresh_path(s, "kept")
+    store = ingest.Store("", f"{path}/acts", f"{path}/tracks", f"{path}/ledger",
+                         daily=f"{path}/daily")
+    acts = A.activities(s, d)
+    key = F.col("id").cast("long")
+    wrong = acts.where(key % 5 == 0).withColumns({
+        "start_time": F.col("start_time") - F.expr("INTERVAL 40 DAYS"),
+        "original_source": F.lit("hevy"), "elapsed_time_s": F.lit(1e7)})
+    for n, batch in enumerate((wrong, acts.where(key % 2 == 1), acts.where(key % 10 == 0),
+                               acts.where((key % 2 == 0) & (key % 10 != 0)))):
+        made = normalize.conform(batch.withColumns({
+            "entry": F.col("id"), "modified": F.timestamp_seconds(F.lit(n))}),
+            schemas.STORED_ACTIVITY)
+        ingest.store_result(ingest.IngestResult(
+            made, s.createDataFrame([], schemas.STORED_POINT),
+            s.createDataFrame([], schemas.OUTCOME)), store, f"batch {n}")
+        if n == 1:
+            store.daily_table.compact(s)
+    return store.daily_table.read(s)
+
+
+def _dashboard(section):
+    """A section of the overview bundle, from one reading of the long activities."""
+    return lambda s, d: reports.dashboard(
+        A.long_activities(s, d), A.tracks(s, d), A.strength(s, d), LONG_START)[section]
+
+
+def _report(section):
+    """A section of the training bundle, from one reading of the activities."""
+    return lambda s, d: reports.training_report(
+        A.activities(s, d), A.strength(s, d), START)[section]
+
+
 def _extreme_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sums of tiny, huge, infinite and undefined values, one kind per line number."""
     kind, odd = F.col("l_linenumber"), F.col("l_orderkey")
@@ -228,3 +267,40 @@ SELECT coalesce(l.id, r.id) AS id,
 FROM (SELECT DISTINCT l_orderkey * 3 AS id FROM lineitem) l
 FULL JOIN (SELECT o_orderkey AS id FROM orders) r ON l.id = r.id"""),
 }
+
+# The same sections out of the two report bundles and out of a daily table that was kept by batches.
+CHECKS |= {
+    "dashboard_stats": (_dashboard("stats"), CHECKS["header_stats_long_span"][1]),
+    "dashboard_by_year": (_dashboard("by_year"), CHECKS["rides_by_year"][1]),
+    "dashboard_cadence_speed": (
+        _dashboard("cadence_speed_by_year"), CHECKS["moving_averages_by_year"][1]),
+    "dashboard_class_by_year": (_dashboard("class_by_year"), CHECKS["class_rides_by_year"][1]),
+    "dashboard_trailing_months": (
+        _dashboard("monthly_last_24"), CHECKS["rides_in_trailing_months"][1]),
+    "report_weekly": (_report("weekly"), CHECKS["weekly_volume"][1]),
+    "report_headline": (_report("headline"), CHECKS["window_headline"][1]),
+    "kept_stats": (
+        lambda s, d: rollups.header_stats(_in_batches(s, d)), CHECKS["header_stats"][1]),
+    "kept_weekly_volume": (
+        lambda s, d: rollups.weekly_volume(_in_batches(s, d), A.strength(s, d), START),
+        CHECKS["weekly_volume"][1]),
+    "kept_rides_by_local_hour": (
+        lambda s, d: rollups.by_local_hour(_in_batches(s, d)),
+        CHECKS["rides_by_local_hour"][1]),
+    "rides_by_athlete_and_year": (
+        lambda s, d: rollups.by_year(A.long_activities(s, d), ["athlete_id"]),
+        with_(LONG_ACTS) + f"""
+SELECT athlete_id, CAST(year(start_time) AS INTEGER) AS yr, count(*) AS n,
+       round({total('distance_m')} / 1000.0::DOUBLE, 1) AS total_km,
+       round(max(distance_m) / 1000.0::DOUBLE, 1) AS longest_km,
+       round({mean('hr')}, 1) AS avg_hr
+FROM acts WHERE src <> 'peloton' GROUP BY 1, 2"""),
+    "rides_by_athlete_month_and_kind": (
+        lambda s, d: rollups.monthly_by_class(
+            A.long_activities(s, d), LONG_START, ["athlete_id"]),
+        with_(LONG_ACTS) + """
+SELECT athlete_id, strftime(start_time, '%Y-%m') AS month,
+       count(*) FILTER (WHERE src IS DISTINCT FROM 'peloton') AS outdoor,
+       count(*) FILTER (WHERE src = 'peloton') AS class
+FROM acts WHERE start_time >= DATE '1999-01-01' GROUP BY 1, 2"""),
+}

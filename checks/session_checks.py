@@ -56,7 +56,7 @@ def _sessions(s, d, orphans: bool):
     return reports.class_sessions(rides, _matches(s, d, rides))[int(orphans)]
 
 
-def _rows(condition: str) -> str:
+def _rows(condition: str, gap_s: int = GAP_S) -> str:
     return f"""r AS (
   SELECT athlete_id, id, start_time AS start, {ascii_only('name')} AS name, elapsed_s, hr, max_hr,
          calories, kj,
@@ -66,7 +66,7 @@ o AS (
   SELECT *, lag(end_ts) OVER (PARTITION BY athlete_id ORDER BY start, id) AS prev_end FROM r),
 f AS (
   SELECT *, sum(CASE WHEN prev_end IS NULL
-                       OR epoch_us(start) - epoch_us(prev_end) > {GAP_S * 1000000} THEN 1
+                       OR epoch_us(start) - epoch_us(prev_end) > {gap_s * 1000000} THEN 1
                      ELSE 0 END)
             OVER (PARTITION BY athlete_id ORDER BY start, id ROWS UNBOUNDED PRECEDING) AS bundle
   FROM o),
@@ -125,6 +125,13 @@ CHECKS = {
         lambda s, d: sessions.bundle_by_gap(_rides(s, d), GAP_S).select(
             "athlete_id", "id", "start", "bundle_start"),
         _ALL + "SELECT athlete_id, id, start, bundle_start FROM role"),
+    "bundles_of_one_athlete": (
+        lambda s, d: sessions.bundle_by_gap(
+            _rides(s, d).withColumn("athlete_id", F.lit(0).cast("long")), 60).select(
+            "athlete_id", "id", "start", "bundle_start"),
+        with_(ACTS.replace("user_id AS athlete_id", "0::BIGINT AS athlete_id"),
+              _rows("src = 'peloton'", 60))
+        + "SELECT athlete_id, id, start, bundle_start FROM role"),
     "streamed_bundles": (
         _streamed_bundles,
         _ALL + "SELECT athlete_id, id, start, bundle_start FROM role"),

@@ -99,11 +99,10 @@ def exact_total(sums: dict[str, Column]) -> Column:
     whole = (wide("high") * radix + wide("mid")) * radix + wide("low") + carry
     units = whole.cast("double")
     fraction = (wide("bits") - carry * radix).cast("double") / F.lit(_RADIX)
-    # What rounding takes away from the sum of the large parts goes to the small one.
+    # What rounding takes away from the larger part goes to the small one. ``units`` is 0 or larger
+    # than ``fraction``, so one difference tells it.
     total = units + fraction
-    back = total - units
-    lost = (units - (total - back)) + (fraction - back)
-    return total + (lost + sums["fine"])
+    return total + ((fraction - (total - units)) + sums["fine"])
 
 
 def exact_sum(c: Column) -> Column:

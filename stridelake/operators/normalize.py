@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stridelake import schemas
 from stridelake.functions import numeric as N, text as X, times
-from stridelake.operators import quality
+from stridelake.operators import quality, rules
 
 # Sports per metrics block and the sources of weight readings.
 ENDURANCE_SPORTS = (
@@ -94,6 +94,20 @@ def to_activity(raw: DataFrame, athlete_id: Column | None = None) -> DataFrame:
     return raw.select(*columns, *[c for c in raw.columns if c not in ("session", "file_id")])
 
 
+def activity_spec() -> rules.Spec:
+    """What a written activity record must look like."""
+    written = T.StructType([f for f in schemas.ACTIVITY if f.name != "athlete_id"])
+    positive = (0.0, None)
+    return rules.Spec(
+        written, required=REQUIRED_FIELDS,
+        ranges={
+            "elapsed_time_s": positive, "moving_time_s": positive, "calories": positive,
+            "average_heart_rate": (0.0, 300.0), "max_heart_rate": (0.0, 300.0),
+            "endurance_metrics.distance_m": positive, "class_metrics.output_kj": positive},
+        enums={"source": (RECORD_SOURCE,)},
+        exclusive=(("endurance_metrics", "strength_metrics", "class_metrics"),))
+
+
 def activity_rules() -> list[quality.Rule]:
     return quality.required(*REQUIRED_FIELDS)
 

@@ -220,9 +220,11 @@ def weekly_volume(
         .groupBy(times.week_start(F.col("start")).alias("week"))
         .agg(
             F.count("*").alias("strength_n"),
-            N.round_half_even(
-                N.exact_sum(F.coalesce("minutes", F.lit(0.0))), 1).alias("strength_min"),
+            N.exact_sum(F.coalesce("minutes", F.lit(0.0))).alias("minutes"),
         )
+        # Rounding names its input many times, so it comes after the sum is made.
+        .select("week", "strength_n",
+                N.round_half_even(F.col("minutes"), 1).alias("strength_min"))
     )
     spine = calendars.week_spine(weeks.agg(F.max("latest").alias("latest")), start)
     joined = spine.join(weeks.drop("latest"), "week", "left").join(sessions, "week", "left")

@@ -40,13 +40,15 @@ def _prepare(acts: DataFrame) -> DataFrame:
 
 
 def arrivals(acts: DataFrame) -> DataFrame:
-    """What a stream of activities needs to place rides: ``athlete_id``, ``id``, ``start``, ``end``.
+    """What a stream of activities needs to place rides: ``athlete`` (the id as text, empty for
+    none, since keys of state should not be null), ``id``, ``start``, ``end``.
 
     A start in the far future would move the watermark past all that is still to come, so rides
     from ``FAR`` on are left out.
     """
     return _prepare(acts).where(F.col("start") < F.lit(FAR).cast("timestamp")).select(
-        "athlete_id", "id", "start", "end")
+        F.coalesce(F.col("athlete_id").cast("string"), F.lit("")).alias("athlete"),
+        "id", "start", "end")
 
 
 def _main_candidate() -> Column:
@@ -151,9 +153,8 @@ def bundle_records(acts: DataFrame, gap_s: float = GAP_S, parts: int | None = No
         F.count("*").alias("n_rows"),
         N.exact_sum(F.col("elapsed_s")).alias("elapsed_sum"),
         N.exact_sum(kj).alias("kj_sum"),
-        *[N.round_half_even(N.exact_avg(F.when(side, F.col("hr"))), 1).alias(name)
-          for name, side in sides.items()],
-    )
+        *[N.exact_avg(F.when(side, F.col("hr"))).alias(name) for name, side in sides.items()],
+    ).withColumns({name: N.round_half_even(F.col(name), 1) for name in sides})
 
 
 def summarize_bundles(bundles: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -121,7 +121,7 @@ def settled(
     source: DataFrame | Daily, keys: dict[str, Callable[[When], Column]],
     measures: tuple[str, ...] = (RIDE,), kind: str | None = None, split: bool = True,
 ) -> DataFrame:
-    """Keys, ``kind``, ``measure``, ``n``, ``total``, ``mean``, ``top``, ``first``, ``last``.
+    """Keys, ``kind``, ``measure``, ``n``, ``total``, ``top``, ``first``, ``last`` and ``mean``.
 
     Without ``split`` all kinds are taken together and ``kind`` is null.
     """
@@ -129,9 +129,9 @@ def settled(
     if not split:
         rows = rows.withColumn("kind", F.lit(None).cast("string"))
     return rows.groupBy(*keys, "kind", "measure").agg(
-        F.sum("n").alias("n"), total().alias("total"),
-        F.try_divide(total(), F.sum("n")).alias("mean"), F.max("top").alias("top"),
-        F.min("first").alias("first"), F.max("last").alias("last"))
+        F.sum("n").alias("n"), total().alias("total"), F.max("top").alias("top"),
+        F.min("first").alias("first"), F.max("last").alias("last")).withColumn(
+        "mean", F.try_divide("total", "n"))
 
 
 def of(measure: str, column: str, kind: str | None = None) -> Column:

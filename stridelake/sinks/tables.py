@@ -129,6 +129,10 @@ class Log:
     def read(self, spark: SparkSession) -> DataFrame:
         return read_folders(spark, self.schema, list(Versions(spark, self.path).live().values()))
 
+    def batches(self, spark: SparkSession) -> set[str]:
+        """The batches that are stored and not compacted yet."""
+        return set(Versions(spark, self.path).live()) - {BASE}
+
     def store(self, rows: DataFrame, batch: str) -> None:
         Versions(rows.sparkSession, self.path).store(_typed(rows, self.schema), batch, {})
 

@@ -31,6 +31,13 @@ def read_activities(
     return df
 
 
+def read_texts(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """``text`` and ``file``: JSON records as they are written, one per file, or per line without
+    ``multi_line``; for :mod:`operators.rules`."""
+    return spark.read.text(path, wholetext=multi_line).select(
+        F.col("value").alias("text"), F.col("_metadata.file_path").alias("file"))
+
+
 def read_activity_table(spark: SparkSession, path: str) -> DataFrame:
     """Activity records after compaction to Parquet, where filters and columns are pushed down."""
     return spark.read.schema(schemas.ACTIVITY).parquet(path)

@@ -10,13 +10,15 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stridelake import schemas
 from stridelake.functions import numeric as N, text as X, times
 from stridelake.session import materialize
 from stridelake.sources import lapfiles
 
+MESSAGE_BUCKETS = 256
+
 
 class RawPayloads(NamedTuple):
     files: DataFrame
@@ -92,6 +94,26 @@ def tcx_to_raw(parsed: LapFiles) -> RawPayloads:
     return RawPayloads(files, tcx_points(parsed.points))
 
 
+def _bucket(payload: Column) -> Column:
+    return F.pmod(F.xxhash64(payload), F.lit(MESSAGE_BUCKETS)).cast("int")
+
+
+def write_messages(messages: DataFrame, path: str) -> None:
+    """Add decoded messages to a table whose folders hold those of a share of the payloads."""
+    (messages.withColumn("bucket", _bucket(F.col("payload")))
+     .hint("rebalance", F.col("bucket")).write.mode("append").partitionBy("bucket").parquet(path))
+
+
+def read_messages(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """The messages of the payloads in ``wanted``; of a table made by :func:`write_messages` only
+    the folders that may hold some are read."""
+    messages = spark.read.schema(schemas.MESSAGE).parquet(path)
+    if "bucket" in messages.columns:
+        buckets = wanted.select(_bucket(F.col("payload")).alias("bucket")).distinct().collect()
+        messages = messages.where(F.col("bucket").isin([r.bucket for r in buckets])).drop("bucket")
+    return messages.join(wanted.select("payload"), "payload", "left_semi")
+
+
 def collapse_messages(messages: DataFrame) -> RawPayloads:
     """Collapse decoded messages (``schemas.MESSAGE``) to the common raw shape.
 

@@ -69,7 +69,7 @@ class Bundler(StatefulProcessor):
             self.waiting.clear()
         yield self._place(key[0], rides[settled].sort_values(["start", "id"]))
 
-    def _place(self, athlete: Any, rides: pd.DataFrame) -> pd.DataFrame:
+    def _place(self, athlete: str, rides: pd.DataFrame) -> pd.DataFrame:
         before = self.open.get() if self.open.exists() else (None, None)
         previous_end = rides["end"].shift()
         previous_end.iloc[0] = pd.NaT if before[0] is None else before[0]
@@ -79,7 +79,8 @@ class Bundler(StatefulProcessor):
             bundle_start = bundle_start.fillna(pd.Timestamp(before[1]))
         self.open.update((rides["end"].iloc[-1], bundle_start.iloc[-1]))
         return pd.DataFrame({
-            "athlete_id": pd.array([athlete] * len(rides), "Int64"), "id": rides["id"],
+            "athlete_id": pd.array([int(athlete) if athlete else None] * len(rides), "Int64"),
+            "id": rides["id"],
             "start": rides["start"], "bundle_start": bundle_start})
 
     def close(self) -> None:
@@ -103,7 +104,7 @@ def stream_bundles(
     spark = activities.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     return (
-        arrivals(activities).withWatermark("start", delay).groupBy("athlete_id")
+        arrivals(activities).withWatermark("start", delay).groupBy("athlete")
         .transformWithStateInPandas(
             statefulProcessor=Bundler(gap_s), outputStructType=PLACED, outputMode="Append",
             timeMode="EventTime")

@@ -9,6 +9,7 @@ entries are dealt to batches, and a run that dies half-way is simply repeated.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import NamedTuple
@@ -177,8 +178,7 @@ def _raw(spark: SparkSession, store: Store, todo: DataFrame) -> payloads.RawPayl
     raw = payloads.tcx_to_raw(payloads.read_tcx(xml, store.inputs))
     if not store.messages:
         return raw
-    messages = spark.read.schema(schemas.MESSAGE).parquet(store.messages)
-    messages = messages.join(wanted, "payload", "left_semi")
+    messages = payloads.read_messages(spark, store.messages, wanted)
     return payloads.union_raw(payloads.collapse_messages(messages), raw)
 
 
@@ -198,11 +198,18 @@ def run_batch(
 ) -> DataFrame:
     """One resumable batch over the input folder; returns its summary.
 
-    Only the files of this batch are opened.
+    Only the files of this batch are opened. A batch that died may be run again under its name; the
+    name of one that ended is taken.
     """
+    taken = store.ledger_table.batches(spark)
+    name = batch_id or batch_name()
+    while name in taken:
+        if batch_id:
+            raise ValueError(f"there is a batch {batch_id} already")
+        name += "_"
     triaged = listing.triage_entries(listing.list_tree(spark, store.inputs))
     todo = pending_entries(triaged, read_ledger(spark, store.ledger), batch_size)
-    return quality.batch_summary(_run(spark, store, todo, batch_id or batch_name()).outcomes)
+    return quality.batch_summary(_run(spark, store, todo, name).outcomes)
 
 
 def run_available_now(spark: SparkSession, store: Store, max_files: int = 10_000) -> None:
@@ -210,8 +217,8 @@ def run_available_now(spark: SparkSession, store: Store, max_files: int = 10_000
 
     The stream only says which entries to look at; what an entry holds is read from its folder, and
     the ledger says whether it is done. So the tables do not depend on how many files a micro-batch
-    takes. The stream's own batch number names the batch, so a repeated micro-batch replaces what
-    it stored. A stream never sees a file twice: retries of failed entries are what
+    takes. Checkpoint and batch number name the batch, so a repeated micro-batch replaces what it
+    stored. A stream never sees a file twice: retries of failed entries are what
     :func:`run_batch` is for.
     """
     stream = (
@@ -222,17 +229,19 @@ def run_available_now(spark: SparkSession, store: Store, max_files: int = 10_000
                 F.col("modificationTime").alias("modified"))
     )
 
+    mark = f"{zlib.crc32(store.checkpoint.encode()):08x}"
+
     def process_batch(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
+        session, name = batch.sparkSession, f"stream-{mark}-{number}"
         in_folder = F.col("path").contains("/")
         folders = batch.where(in_folder).select(
             F.concat(F.substring_index("path", "/", 1), F.lit("/")).alias("path")).distinct()
         arrived = batch.where(~in_folder).unionByName(
             listing.list_tree(session, store.inputs, folders))
         todo = pending_entries(
-            listing.triage_entries(arrived), read_ledger(session, store.ledger).where(
-                F.col("batch_id") != f"stream-{number}"))
-        _run(session, store, todo, f"stream-{number}")
+            listing.triage_entries(arrived),
+            read_ledger(session, store.ledger).where(F.col("batch_id") != name))
+        _run(session, store, todo, name)
 
     run_once(stream.writeStream.foreachBatch(process_batch), store.checkpoint)
 

@@ -3,6 +3,7 @@
 import gzip
 import io
 import json
+import re
 import tracemalloc
 
 import pytest
@@ -268,6 +269,40 @@ def test_repeated_batch_changes_nothing(spark, store):
     assert len(stored_names(spark, store)) == 2
 
 
+def test_the_name_of_a_batch_that_ended_is_taken(spark, store, tmp_path):
+    ingest.run_batch(spark, store, batch_id="one")
+    (tmp_path / "in" / "9.tcx").write_text(xml())
+    with pytest.raises(ValueError, match="already"):
+        ingest.run_batch(spark, store, batch_id="one")
+    assert set(stored_names(spark, store)) == {"100", "102"}
+
+
+@pytest.mark.parametrize("step", ["track_table", "activity_table", "ledger_table"])
+def test_a_batch_that_dies_is_made_again(spark, store, monkeypatch, step):
+    class Died(Exception):
+        pass
+
+    class Dying:
+        def __init__(self, table):
+            self.table = table
+
+        def __getattr__(self, name):
+            return getattr(self.table, name)
+
+        def store(self, *_):
+            raise Died
+
+    before = getattr(ingest.Store, step).fget
+    with monkeypatch.context() as m:
+        m.setattr(ingest.Store, step, property(lambda self: Dying(before(self))))
+        with pytest.raises(Died):
+            ingest.run_batch(spark, store, batch_id="one")
+    summary = ingest.run_batch(spark, store, batch_id="one").first()
+    assert (summary.attempted, summary.succeeded) == (5, 2)
+    assert set(stored_names(spark, store)) == {"100", "102"}
+    assert ingest.read_tracks(spark, store).count() == 3
+
+
 def test_stream_of_files(spark, store):
     ingest.run_available_now(spark, store, max_files=2)
     assert set(stored_names(spark, store)) == {"100", "102"}
@@ -321,6 +356,20 @@ def test_files_are_opened_by_their_exact_names(spark, tmp_path):
     assert "could not be read" in errors["gone.tcx"]
 
 
+def test_only_folders_of_wanted_payloads_are_read(spark, tmp_path):
+    path = str(tmp_path / "messages")
+    rows = [message(f"{i}.fit", "record", n, distance=float(n)) for i in range(60) for n in (1, 2)]
+    for part in (rows[:50], rows[50:]):
+        payloads.write_messages(spark.createDataFrame(part, schemas.MESSAGE), path)
+    wanted = spark.createDataFrame([("7.fit",), ("31.fit",), ("none.fit",)], "payload string")
+    found = payloads.read_messages(spark, path, wanted)
+    assert sorted(r.payload for r in found.collect()) == ["31.fit"] * 2 + ["7.fit"] * 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ IN", plan)
+    nothing = payloads.read_messages(spark, path, wanted.where("false"))
+    assert nothing.count() == 0
+
+
 def points(n):
     return "".join(f"<Trackpoint><Time>2026-06-01T10:00:00Z</Time><Cadence>{i % 200}</Cadence>"
                    "</Trackpoint>" for i in range(n))

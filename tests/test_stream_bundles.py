@@ -1,6 +1,7 @@
 """Bundles of a stream against those of the whole table."""
 
 import random
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,6 @@ from stridelake import schemas
 from stridelake.operators import sessions
 from stridelake.streaming import bundles
 from tests.helpers import activities, activity, utc
-from datetime import timedelta
 
 
 def rides(n=160, seed=5):
@@ -18,7 +18,7 @@ def rides(n=160, seed=5):
     made = []
     for i in range(n):
         start = base + timedelta(minutes=rng.choice([0, 3, 9, 11, 40]) + 12 * rng.randint(0, 500))
-        made.append(activity(i, start, athlete_id=rng.choice([0, 0, 0, 1, None]),
+        made.append(activity(i, start, athlete_id=rng.choice([0, 0, 0, 1, 2 ** 60 + 1, None]),
                              elapsed_time_s=float(rng.choice([30, 600, 1200]))))
     return made
 
@@ -31,7 +31,7 @@ def batches(rows, n, rng):
 
 
 def heartbeat(at):
-    return {**activity(0, at), "id": None}
+    return {**activity(0, at), "id": None, "athlete_id": None}
 
 
 @pytest.mark.parametrize("seed", [1, 2])
