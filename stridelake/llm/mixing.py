@@ -98,7 +98,7 @@ def rake(
     ``wished`` holds a frame of category and ``target`` per margin, in any scale; cells of a
     category without one get nothing. The result also has, for each margin, ``aim_<margin>`` and
     ``off_<margin>``: the target in tokens and the relative error that is left. Each sweep is a few
-    small aggregations and joins in Spark, since sources may be many, and is written to the shared
+    small aggregations and joins in Spark, since sources may be many, each written to the shared
     folder.
     """
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
@@ -125,14 +125,14 @@ def rake(
         return raked.groupBy(margin, "easing").agg(F.sum("weight").alias("sum"))
 
     for _ in range(sweeps):
-        before = raked
-        for margin in wished:
-            raked = raked.join(sums_of(margin), [margin, "easing"]).withColumn(
-                "weight", F.least(
-                    F.col("weight") * (F.col(f"aim_{margin}") / F.col("sum")),
-                    F.col("tokens").cast("double"))).drop("sum")
-        raked = materialize(raked, "raked")
-        discard(before)
+        for margin in wished:  # written one by one, so no plan holds more than one join
+            before = raked
+            raked = materialize(
+                raked.join(sums_of(margin), [margin, "easing"]).withColumn(
+                    "weight", F.least(
+                        F.col("weight") * (F.col(f"aim_{margin}") / F.col("sum")),
+                        F.col("tokens").cast("double"))).drop("sum"), "raked")
+            discard(before)
     for margin in wished:
         raked = raked.join(sums_of(margin), [margin, "easing"]).withColumn(
             f"off_{margin}", F.abs(F.col("sum") / F.col(f"aim_{margin}") - 1)).drop("sum")
