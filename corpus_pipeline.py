@@ -14,23 +14,29 @@ from stridelake.llm.common import table
 from stridelake.session import configure, materialize
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+BATCH = "16m"  # of Arrow data; workers of five stages share an executor's memory
+
+
+def prepare(spark: SparkSession) -> None:
+    configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
 
 
 def judge(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    configure(spark)
+    prepare(spark)
     return quality.keep_good(docs)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
-    configure(spark)
+    prepare(spark)
     return jaccard.keep_one(docs)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with its secrets replaced and ``n_chars`` counted anew."""
-    configure(spark)
+    prepare(spark)
     clean = secrets.redact(docs)
     if "n_chars" not in clean.columns:
         return clean
@@ -40,13 +46,13 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled so that sources, languages and topics meet their target weights."""
-    configure(spark)
+    prepare(spark)
     return mixing.sample(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, lang, source, n_tokens, ids``: the token ids of each document's text."""
-    configure(spark)
+    prepare(spark)
     encoded = bpe.encode(
         docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN,
         keep=("doc_id", "lang", "source"))
