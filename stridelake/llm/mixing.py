@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stridelake.llm.common import WORD, unused
+from stridelake.llm.common import WORD, n_blocks, unused
 from stridelake.session import discard, materialize
 
 MARGINS = ("source", "lang", "topic")
@@ -32,6 +32,7 @@ AT_MOST = 0.9  # share of its tokens that a category's target may ask for
 FILLS = 8  # rounds in which what categories cannot give is shared out
 EASINGS = (0.0, 0.25, 0.5, 0.75, 1.0)
 TOLERANCE = 0.01
+CELLS_PER_FILE = 200_000
 SEED = "mixture"
 
 
@@ -106,7 +107,10 @@ def rake(
         cells = cells.join(
             wish.where("target > 0").select(margin, F.col("target").alias(f"wish_{margin}")), margin)
     cells = materialize(cells, "cells")
-    live = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    live, n = cells.agg(F.sum("tokens"), F.count("*")).first()
+    live = float(live or 0)
+    # Cells are few beside the documents, so they are kept in as few files as hold them.
+    files = n_blocks(n * len(EASINGS), CELLS_PER_FILE)
     most = max(AT_MOST, keep) * live
     budget = min(keep * total, most)
     easings = F.array(*map(F.lit, EASINGS))
@@ -119,7 +123,7 @@ def rake(
         eased = F.col("target") + (F.col("own") - F.col("target")) * F.col("easing")
         rungs = rungs.join(aims.select(margin, "own", "target"), margin).withColumn(
             f"aim_{margin}", F.lit(budget) * eased).drop("own", "target")
-    raked = materialize(rungs, "raked")
+    raked = materialize(rungs.coalesce(files), "raked")
 
     def sums_of(margin: str) -> DataFrame:
         return raked.groupBy(margin, "easing").agg(F.sum("weight").alias("sum"))
@@ -131,7 +135,7 @@ def rake(
                 raked.join(sums_of(margin), [margin, "easing"]).withColumn(
                     "weight", F.least(
                         F.col("weight") * (F.col(f"aim_{margin}") / F.col("sum")),
-                        F.col("tokens").cast("double"))).drop("sum"), "raked")
+                        F.col("tokens").cast("double"))).drop("sum").coalesce(files), "raked")
             discard(before)
     for margin in wished:
         raked = raked.join(sums_of(margin), [margin, "easing"]).withColumn(
