@@ -501,3 +501,14 @@ def test_an_activity_that_comes_back_without_samples_loses_its_track(spark, stor
     ingest.run_batch(spark, second, batch_id="two")
     points = ingest.read_tracks(spark, store).collect()
     assert {p.activity_id for p in points} == {"100"}
+
+
+def test_files_are_parsed_by_many_tasks_however_short_their_names(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lapfiles, "DEALT", 4)
+    for n in range(64):
+        (tmp_path / f"{n}.tcx").write_text(xml())
+    names = spark.createDataFrame([(f"{n}.tcx",) for n in range(64)], "payload string")
+    rows = lapfiles.parse_stored(names, str(tmp_path)).select("payload", F.spark_partition_id())
+    found = rows.collect()
+    assert len({task for _, task in found}) > 8
+    assert len(found) == 64 * 3 and len({payload for payload, _ in found}) == 64
