@@ -69,3 +69,22 @@ def test_state_goes_when_rides_are_settled(spark, tmp_path):
     # The third ride came after the watermark.
     assert {r.id for r in bundles.read_placed(spark, out).collect()} == {"1", "2"}
     assert bundles.read_placed(spark, out).where(F.col("start") != F.col("bundle_start")).isEmpty()
+
+
+def test_many_athletes_are_settled_in_few_calls(spark, tmp_path):
+    source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    rows = [activity(f"{a}-{n}", utc("2026-03-01") + timedelta(minutes=7 * n + a % 5),
+                     athlete_id=a, elapsed_time_s=60.0 * (n % 3))
+            for a in range(40) for n in range(30)]
+    activities(spark, *rows, heartbeat("2026-06-01")).write.parquet(source)
+    stream = spark.readStream.schema(schemas.ACTIVITY).parquet(source)
+    placed = bundles.stream_bundles(stream, "1 day", shares=3)
+    query = placed.writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", progress).trigger(availableNow=True).start()
+    query.awaitTermination()
+    held = max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"])
+    assert 0 < held < 40  # one value per athlete before
+    whole = sessions.bundle_by_gap(activities(spark, *rows)).select(
+        "athlete_id", "id", "start", "bundle_start")
+    assert sorted(map(tuple, bundles.read_placed(spark, out).collect())) == sorted(
+        map(tuple, whole.collect()))
