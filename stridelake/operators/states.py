@@ -15,9 +15,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stridelake.functions import numeric as N, text as X, times
+from stridelake.session import materialize
 
 OUTDOOR, CLASS = "outdoor", "class"
 RIDE = "ride"  # the measure that every activity has
+DEALT = 50_000  # activities of a task that makes daily states
 
 
 def _measures() -> dict[str, Column]:
@@ -94,21 +96,39 @@ def states(
         *[make(when).alias(f"_{name}") for name, make in keys.items()],
         kind_of(F.col("original_source")).alias("kind"), start.alias("_start"),
         F.explode(values).alias("_value"))
+    return _summed(
+        long.withColumnsRenamed({f"_{name}": name for name in keys} | {"_start": "start"}),
+        list(keys))
+
+
+def _summed(long: DataFrame, keys: list[str]) -> DataFrame:
+    """States of ``_value`` (``measure`` and ``value``) by ``keys`` and ``kind``."""
     value = F.col("_value.value")
     sums = N.sum_parts(N.exact_parts(value))
     return long.where(value.isNotNull()).groupBy(
-        *[F.col(f"_{name}").alias(name) for name in keys], "kind",
-        F.col("_value.measure").alias("measure")).agg(
+        *keys, "kind", F.col("_value.measure").alias("measure")).agg(
         F.count("*").alias("n"), *[part.alias(limb) for limb, part in sums.items()],
-        F.max(value).alias("top"), F.min("_start").alias("first"), F.max("_start").alias("last"))
+        F.max(value).alias("top"), F.min("start").alias("first"), F.max("start").alias("last"))
 
 
 def daily(acts: DataFrame) -> DataFrame:
-    """All measures of ``acts`` by athlete, day and hour, to be stored (``STATE``)."""
-    made = states(acts, {
-        "athlete_id": lambda when: F.col("athlete_id"),
-        "day": lambda when: F.to_date(when.start), "hour": lambda when: when.hour,
-    }, tuple(_measures()))
+    """All measures of ``acts`` by athlete, day and hour, to be stored (``STATE``).
+
+    Few activities share an hour, so they are dealt by it while they are one short row each, not one
+    for every measure; a task takes about ``DEALT`` of them.
+    """
+    start = F.col("start_time")
+    keys = ["athlete_id", "day", "hour"]
+    short = materialize(acts.select(
+        "athlete_id", F.to_date(start).alias("day"), F.hour(start).alias("hour"),
+        kind_of(F.col("original_source")).alias("kind"), start.alias("start"), *[
+            value.cast("double").alias(name) for name, value in _measures().items()
+            if name != RIDE]), "short")
+    dealt = short.repartition(-(-short.count() // DEALT) or 1, *keys)
+    values = F.array(*[
+        F.struct(F.lit(m).alias("measure"), (F.lit(0.0) if m == RIDE else F.col(m)).alias("value"))
+        for m in _measures()])
+    made = _summed(dealt.select(*keys, "kind", "start", F.explode(values).alias("_value")), keys)
     return made.select(*[F.col(f.name).cast(f.dataType) for f in STATE])
 
 

@@ -24,15 +24,21 @@ STORED = T.StructType([
 class DailyTable:
     path: str
 
-    def read(self, spark: SparkSession) -> states.Daily:
-        """All states that count; several may share a key."""
+    def _counting(self, spark: SparkSession) -> DataFrame:
+        """The states that count, with ``_whole`` where all of the day are of one version."""
         rows = read_folders(spark, STORED, list(Versions(spark, self.path).live().values()))
-        # One row per day decides which versions of the day count.
+        # One row per day decides which versions of the day count; days are few, whatever is stored.
         since = rows.groupBy(F.col("day").alias("_day")).agg(
-            F.coalesce(F.max(F.when(F.col("anew"), F.col("version"))), F.lit(-1)).alias("_since"))
-        kept = rows.join(since, F.col("day").eqNullSafe(F.col("_day"))).where(
-            (F.col("version") >= F.col("_since")) & F.col("measure").isNotNull())
-        return states.Daily(kept.select(*[f.name for f in states.STATE]))
+            F.coalesce(F.max(F.when(F.col("anew"), F.col("version"))), F.lit(-1)).alias("_since"),
+            F.min("version").alias("_oldest"), F.max("version").alias("_newest"))
+        whole = F.greatest("_since", "_oldest") == F.col("_newest")
+        return rows.join(F.broadcast(since), F.col("day").eqNullSafe(F.col("_day"))).where(
+            (F.col("version") >= F.col("_since")) & F.col("measure").isNotNull()).select(
+            *[f.name for f in states.STATE], whole.alias("_whole"))
+
+    def read(self, spark: SparkSession) -> states.Daily:
+        """All states that count; several may share a key."""
+        return states.Daily(self._counting(spark).drop("_whole"))
 
     def days_of(self, spark: SparkSession, batch: str) -> DataFrame:
         """``day`` of all that a batch has stored here before."""
@@ -64,13 +70,16 @@ class DailyTable:
         self._store(made.unionByName(empty), True, batch)
 
     def compact(self, spark: SparkSession) -> None:
-        """One row per key, in one version."""
+        """One row per key, in one version. A version has one row per key already, so only days of
+        which several count are added up."""
         versions = Versions(spark, self.path)
         folder = versions.fresh_folder()
         keys = [F.col(c) for c in ("athlete_id", "day", "hour")]
-        rows = states.merged(self.read(spark).states, keys).select(
-            *[F.col(f.name).cast(f.dataType) for f in states.STATE]).withColumns({
-                "version": F.lit(versions.next_number()).cast("long"), "anew": F.lit(True)})
+        counting = self._counting(spark)
+        added = states.merged(counting.where("NOT _whole"), keys).select(
+            *[F.col(f.name).cast(f.dataType) for f in states.STATE])
+        rows = counting.where("_whole").drop("_whole").unionByName(added).withColumns({
+            "version": F.lit(versions.next_number()).cast("long"), "anew": F.lit(True)})
         write_partitioned(rows, folder, {})
         versions.commit({BASE: folder})
 

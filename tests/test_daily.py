@@ -111,3 +111,36 @@ def test_a_batch_of_new_activities_reads_only_itself(spark, tmp_path):
                               activities(spark, activity(1, "2026-06-03")))
     assert sorted(str(r.day) for r in old.collect()) == ["2026-06-01", "2026-06-03"]
     assert states.STATE == table.read(spark).states.schema
+
+
+def test_activities_are_dealt_before_they_become_states(spark, tmp_path):
+    acts = activities(spark, *[activity(n, f"2026-06-0{n}", distance_m=1.0) for n in range(1, 5)])
+    plan = states.daily(acts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert plan.index("Generate") < plan.index("Exchange")  # the plan is read from the top
+    table = daily.DailyTable(str(tmp_path))
+    table.add(acts, "a")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = table.read(spark).states._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_compaction_adds_up_only_days_of_several_versions(spark, tmp_path):
+    table = daily.DailyTable(str(tmp_path))
+    given = [activity(n, f"2026-06-0{day} 10:00:00", distance_m=float(n))
+             for n, day in enumerate([1, 1, 2, 3])]
+    table.add(activities(spark, *given[:3]), "a")
+    table.add(activities(spark, given[3], activity(9, "2026-06-02 10:10:00", distance_m=5.0)), "b")
+    counting = table._counting(spark)
+    whole = {str(r.day) for r in counting.where("_whole").select("day").distinct().collect()}
+    assert whole == {"2026-06-01", "2026-06-03"}
+    before = rows(rollups.header_stats(table.read(spark)))
+    table.compact(spark)
+    stored = table.read(spark).states
+    assert rows(rollups.header_stats(table.read(spark))) == before
+    assert stored.count() == stored.select("athlete_id", "day", "hour", "kind", "measure").distinct(
+        ).count()
