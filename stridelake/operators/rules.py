@@ -122,7 +122,9 @@ class Compiler:
 
 def check(records: DataFrame, spec: Spec, text: str = "text") -> DataFrame:
     """``records`` with ``violations``: the broken rules of the JSON object in ``text``."""
-    parsed = records.withColumn("record", F.try_parse_json(text))
+    # As an element of a list the variant is made once a record. A filter on the violations would
+    # else take it along, and parse the text again for every rule.
+    parsed = records.withColumn("record", F.explode(F.array(F.try_parse_json(text))))
     is_object = F.coalesce(
         F.schema_of_variant("record").startswith("OBJECT"), F.lit(False))
     checked = quality.apply_rules(

@@ -84,3 +84,12 @@ def test_no_rows(spark):
     df = spark.createDataFrame([], "text string, more int")
     good, bad = rules.read_checked(df, SPEC)
     assert good.count() == bad.count() == 0 and good.columns[0] == "more"
+
+
+def test_a_record_is_parsed_once_for_all_rules(spark):
+    texts = spark.createDataFrame([("{}",), (None,), ('{"id": "1"}',)], "text string")
+    good, bad = rules.read_checked(texts, normalize.activity_spec())
+    for df in (good, bad):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson") == 1
+    assert good.isEmpty() and bad.count() == 3
