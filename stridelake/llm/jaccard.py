@@ -431,15 +431,17 @@ def open_links(
     bounded size, its own members outside its main component and the members of groups that its
     own may be linked with. Only links leave a block.
     """
-    each = members.join(found, "node", "left").select(
-        "node", "n", "grp", "overlap", F.coalesce("component", "node").alias("component"))
+    # Written once: what follows reads it many times over.
+    each = materialize(members.join(found, "node", "left").select(
+        "node", "n", "grp", "overlap", F.coalesce("component", "node").alias("component")),
+        "placed-members")
     parts = each.groupBy("grp", "component").agg(
         F.count("*").alias("rows"), F.max(F.col("n") - F.col("overlap")).alias("most"),
         F.min("n").alias("least"))
-    groups = parts.groupBy("grp").agg(
+    groups = materialize(parts.groupBy("grp").agg(
         F.sum("rows").alias("rows"), F.max("most").alias("most"), F.min("least").alias("least"),
         F.max(F.struct("rows", "component"))["component"].alias("main"),
-        (F.min("component") == F.max("component")).alias("whole"))
+        (F.min("component") == F.max("component")).alias("whole")), "groups")
 
     def of(name: str) -> DataFrame:
         return groups.select(F.col("grp").alias(name), *[

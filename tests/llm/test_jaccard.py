@@ -118,3 +118,16 @@ def test_keep_one_goes_by_text_not_by_id(spark):
         (70, None), (70, None), (None, words(102))], key=str)
     ids = [r.doc_id for r in jaccard.keep_one(documents(spark)).collect()]
     assert ids.count(110) == 2
+
+
+def test_members_meet_their_components_once(spark):
+    members = spark.createDataFrame(
+        [(1, 5, 1, 5), (2, 5, 1, 4), (3, 5, 3, 5)], "node long, n long, grp long, overlap long")
+    answered = spark.createDataFrame([(1, 3, 3)], "a long, b long, overlap long")
+    found = spark.createDataFrame([(1, 1), (2, 1)], "node long, component long")
+    sets = spark.createDataFrame(
+        [(1, [1, 2, 3, 4, 5]), (2, [1, 2, 3, 4, 6]), (3, [1, 2, 3, 6, 7])],
+        "node long, items array<long>")
+    links = jaccard.open_links(members, answered, found, sets, 60)
+    assert "LeftOuter" not in links._jdf.queryExecution().optimizedPlan().toString()
+    assert {tuple(sorted(r)) for r in links.collect()} == {(2, 3)}
