@@ -14,7 +14,7 @@ from stridelake.llm.common import table
 from stridelake.session import configure, materialize
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-BATCH = "16m"  # of Arrow data; workers of five stages share an executor's memory
+BATCH = "2m"  # of Arrow data; workers of five stages share an executor's memory
 
 
 def prepare(spark: SparkSession) -> None:

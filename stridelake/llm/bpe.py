@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame
 from stridelake.llm.common import lists, map_batches
 
 UNKNOWN = "<unk>"
-CACHED = 600_000  # pre-tokens whose ids a worker keeps
-SLICE = 1_000_000  # characters (or pre-tokens of one long text) that are encoded together
+CACHED = 200_000  # pre-tokens whose ids a worker keeps, also between its tasks
+LONG = 64  # characters; longer pre-tokens are rare and not kept
+SLICE = 250_000  # characters (or pre-tokens of one long text) that are encoded together
 OTHER = re.compile("[^\x00-\u024f\u2010-\u2027]")
 
 
@@ -158,7 +159,11 @@ class Codec:
         self.ids.update(zip(new, self._merge(raw)))
         if self.whole:
             self.ids.update((w, self.whole[t]) for w, t in zip(new, raw) if t in self.whole)
-        return [b"".join(map(self.ids.__getitem__, words)) for words in many]
+        joined = [b"".join(map(self.ids.__getitem__, words)) for words in many]
+        for word in new:
+            if len(word) > LONG:
+                del self.ids[word]
+        return joined
 
     def encode(self, texts: list[str | None]) -> Iterator[Iterable[bytes]]:
         """For each text its ids as little-endian unsigned 32-bit integers, in slices.

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from stridelake.llm.common import (
-    bitmap_bit, connected, id_bitmap, in_bitmap, lists, map_batches,
+    bitmap_bit, connected, id_bitmap, in_bitmap, lists, map_batches, map_tasks,
 )
 from stridelake.llm.words import MIX, random_numbers, word_hashes
 from stridelake.session import discard, materialize
@@ -50,6 +50,7 @@ AGREE = 6  # equal min-hashes for a leader to be tried
 NEAR = 50  # least similarity to a leader, in percent; without effect on the result
 BLOCK = 1024  # sets of one group that a task compares with as many others
 BUCKETS = 1 << 17  # of the table of shingle counts
+POSTED = 1 << 16  # sets that a task remembers to have posted
 SLICE = 4 << 20  # bytes of a long text that are hashed at once
 
 _ORDER = random_numbers(WORDS + 300)[300:] | np.uint64(1)
@@ -114,31 +115,39 @@ def describe_sets(docs: DataFrame, words: int) -> DataFrame:
     """``doc_id``, ``n``, ``sig``, ``keys`` and ``sketch`` (null for an empty set) of each document,
     and its ``mark`` if ``docs`` has one.
 
-    Each batch also adds rows with a ``bucket`` and the number of ``hits``, its shingles there.
+    Each task also adds rows with a ``bucket`` and the number of ``hits``, its shingles there.
     """
     marked = "mark" in docs.columns
 
-    def run(columns):
-        sets = [shingles(t, words) for t in columns["text"].to_pylist()]
-        counts = np.bincount(
-            (np.concatenate(sets) & np.uint64(BUCKETS - 1)).view(np.int64), minlength=BUCKETS)
-        used = np.flatnonzero(counts)
-        blank = [None] * len(used)
-        least = [sketch(s) if len(s) else None for s in sets]
-        return {
-            "doc_id": columns["doc_id"].to_pylist() + blank,
-            "mark": columns["mark"].to_pylist() + blank if marked else None,
-            "n": [len(s) for s in sets] + blank,
-            "sig": [digest(s) for s in sets] + blank,
-            "keys": [m if m is None else m[:KEYS].view(np.int64) for m in least] + blank,
-            "sketch": [m if m is None else (m >> np.uint64(20)).astype(np.int8) for m in least]
-            + blank,
-            "bucket": [None] * len(sets) + used.tolist(),
-            "hits": [None] * len(sets) + counts[used].tolist()}
-
-    return map_batches(
-        docs, run, "doc_id long, n long, sig binary, keys array<long>, sketch array<tinyint>, "
-                   "bucket int, hits long" + (", mark binary" if marked else ""))
+    def start():
+        hits = np.zeros(BUCKETS, np.int64)
+
+        def run(columns):
+            sets = [shingles(t, words) for t in columns["text"].to_pylist()]
+            np.add(hits, np.bincount(
+                (np.concatenate(sets) & np.uint64(BUCKETS - 1)).view(np.int64),
+                minlength=BUCKETS), out=hits)
+            least = [sketch(s) if len(s) else None for s in sets]
+            blank = [None] * len(sets)
+            return {
+                "doc_id": columns["doc_id"], "mark": columns["mark"] if marked else None,
+                "n": [len(s) for s in sets], "sig": [digest(s) for s in sets],
+                "keys": [m if m is None else m[:KEYS].view(np.int64) for m in least],
+                "sketch": [m if m is None else (m >> np.uint64(20)).astype(np.int8)
+                           for m in least],
+                "bucket": blank, "hits": blank}
+
+        def last():
+            used = np.flatnonzero(hits)
+            blank = [None] * len(used)
+            return {"doc_id": blank, "mark": blank, "n": blank, "sig": blank, "keys": blank,
+                    "sketch": blank, "bucket": used, "hits": hits[used]}
+
+        return run, last
+
+    return map_tasks(
+        docs, start, "doc_id long, n long, sig binary, keys array<long>, sketch array<tinyint>, "
+                     "bucket int, hits long" + (", mark binary" if marked else ""))
 
 
 def bucket_counts(described: DataFrame) -> np.ndarray:
@@ -276,33 +285,40 @@ def postings(
 ) -> DataFrame:
     """``token, grp, n, rest`` of the prefix of every node, without lists of one set alone.
 
-    A batch posts each set once, so copies cannot make a list long.
+    A task that remembers a set, of ``POSTED`` and a batch at most, does not post it again, so copies
+    cannot make a list long.
     """
     table = docs.sparkSession.sparkContext.broadcast(order)
 
-    def run(columns):
-        tokens, size, name, rest = [], [], [], []
+    def start():
         seen = set()
-        for text in columns["text"].to_pylist():
-            items = shingles(text, words)
-            short_name = int.from_bytes(digest(items)[:8], "big", signed=True)
-            if not len(items) or short_name in seen:
-                continue
-            seen.add(short_name)
-            seldom = np.lexsort((items, table.value[items & np.uint64(BUCKETS - 1)]))
-            own = items[seldom[:prefix_length(len(items), percent)]]
-            tokens.append(own)
-            size.append(len(items))
-            name.append(short_name)
-            rest.append(len(items) - np.arange(len(own)))
-        each = [len(t) for t in tokens]
-        return {
-            "token": np.concatenate([*tokens, np.empty(0, np.uint64)]).view(np.int64),
-            "name": np.repeat(np.array(name, np.int64), each),
-            "n": np.repeat(np.array(size, np.int32), each),
-            "rest": np.concatenate([*rest, np.empty(0)]).astype(np.int32)}
-
-    flat = map_batches(docs.select("text"), run, "token long, name long, n int, rest int")
+
+        def run(columns):
+            tokens, size, name, rest = [], [], [], []
+            if len(seen) > POSTED:
+                seen.clear()
+            for text in columns["text"].to_pylist():
+                items = shingles(text, words)
+                short_name = int.from_bytes(digest(items)[:8], "big", signed=True)
+                if not len(items) or short_name in seen:
+                    continue
+                seen.add(short_name)
+                seldom = np.lexsort((items, table.value[items & np.uint64(BUCKETS - 1)]))
+                own = items[seldom[:prefix_length(len(items), percent)]]
+                tokens.append(own)
+                size.append(len(items))
+                name.append(short_name)
+                rest.append(len(items) - np.arange(len(own)))
+            each = [len(t) for t in tokens]
+            return {
+                "token": np.concatenate([*tokens, np.empty(0, np.uint64)]).view(np.int64),
+                "name": np.repeat(np.array(name, np.int64), each),
+                "n": np.repeat(np.array(size, np.int32), each),
+                "rest": np.concatenate([*rest, np.empty(0)]).astype(np.int32)}
+
+        return run, None
+
+    flat = map_tasks(docs.select("text"), start, "token long, name long, n int, rest int")
     whole = W.partitionBy("token")
     live = (
         flat.withColumn("lo", F.min("name").over(whole)).withColumn("hi", F.max("name").over(whole))

@@ -1,5 +1,6 @@
 import hashlib
 import struct
+from itertools import product
 
 import public_tokenizers as P
 import pytest
@@ -45,6 +46,19 @@ def test_full_cache_changes_nothing(codec, reference, monkeypatch):
             reference.encode_ordinary(text))
 
 
+def test_what_a_worker_keeps_is_bounded(codec, reference):
+    """A worker outlives its tasks, so neither many nor long pre-tokens may pile up in it."""
+    words = list(map("".join, product("abcdefgh", repeat=6)))
+    many = [" ".join(words[at:at + 2_000]) for at in range(0, len(words), 2_000)]
+    long = [f"{'word' * 20_000}{'x' * i}" for i in range(20)]
+    for text, parts in zip([*many, *long], codec.encode([*many, *long]), strict=True):
+        if text in (many[-1], long[-1]):
+            data = b"".join(parts)
+            assert list(memoryview(data).cast("I")) == reference.encode_ordinary(text)
+    # A pre-token's text, its ids and their place in the table take some 200 bytes.
+    assert len(codec.ids) <= 250_000 and max(map(len, codec.ids)) < 100
+
+
 def test_vocabulary_must_be_whole():
     with pytest.raises(ValueError, match="gapless"):
         bpe.serialise({b"a": 0, b"b": 2})

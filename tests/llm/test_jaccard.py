@@ -131,3 +131,43 @@ def test_members_meet_their_components_once(spark):
     links = jaccard.open_links(members, answered, found, sets, 60)
     assert "LeftOuter" not in links._jdf.queryExecution().optimizedPlan().toString()
     assert {tuple(sorted(r)) for r in links.collect()} == {(2, 3)}
+
+
+def one_task_in_batches(spark, texts, rows):
+    """``texts`` with ids from 0, read by one task that hands ``rows`` of them to Python at a time."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    return docs.selectExpr("doc_id", "cast(text AS binary) AS text")
+
+
+def test_small_batches_add_no_rows(spark):
+    """Shingle counts and postings are those of a task, so that batches may be as small as memory
+    wants them."""
+    texts = near_copies(12, 3) + near_copies(12, 3)
+    default = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        docs = one_task_in_batches(spark, texts, 2)
+        counts = jaccard.describe_sets(docs, 5).where("bucket IS NOT NULL")
+        assert 0 < counts.count() == counts.select("bucket").distinct().count()
+        described = jaccard.describe_sets(docs, 5).where("bucket IS NULL")
+        assert described.count() == len(texts)
+        members = described.selectExpr("sig", "doc_id AS grp").groupBy("sig").agg({"grp": "min"})
+        order = jaccard.bucket_counts(jaccard.describe_sets(docs, 5))
+        assert order.sum() == described.agg({"n": "sum"}).first()[0]
+        index = jaccard.postings(
+            docs, members.withColumnRenamed("min(grp)", "grp"), order, 5, 80)
+        assert 0 < index.count() == index.distinct().count()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", default)
+
+
+def test_forgotten_sets_are_posted_again(spark, monkeypatch):
+    """What a task remembers of copies decides the length of lists, never the result."""
+    texts = near_copies(12, 5) * 2
+    default = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    monkeypatch.setattr(jaccard, "POSTED", 3)
+    try:
+        docs = one_task_in_batches(spark, texts, 4)
+        assert rows_of(jaccard.components(docs)) == brute(list(enumerate(texts)))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", default)
